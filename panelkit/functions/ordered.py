@@ -9,11 +9,14 @@ the exclusive running total of the partitions before it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.session import ensure_checkpoint_dir
 
+SMALL_LIMIT = 2_000_000
+
 
 def _default_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
@@ -24,11 +27,20 @@ def ordered_prefix(df: DataFrame, keys: list[str], order_col: str, sum_cols: lis
                    num_partitions: int | None = None) -> DataFrame:
     """Add ``<c>_before``: sum of ``c`` over rows of the same keys with a smaller ``order_col``.
 
-    ``(keys, order_col)`` must be unique (aggregate first).  The range-partitioned
+    ``(keys, order_col)`` must be unique (aggregate first).  Inputs of at most
+    ``panelkit.prefix.inMemoryLimit`` rows use a plain per-key window.  Larger
+    ones are range-partitioned; the range-partitioned
     frame is checkpointed so the partition ids seen by the local pass and by the
     per-partition totals are the same even if tasks are retried on other executors.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    limit = int(spark.conf.get("panelkit.prefix.inMemoryLimit", str(SMALL_LIMIT)))
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.count() <= limit:
+        # provably small: one window per key over at most ``limit`` rows in total
+        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in sum_cols])
+    ensure_checkpoint_dir(spark)
     parts = num_partitions or _default_partitions(df)
     ranged = (df.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(order_col))
                 .withColumn("_pid", F.spark_partition_id())
