@@ -1 +1,121 @@
-"""placeholder"""
+"""Check-suite, model and facts queries (C*, L*, N1).  ML and rule outputs have no SQL oracle."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelkit.operators import evaluate as E
+from panelkit.operators import facts as N
+from panelkit.operators import features as FT
+from panelkit.operators import models as L
+from panelkit.operators import split as G
+from panelkit.operators import status as Q
+from panelkit.operators import suites as C
+from panelkit.operators.checks import union_checks
+from panelkit.plans.catalog import register
+from panelkit.plans.q_evaluate import _val
+from panelkit.plans.q_features import PREDICTORS, TAB_CAT, TAB_CONT, split_panel
+from panelkit.sources.testdata import PANEL_SPEC, customer_panel, lineitem_rows
+from panelkit.spec import BILL_POLICY, PAYMENT_POLICY
+from panelkit.operators import profile as P
+
+
+@register("checks_status")
+def q_checks_status(spark, sf_dir):
+    return C.status_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
+
+
+@register("checks_panel")
+def q_checks_panel(spark, sf_dir):
+    p = customer_panel(spark, sf_dir)
+    return union_checks(C.amount_checks(p, PANEL_SPEC, "net", BILL_POLICY),
+                        C.amount_checks(p, PANEL_SPEC, "pay", PAYMENT_POLICY))
+
+
+@register("checks_relationship")
+def q_checks_relationship(spark, sf_dir):
+    return C.relationship_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
+
+
+@register("checks_split")
+def q_checks_split(spark, sf_dir):
+    p = G.with_group_id(customer_panel(spark, sf_dir), PREDICTORS)
+    manifest = G.stratified_group_split(p, id_col="c_custkey", target="target", mode="hash")
+    return G.verify_manifest(manifest, customer_panel(spark, sf_dir).withColumnRenamed("c_custkey", "ID"),
+                             "ID", "target", PREDICTORS)
+
+
+def _prepared(spark, sf_dir):
+    sp = split_panel(spark, sf_dir)
+    tr = sp.where(F.col("split") == "train")
+    params = FT.fit_robust(tr, TAB_CONT)
+    cats = FT.fit_one_hot(tr, TAB_CAT)
+    return sp.select("c_custkey", "split", "target", FT.tabular_representation(TAB_CONT, params, cats).alias("tabular"))
+
+
+def _fit_score(spark, sf_dir, name, fit):
+    prep = L.to_ml(_prepared(spark, sf_dir), "tabular")
+    train = L.with_weights(prep.where(F.col("split") == "train"))
+    val = prep.where(F.col("split") == "validation")
+    return L.score(fit(train), val, name, "c_custkey")
+
+
+@register("model_logistic_regression")
+def q_model_logistic_regression(spark, sf_dir):
+    return _fit_score(spark, sf_dir, "logistic_regression", L.logistic_regression)
+
+
+_GBT: dict = {}
+
+
+def _gbt(spark, sf_dir):
+    """Fit the GBT once per session and folder (two queries read it)."""
+    key = (id(spark), sf_dir)
+    if key not in _GBT:
+        prep = L.to_ml(_prepared(spark, sf_dir), "tabular")
+        train = L.with_weights(prep.where(F.col("split") == "train"))
+        _GBT[key] = (L.gradient_boosting(train), prep.where(F.col("split") == "validation"))
+    return _GBT[key]
+
+
+@register("model_gradient_boosting")
+def q_model_gradient_boosting(spark, sf_dir):
+    model, val = _gbt(spark, sf_dir)
+    return L.score(model, val, "gradient_boosting", "c_custkey")
+
+
+@register("model_sequence_mlp")
+def q_model_sequence_mlp(spark, sf_dir):
+    sp = split_panel(spark, sf_dir)
+    tr = sp.where(F.col("split") == "train")
+    ch = FT.fit_channel_scalers(tr, PANEL_SPEC)
+    feats = F.flatten(FT.temporal_representation(PANEL_SPEC, ch))
+    prep = L.to_ml(sp.select("c_custkey", "split", "target", feats.alias("seq")), "seq")
+    n_in = PANEL_SPEC.n_periods * 3
+    train = L.with_weights(prep.where(F.col("split") == "train"))
+    model = L.sequence_mlp(train, n_in)
+    return L.score(model, prep.where(F.col("split") == "validation"), "sequence_mlp", "c_custkey")
+
+
+@register("early_stop_epoch")
+def q_early_stop_epoch(spark, sf_dir):
+    model, val = _gbt(spark, sf_dir)
+    return L.early_stop(L.gbt_history(model, val, "gradient_boosting"))
+
+
+@register("facts")
+def q_facts(spark, sf_dir):
+    p = customer_panel(spark, sf_dir)
+    li = lineitem_rows(spark, sf_dir)
+    ts = P.target_summary(li, "target")
+    cov = Q.sequence_coverage(p, PANEL_SPEC)
+    modal = Q.modal_status(Q.status_by_period_target(p, PANEL_SPEC))
+    best = E.best_threshold(E.threshold_search(_val(spark, sf_dir)))
+    return N.facts([
+        N.fact_rows(ts, "static", "class_label", ["count", "percentage", "imbalance_ratio_majority_to_minority"]),
+        N.fact_rows(cov, "status", F.lit("sequences"), ["code_0_total", "code_minus2_total", "distinct_patterns",
+                                                        "topk_count", "topk_percentage"]),
+        N.fact_rows(modal, "status", F.concat_ws(":", "period", "target_class"),
+                    ["raw_status_value", "percentage_within_target_class"]),
+        N.fact_rows(best, "evaluation", "model_name", ["threshold", "default_f1", "pr_auc", "roc_auc"]),
+    ])
