@@ -74,7 +74,9 @@ def _gbt(spark, sf_dir):
     if key not in _GBT:
         prep = L.to_ml(_prepared(spark, sf_dir), "tabular")
         train = L.with_weights(prep.where(F.col("split") == "train"))
-        _GBT[key] = (L.gradient_boosting(train), prep.where(F.col("split") == "validation"))
+        # validation loss is unweighted (every row weight 1)
+        val = prep.where(F.col("split") == "validation").withColumn(L.WEIGHT, F.lit(1.0))
+        _GBT[key] = (L.gradient_boosting(train), val)
     return _GBT[key]
 
 
