@@ -63,7 +63,7 @@ def quantiles_from_counts(vc: DataFrame, keys: list[str], probs: dict[str, float
 def _ranked(vc: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     pref = ordered_prefix(vc, keys, "_v", ["_n"])
     totals = vc.groupBy(*keys).agg(F.sum("_n").alias("_N"))
-    targets = totals.select(*keys, F.inline(F.array(*[
+    targets = totals.select(*keys, "_N", F.inline(F.array(*[
         F.struct(F.lit(n).alias("_qname"), F.lit(float(p)).alias("_p")) for n, p in probs.items()])))
     pos = F.col("_p") * (F.col("_N") - 1).cast("double")
     targets = targets.select(*keys, "_qname", pos.alias("_pos"),
