@@ -229,6 +229,14 @@ def pairwise_corr(a, b) -> F.Column:
     return F.try_divide(F.covar_samp(a2, b2), F.stddev_samp(a2) * F.stddev_samp(b2))
 
 
+def pairwise_corr_sql(a: str, b: str) -> str:
+    """:func:`pairwise_corr` as expression text (one parser call instead of many plan-builder calls)."""
+    both = f"(`{a}` IS NOT NULL AND `{b}` IS NOT NULL)"
+    a2 = f"(CASE WHEN {both} THEN CAST(`{a}` AS DOUBLE) END)"
+    b2 = f"(CASE WHEN {both} THEN CAST(`{b}` AS DOUBLE) END)"
+    return f"try_divide(covar_samp({a2}, {b2}), stddev_samp({a2}) * stddev_samp({b2}))"
+
+
 def correlation_matrix(df: DataFrame, spec: PanelSpec, channel: str, digits: int = 6) -> DataFrame:
     """M6: long (row_index, row_period, column_index, column_period, correlation), one pass.
 
@@ -237,7 +245,7 @@ def correlation_matrix(df: DataFrame, spec: PanelSpec, channel: str, digits: int
     """
     cols = spec.columns(channel)
     n = spec.n_periods
-    aggs = [pairwise_corr(cols[i], cols[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)]
+    aggs = [F.expr(pairwise_corr_sql(cols[i], cols[j])).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)]
     one = df.agg(*aggs)
     structs = []
     for i in range(n):

@@ -42,32 +42,39 @@ def audit_columns(df: DataFrame) -> DataFrame:
     """One row per column with ordinal, dtype, missing, infinite, distinct counts.
 
     Missing / infinite counts are one aggregation over the wide table.  Exact
-    distinct counts unpivot to (column, value), de-duplicate, then count per
-    column, so no single task holds a column's distinct set.
+    distinct counts unpivot the columns of each physical type to
+    (column, value) - native values, no string formatting - de-duplicate with
+    map-side partial aggregation, then count per column, so no single task
+    holds a column's distinct set.
     """
     spark = df.sparkSession
     fields = df.schema.fields
-    aggs = []
-    for f in fields:
+    aggs = [F.count(F.lit(1)).cast("long").alias("row_count")]
+    for i, f in enumerate(fields):
         c = F.col(f.name)
-        miss = c.isNull() | F.isnan(c) if isinstance(f.dataType, FRACTIONAL) else c.isNull()
-        inf = (F.abs(c) == F.lit(float("inf"))) if isinstance(f.dataType, FRACTIONAL) else F.lit(False)
-        aggs += [count_if(miss).alias(f"m{len(aggs)}"), count_if(inf).alias(f"i{len(aggs) + 1}")]
-    counts = df.agg(*aggs, F.count(F.lit(1)).cast("long").alias("row_count"))
-    stacked = counts.select("row_count", F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"m{2 * i}").alias("missing_count"),
-                 F.col(f"i{2 * i + 1}").alias("infinite_count"))
+        frac = isinstance(f.dataType, FRACTIONAL)
+        miss = (c.isNull() | F.isnan(c)) if frac else c.isNull()
+        inf = (F.abs(c) == F.lit(float("inf"))) if frac else F.lit(False)
+        aggs += [count_if(miss).alias(f"m{i}"), count_if(inf).alias(f"i{i}")]
+    stacked = df.agg(*aggs).select("row_count", F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.lit(i + 1).cast("long").alias("ordinal"),
+                 F.lit(f.dataType.simpleString()).alias("dtype"), F.col(f"m{i}").alias("missing_count"),
+                 F.col(f"i{i}").alias("infinite_count"))
         for i, f in enumerate(fields)])))
-    distinct = (_long_values(df, [f.name for f in fields])
-                .where(F.col("value").isNotNull())
-                .select("column", "value").distinct()
+    by_type: dict[str, list[str]] = {}
+    for f in fields:
+        by_type.setdefault(f.dataType.simpleString(), []).append(f.name)
+    distinct = None
+    for cols in by_type.values():
+        part = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])))
+                .where(F.col("value").isNotNull()).groupBy("column", "value").count()
                 .groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count")))
-    meta = spark.createDataFrame([(f.name, i + 1, f.dataType.simpleString()) for i, f in enumerate(fields)],
-                                 "column string, ordinal int, dtype string")
-    out = meta.join(stacked, "column").join(distinct, "column", "left")
-    return out.select("column", F.col("ordinal").cast("long").alias("ordinal"), "dtype", "missing_count",
-                      "infinite_count", F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"),
-                      "row_count", (F.coalesce("unique_count", F.lit(0)) == F.col("row_count")).alias("all_unique"))
+        distinct = part if distinct is None else distinct.unionByName(part)
+    _ = spark
+    out = stacked.join(distinct, "column", "left")
+    return out.select("column", "ordinal", "dtype", "missing_count", "infinite_count",
+                      F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"), "row_count",
+                      (F.coalesce("unique_count", F.lit(0)) == F.col("row_count")).alias("all_unique"))
 
 
 def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
