@@ -271,3 +271,29 @@ def prediction_checks(preds: DataFrame, expected_models: list[str], expected_row
     cand_rules.append(Rule("no_unexpected_models", F.sum(F.when(~F.col("model_name").isin(*expected_models), 1).otherwise(0)) == 0,
                            F.lit("model names outside the expected set")))
     return id_checks.unionByName(run_checks(preds, row_rules)).unionByName(run_checks(cand, cand_rules))
+
+
+def final_report(final: DataFrame, family: dict[str, str], params: dict[str, int], primary: DataFrame) -> DataFrame:
+    """Enrich final rows with family / parameter count / primary flag and rank the
+    validation-selected rows by test F1 (name as tie-break)."""
+    fam = F.create_map(*[x for k, v in family.items() for x in (F.lit(k), F.lit(v))])
+    p = primary.select(F.col("_primary")).scalar()
+    w = Window.partitionBy("threshold_mode").orderBy(F.col("default_f1").desc(), F.col("model_name").asc())
+    return final.select("*", fam[F.col("model_name")].alias("family"), complexity_map(params).alias("parameter_count"),
+                        (F.col("model_name") == p).alias("is_primary"),
+                        F.when(F.col("threshold_mode") == "validation_selected",
+                               F.row_number().over(w).cast("long")).alias("test_rank"))
+
+
+def decision_record(report: DataFrame, selected_validation: DataFrame) -> DataFrame:
+    """One row; the ranking string orders models by test rank (bounded by the model list)."""
+    sel = report.where(F.col("threshold_mode") == "validation_selected")
+    prim = sel.where(F.col("is_primary"))
+    val = selected_validation.join(prim.select("model_name"), "model_name")
+    ranking = sel.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("test_rank", "model_name"))),
+                                               lambda x: x["model_name"]), " > ").alias("r")).select("r").scalar()
+    return prim.select(
+        F.col("model_name").alias("primary_model"), F.col("threshold").alias("selected_threshold"),
+        val.select(rnd("default_f1", 6)).scalar().alias("validation_f1"), val.select("pr_auc").scalar().alias("validation_pr_auc"),
+        F.col("default_f1").alias("test_f1"), F.col("default_recall").alias("test_recall"),
+        F.col("pr_auc").alias("test_pr_auc"), ranking.alias("test_ranking"))

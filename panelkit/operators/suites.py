@@ -117,3 +117,37 @@ def relationship_checks(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay:
         ]),
         run_checks(cats, [Rule("categories_cover_complete_pairs", F.max(F.col("s")) <= n, F.lit(""))]),
     )
+
+
+def static_checks(df: DataFrame, cat_cols: list[str], target: str, codebook) -> DataFrame:
+    """Target total, category totals per feature, defaults + non-defaults = total, rates in [0, 1]."""
+    from panelkit.operators import profile as P
+    n = df.select(F.count(F.lit(1))).scalar()
+    ts = P.target_summary(df, target)
+    rates = P.categorical_default_rates(df, cat_cols, target, codebook)
+    per_feature = rates.groupBy("feature").agg(F.sum("total_count").alias("s"), F.sum("default_count").alias("d"))
+    pos = df.select(count_if(F.col(target) == 1)).scalar()
+    return union_checks(
+        run_checks(ts, [Rule("target_total_equals_rows", F.sum("count") == n, _fmt("%d", F.sum("count"))),
+                        Rule("percentages_sum_to_100", F.abs(F.sum("percentage") - 100.0) <= 1e-3, F.lit(""))]),
+        run_checks(rates, [
+            Rule("defaults_plus_non_defaults_equal_total",
+                 count_if(F.col("default_count") + F.col("non_default_count") != F.col("total_count")) == 0, F.lit("")),
+            Rule("default_rates_in_unit_interval",
+                 count_if((F.col("default_rate") < 0) | (F.col("default_rate") > 1)) == 0, F.lit("")),
+        ]),
+        run_checks(per_feature, [
+            Rule("category_totals_equal_rows", F.min(F.col("s") == n), _fmt("%d features", F.count(F.lit(1)))),
+            Rule("grouped_defaults_equal_positives", F.min(F.col("d") == pos), F.lit("")),
+        ]),
+    )
+
+
+def reconciliation_checks(preds: DataFrame) -> DataFrame:
+    """Stored 0.5 predictions equal the recomputed ones and are binary."""
+    recomputed = (F.col("probability_default") >= 0.5).cast("int")
+    return run_checks(preds, [
+        Rule("prediction_at_0_5_reconciles", count_if(F.col("prediction_at_0_5") != recomputed) == 0,
+             _fmt("%d mismatches", count_if(F.col("prediction_at_0_5") != recomputed))),
+        Rule("predictions_binary", count_if(~F.col("prediction_at_0_5").isin(0, 1)) == 0, F.lit("")),
+    ])

@@ -121,3 +121,31 @@ def q_facts(spark, sf_dir):
                     ["raw_status_value", "percentage_within_target_class"]),
         N.fact_rows(best, "evaluation", "model_name", ["threshold", "default_f1", "pr_auc", "roc_auc"]),
     ])
+
+
+@register("checks_static")
+def q_checks_static(spark, sf_dir):
+    from panelkit.sources.testdata import LINEITEM_CODEBOOK
+    return C.static_checks(lineitem_rows(spark, sf_dir), ["l_linestatus", "l_linenumber"], "target", LINEITEM_CODEBOOK)
+
+
+@register("shape_checks")
+def q_shape_checks(spark, sf_dir):
+    """Every prepared row has the expected tabular width and a periods x 3 tensor."""
+    sp = split_panel(spark, sf_dir)
+    tr = sp.where(F.col("split") == "train")
+    params = FT.fit_robust(tr, TAB_CONT)
+    cats = FT.fit_one_hot(tr, TAB_CAT)
+    ch = FT.fit_channel_scalers(tr, PANEL_SPEC)
+    width = len(TAB_CONT) + sum(len(v) for v in cats.values())
+    rep = sp.select(FT.tabular_representation(TAB_CONT, params, cats).alias("tabular"),
+                    FT.temporal_representation(PANEL_SPEC, ch).alias("temporal"),
+                    F.flatten(FT.temporal_representation(PANEL_SPEC, ch)).alias("temporal_flat"))
+    return L.shape_checks(rep, {"tabular": width, "temporal": PANEL_SPEC.n_periods,
+                                "temporal_flat": PANEL_SPEC.n_periods * 3})
+
+
+@register("prediction_reconciliation")
+def q_prediction_reconciliation(spark, sf_dir):
+    """E15 on the scored logistic-regression predictions."""
+    return C.reconciliation_checks(q_model_logistic_regression(spark, sf_dir))

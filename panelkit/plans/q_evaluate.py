@@ -209,3 +209,45 @@ def q_validation_vs_test(spark, sf_dir):
 def q_prediction_checks(spark, sf_dir):
     return E.prediction_checks(_val(spark, sf_dir), MODELS)
 
+
+
+def _final_report(spark, sf_dir):
+    v = _val(spark, sf_dir)
+    sel = E.best_threshold(E.threshold_search(v))
+    primary = E.primary_candidate(sel, MODEL_PARAMS).select(F.col("model_name").alias("_primary"))
+    final = E.final_metrics(_test(spark, sf_dir), sel)
+    return E.final_report(final, MODEL_FAMILY, MODEL_PARAMS, primary)
+
+
+REPORT_SQL = _final_sql() + f""",
+prim AS (SELECT model_name AS primary_model FROM best
+         ORDER BY default_f1 DESC, pr_auc DESC, default_recall DESC,
+           CAST({_map_sql(MODEL_PARAMS, 99999)} AS BIGINT) ASC, model_name ASC LIMIT 1),
+report AS (SELECT final.*, {_map_sql(MODEL_FAMILY, None).replace("ELSE None", "ELSE NULL")} AS family,
+  CAST({_map_sql(MODEL_PARAMS, 99999)} AS BIGINT) AS parameter_count,
+  model_name = (SELECT primary_model FROM prim) AS is_primary,
+  CASE WHEN threshold_mode = 'validation_selected' THEN CAST(ROW_NUMBER() OVER (PARTITION BY threshold_mode
+    ORDER BY default_f1 DESC, model_name ASC) AS BIGINT) END AS test_rank FROM final)"""
+
+
+@register("final_report", REPORT_SQL + " SELECT * FROM report")
+def q_final_report(spark, sf_dir):
+    """Final metrics with family, parameter count, primary flag and the test ranking."""
+    return _final_report(spark, sf_dir)
+
+
+@register("decision_record", REPORT_SQL + f"""
+SELECT (SELECT primary_model FROM prim) AS primary_model,
+  (SELECT threshold FROM report WHERE is_primary AND threshold_mode = 'validation_selected') AS selected_threshold,
+  (SELECT {sql_rnd('default_f1', 6)} FROM best WHERE model_name = (SELECT primary_model FROM prim)) AS validation_f1,
+  (SELECT pr_auc FROM best WHERE model_name = (SELECT primary_model FROM prim)) AS validation_pr_auc,
+  (SELECT default_f1 FROM report WHERE is_primary AND threshold_mode = 'validation_selected') AS test_f1,
+  (SELECT default_recall FROM report WHERE is_primary AND threshold_mode = 'validation_selected') AS test_recall,
+  (SELECT pr_auc FROM report WHERE is_primary AND threshold_mode = 'validation_selected') AS test_pr_auc,
+  (SELECT string_agg(model_name, ' > ' ORDER BY test_rank) FROM report WHERE threshold_mode = 'validation_selected')
+    AS test_ranking""")
+def q_decision_record(spark, sf_dir):
+    """One-row decision record (primary model, threshold, validation evidence, test metrics, ranking)."""
+    v = _val(spark, sf_dir)
+    sel = E.best_threshold(E.threshold_search(v))
+    return E.decision_record(_final_report(spark, sf_dir), sel)

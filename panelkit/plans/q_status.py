@@ -59,7 +59,7 @@ PAIRS_DOM = "(VALUES " + ", ".join(f"({i}, '{YEARS[i]}', '{YEARS[i + 1]}')" for
     ") AS pr(pi, source_period, destination_period)"
 
 
-@register("status_transitions", f"""
+TRANSITIONS_SQL = f"""
 WITH {PANEL_CTE}, pairs AS (SELECT pair_index - 1 AS pi, target AS y, src, dst FROM ({panel_pairs('status')})),
 g AS (SELECT pi, src, dst, COUNT(*) AS cnt, {s_cnt('y = 1')} AS dc, {s_cnt('y = 0')} AS ndc FROM pairs GROUP BY ALL),
 st AS (SELECT pi, src, COUNT(*) AS source_status_total FROM pairs GROUP BY ALL),
@@ -73,7 +73,10 @@ SELECT source_period, destination_period, CAST(pi AS BIGINT) AS chronological_pa
   {R(s_pct('c', 'stt'))} AS percentage_within_source_status, CAST(COALESCE(dc, 0) AS BIGINT) AS default_count,
   CAST(COALESCE(ndc, 0) AS BIGINT) AS non_default_count, CASE WHEN c > 0 THEN {R(s_ratio('dc', 'c'))} END AS default_rate,
   c > 0 AS observed_combination, CASE WHEN c > 0 THEN c < 200 ELSE FALSE END AS small_sample_warning
-FROM j""")
+FROM j"""
+
+
+@register("status_transitions", TRANSITIONS_SQL)
 def q_status_transitions(spark, sf_dir):
     return Q.status_transitions(customer_panel(spark, sf_dir), PANEL_SPEC)
 
@@ -141,3 +144,27 @@ def _matrix_sql() -> str:
 @register("status_matrix", _matrix_sql())
 def q_status_matrix(spark, sf_dir):
     return Q.status_matrix(Q.status_by_period(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC)
+
+
+@register("status_default_rates", f"""
+WITH q2 AS ({STATUS_BY_PERIOD_SQL.strip()})
+SELECT period, chronological_month_index, raw_status_value, total_count, default_count, default_rate,
+  observed_combination, small_sample_warning FROM q2""")
+def q_status_default_rates(spark, sf_dir):
+    """Q3: the default-rate projection of the status distribution."""
+    return Q.status_by_period(customer_panel(spark, sf_dir), PANEL_SPEC).select(
+        "period", "chronological_month_index", "raw_status_value", "total_count", "default_count", "default_rate",
+        "observed_combination", "small_sample_warning")
+
+
+def _transition_matrix_sql(pair: int) -> str:
+    cols = ", ".join(f"MAX(CASE WHEN destination_raw_status = {c} THEN percentage_within_source_status END) AS \"{c}\""
+                     for c in KNOWN_STATUS_CODES)
+    return (f"WITH q5 AS ({TRANSITIONS_SQL.strip()}) SELECT source_raw_status, {cols} FROM q5 "
+            f"WHERE chronological_pair_index = {pair} GROUP BY 1")
+
+
+@register("transition_matrix", _transition_matrix_sql(4))
+def q_transition_matrix(spark, sf_dir):
+    """Q10: source x destination % matrix of the last adjacent pair."""
+    return Q.transition_matrix(Q.status_transitions(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC, 4)
