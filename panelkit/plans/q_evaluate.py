@@ -193,7 +193,8 @@ final AS (SELECT fc.model_name, threshold_mode, threshold, tn, fp, fn, tp, {sql_
 
 @register("final_metrics", _final_sql() + " SELECT * FROM final")
 def q_final_metrics(spark, sf_dir):
-    sel = E.best_threshold(E.threshold_search(_val(spark, sf_dir)))
+    # selection reads F1 / recall / precision / threshold only: no ranking metrics needed here
+    sel = E.best_threshold(E.threshold_search(_val(spark, sf_dir), with_ranking=False))
     return E.final_metrics(_test(spark, sf_dir), sel)
 
 
@@ -201,11 +202,31 @@ def q_final_metrics(spark, sf_dir):
 SELECT model_name, 'validation' AS split, {sql_rnd('default_f1', 6)} AS default_f1 FROM best
 UNION ALL SELECT model_name, 'test', default_f1 FROM final WHERE threshold_mode = 'validation_selected'""")
 def q_validation_vs_test(spark, sf_dir):
-    sel = E.best_threshold(E.threshold_search(_val(spark, sf_dir)))
+    sel = E.best_threshold(E.threshold_search(_val(spark, sf_dir), with_ranking=False))
     return E.validation_vs_test(sel, E.final_metrics(_test(spark, sf_dir), sel))
 
 
-@register("prediction_checks")
+PRED_CHECKS_SQL = f"""{VAL},
+per_id AS (SELECT ID, COUNT(DISTINCT model_name) AS nm, COUNT(DISTINCT y_true) AS ny, COUNT(*) AS nr FROM v GROUP BY ID),
+counts AS (SELECT model_name, COUNT(*) AS n FROM v GROUP BY model_name),
+ex AS (SELECT * FROM (VALUES {', '.join(f"('{m}')" for m in MODELS)}) AS e(model_name)),
+cand AS (SELECT COALESCE(ex.model_name, counts.model_name) AS model_name, n
+         FROM ex FULL OUTER JOIN counts ON ex.model_name = counts.model_name),
+bad AS (SELECT {s_cnt('probability_default IS NULL OR isnan(probability_default) OR probability_default < 0 OR probability_default > 1')} AS bp,
+          {s_cnt('y_true NOT IN (0, 1)')} AS bl FROM v)
+SELECT 'ids_identical_across_models' AS check_name, COALESCE(MIN(nm) = {len(MODELS)}, FALSE) AS passed,
+  printf('min models per id %d', MIN(nm)) AS detail FROM per_id
+UNION ALL SELECT 'labels_identical_across_models', COALESCE(MAX(ny) <= 1, FALSE), printf('max labels per id %d', MAX(ny)) FROM per_id
+UNION ALL SELECT 'one_row_per_model_and_id', COALESCE(MAX(nr) = MAX(nm), FALSE), printf('max rows per id %d', MAX(nr)) FROM per_id
+UNION ALL SELECT 'probabilities_finite_in_unit_interval', bp = 0, printf('%d bad probabilities', bp) FROM bad
+UNION ALL SELECT 'labels_binary', bl = 0, printf('%d non-binary labels', bl) FROM bad
+UNION ALL SELECT 'candidate_set_matches', {s_cnt('n IS NULL')} = 0, printf('%d expected models missing', {s_cnt('n IS NULL')}) FROM cand
+UNION ALL SELECT 'rows_per_model', COALESCE(MIN(n) = MAX(n), FALSE), printf('rows per model %d..%d', MIN(n), MAX(n)) FROM cand
+UNION ALL SELECT 'no_unexpected_models', COALESCE(SUM(CASE WHEN model_name NOT IN ({', '.join(f"'{m}'" for m in MODELS)}) THEN 1 ELSE 0 END) = 0, FALSE),
+  'model names outside the expected set' FROM cand"""
+
+
+@register("prediction_checks", PRED_CHECKS_SQL)
 def q_prediction_checks(spark, sf_dir):
     return E.prediction_checks(_val(spark, sf_dir), MODELS)
 
