@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.functions.exprs import broadcast_small
 from panelkit.session import ensure_checkpoint_dir
 
 SMALL_LIMIT = 2_000_000
@@ -55,8 +56,8 @@ def ordered_prefix(df: DataFrame, keys: list[str], order_col: str, sum_cols: lis
     off_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *keys, *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}")
                                              for c in sum_cols])
-    # offsets has at most (partitions + distinct keys) rows; AQE broadcasts it on runtime size.
-    joined = local.join(offsets, on=["_pid", *keys], how="inner")
+    # offsets has at most (partitions + distinct keys) rows: broadcast once that is proven
+    joined = local.join(broadcast_small(offsets), on=["_pid", *keys], how="inner")
     out_cols = [c for c in df.columns]
     return joined.select(*out_cols, *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{c}_before")
                                       for c in sum_cols])

@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.functions.exprs import broadcast_small
 from panelkit.functions.ordered import ordered_prefix
 
 IN_MEMORY_LIMIT = 2_000_000
@@ -68,11 +69,11 @@ def _ranked(vc: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFram
     pos = F.col("_p") * (F.col("_N") - 1).cast("double")
     targets = targets.select(*keys, "_qname", pos.alias("_pos"),
                              F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"))
-    # Each (key, q) matches at most two distinct values; the tiny target side is
-    # broadcast by AQE from its runtime size.
+    # Each (key, q) matches at most two distinct values; the target side has
+    # (#keys x #probs) rows and is broadcast once that size is proven.
     hit_lo = (F.col("_lo") >= F.col("_n_before")) & (F.col("_lo") < F.col("_n_before") + F.col("_n"))
     hit_hi = (F.col("_hi") >= F.col("_n_before")) & (F.col("_hi") < F.col("_n_before") + F.col("_n"))
-    j = pref.join(targets, on=keys, how="inner").where(hit_lo | hit_hi)
+    j = pref.join(broadcast_small(targets), on=keys, how="inner").where(hit_lo | hit_hi)
     picked = j.groupBy(*keys, "_qname").agg(
         F.max(F.when(hit_lo, F.col("_v"))).cast("double").alias("_a"),
         F.max(F.when(hit_hi, F.col("_v"))).cast("double").alias("_b"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.exprs import count_if, dbl, hist_bin, hist_edge, pct, pct0, ratio, rnd, sign_label
+from panelkit.functions.exprs import broadcast_small, count_if, dbl, hist_bin, hist_edge, pct, pct0, ratio, rnd, sign_label
 from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
 from panelkit.spec import (BILL_POLICY, NEGATIVE_CLASS, PANEL_FENCE_K, POSITIVE_CLASS, SIGN_CATEGORIES, AmountPolicy,
                            PanelSpec)
@@ -56,7 +56,7 @@ def _profile(long: DataFrame, keys: list[str], probs: dict[str, float], lo: str,
     q = q.withColumn("iqr", F.col(hi) - F.col(lo))
     q = q.withColumn("lower_fence", F.col(lo) - fence_k * F.col("iqr")) \
          .withColumn("upper_fence", F.col(hi) + fence_k * F.col("iqr"))
-    ext = vc.join(q.select(*keys, "lower_fence", "upper_fence"), keys).groupBy(*keys).agg(
+    ext = vc.join(broadcast_small(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
         F.sum(F.when(F.col("_v") < F.col("lower_fence"), F.col("_n")).otherwise(0)).cast("long").alias("below_lower_fence_count"),
         F.sum(F.when(F.col("_v") > F.col("upper_fence"), F.col("_n")).otherwise(0)).cast("long").alias("above_upper_fence_count"))
     return mom.join(q, keys, "left").join(ext, keys, "left")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions.exprs import count_if, rnd
+from panelkit.functions.exprs import broadcast_small, count_if, rnd
 from panelkit.functions.ordered import ordered_prefix
 from panelkit.spec import FIXED_THRESHOLD, GRID_SIZE, GRID_START, GRID_STEP
 
@@ -219,8 +219,8 @@ def final_metrics(test: DataFrame, selected: DataFrame) -> DataFrame:
     modes = thr.select("model_name", F.inline(F.array(
         F.struct(F.lit("0.5").alias("threshold_mode"), F.lit(FIXED_THRESHOLD).alias("threshold")),
         F.struct(F.lit("validation_selected").alias("threshold_mode"), F.col("selected_threshold").alias("threshold")))))
-    # ``modes`` has two rows per model (size fixed by the model list); AQE broadcasts it
-    j = test.join(modes, "model_name")
+    # ``modes`` has two rows per model: broadcast once that size is proven
+    j = test.join(broadcast_small(modes), "model_name")
     yhat = (F.col("probability_default") >= F.col("threshold")).cast("int")
     y = F.col("y_true")
     c = j.groupBy("model_name", "threshold_mode", "threshold").agg(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.exprs import count_if, dbl, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
+from panelkit.functions.exprs import broadcast_small, count_if, dbl, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
 from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
 from panelkit.spec import DOCUMENTED, POSITIVE_CLASS, NEGATIVE_CLASS, SMALL_N, STATIC_FENCE_K, UNDOCUMENTED, CodeBook
 
@@ -34,6 +34,23 @@ def _long_values(df: DataFrame, cols: list[str], keep: list[str] | None = None)
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
 
 
+def _grouped_by_value(df: DataFrame, cols: list[str], aggs, keep: list[str] | None = None) -> DataFrame:
+    """Aggregate per (column, value) with values kept in their native type; only the
+    aggregated rows are cast to string (one unpivot per physical type, then a union)."""
+    keep = keep or []
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(types[c], []).append(c)
+    out = None
+    for group in by_type.values():
+        g = df.select(*keep, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))
+                                                for c in group]))) \
+            .groupBy("column", "value").agg(*aggs()).withColumn("value", F.col("value").cast("string"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # P1/P2/P3/P5/P12 column audit
 # ---------------------------------------------------------------------------
@@ -129,7 +146,7 @@ def audit_categorical_values(df: DataFrame, cols: list[str], codebook: CodeBook,
     Columns in ``always_documented`` (e.g. the target) are flagged documented.
     """
     require_columns(df, cols)
-    g = _long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    g = _grouped_by_value(df, cols, lambda: [F.count(F.lit(1)).cast("long").alias("count")])
     total = F.sum("count").over(Window.partitionBy("column"))
     doc = _doc_flag(codebook)
     if always_documented:
@@ -143,9 +160,9 @@ def undocumented_values(df: DataFrame, cols: list[str], codebook: CodeBook) -> D
     spark = df.sparkSession
     book = spark.createDataFrame([(f, str(c)) for f, cs in codebook.documented.items() for c in cs],
                                  "column string, value string")
-    g = _long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
-    # the code book is a fixed-size list, so AQE's runtime broadcast applies
-    return g.join(book, ["column", "value"], "left_anti").select(
+    g = _grouped_by_value(df, cols, lambda: [F.count(F.lit(1)).cast("long").alias("count")])
+    # the code book is a fixed-size list given by the caller: broadcast it
+    return g.join(F.broadcast(book), ["column", "value"], "left_anti").select(
         "column", "value", "count",
         F.lit("Present in raw dataset but not explicitly defined by official UCI documentation").alias("note"))
 
@@ -214,7 +231,7 @@ def _numeric_profile(df: DataFrame, cols: list[str], keys: list[str], fence_k: f
     fences = fences.select("*", (F.col("q25") - fence_k * F.col("iqr")).alias("lf"),
                            (F.col("q75") + fence_k * F.col("iqr")).alias("uf"))
     # second pass runs on the distinct-value table joined with a one-row-per-key fence frame
-    ext = vc.join(fences.select(*k, "lf", "uf"), k).groupBy(*k).agg(
+    ext = vc.join(broadcast_small(fences.select(*k, "lf", "uf")), k).groupBy(*k).agg(
         F.sum(F.when((F.col("_v") < F.col("lf")) | (F.col("_v") > F.col("uf")), F.col("_n")).otherwise(0))
         .cast("long").alias("n_extreme"))
     return mom.join(fences, k, "left").join(ext, k, "left")
@@ -258,7 +275,7 @@ def categorical_distribution(df: DataFrame, cols: list[str], codebook: CodeBook,
                              small_n: int = SMALL_N) -> DataFrame:
     """Count, percentage (4 dp), documentation status, small-sample flag per raw code."""
     require_columns(df, cols)
-    g = _long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    g = _grouped_by_value(df, cols, lambda: [F.count(F.lit(1)).cast("long").alias("count")])
     n = F.sum("count").over(Window.partitionBy("column"))
     return g.select(F.col("column").alias("feature"), F.col("value").alias("raw_value"), "count",
                     rnd(pct(F.col("count"), n), 4).alias("percentage"),
@@ -274,9 +291,8 @@ def categorical_default_rates(df: DataFrame, cols: list[str], target: str, codeb
     total is a window over the aggregated rows.
     """
     require_columns(df, [*cols, target])
-    g = (_long_values(df, cols, [target]).groupBy("column", "value")
-         .agg(F.count(F.lit(1)).cast("long").alias("total_count"),
-              count_if(F.col(target) == positive).alias("default_count")))
+    g = _grouped_by_value(df, cols, lambda: [F.count(F.lit(1)).cast("long").alias("total_count"),
+                                             count_if(F.col(target) == positive).alias("default_count")], [target])
     n = F.sum("total_count").over(Window.partitionBy("column"))
     return g.select(F.col("column").alias("feature"), F.col("value").alias("raw_value"), "total_count",
                     "default_count", (F.col("total_count") - F.col("default_count")).alias("non_default_count"),
@@ -338,7 +354,7 @@ def box_stats(df: DataFrame, cols: list[str], target: str, whisker: float = 1.5,
                               method or df.sparkSession.conf.get("panelkit.quantiles.method", "auto"))
     f = q.select(*k, "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     f = f.select("*", (F.col("q1") - whisker * F.col("iqr")).alias("lo_f"), (F.col("q3") + whisker * F.col("iqr")).alias("hi_f"))
-    j = vc.join(f, k)
+    j = vc.join(broadcast_small(f), k)
     inside = (F.col("_v") >= F.col("lo_f")) & (F.col("_v") <= F.col("hi_f"))
     agg = j.groupBy(*k).agg(
         F.sum("_n").cast("long").alias("count"), F.min("_v").alias("min"), F.max("_v").alias("max"),
