@@ -75,11 +75,12 @@ def _ranked(vc: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFram
     hit_hi = (F.col("_hi") >= F.col("_n_before")) & (F.col("_hi") < F.col("_n_before") + F.col("_n"))
     j = pref.join(broadcast_small(targets), on=keys, how="inner").where(hit_lo | hit_hi)
     picked = j.groupBy(*keys, "_qname").agg(
-        F.max(F.when(hit_lo, F.col("_v"))).cast("double").alias("_a"),
-        F.max(F.when(hit_hi, F.col("_v"))).cast("double").alias("_b"),
+        F.max(F.when(hit_lo, F.col("_v"))).cast("double").alias("_q_lo_value"),
+        F.max(F.when(hit_hi, F.col("_v"))).cast("double").alias("_q_hi_value"),
         F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"))
     frac = F.col("_pos") - F.col("_lo").cast("double")
-    val = F.when(frac == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * frac)
+    a, b = F.col("_q_lo_value"), F.col("_q_hi_value")
+    val = F.when(frac == 0, a).otherwise(a + (b - a) * frac)
     res = picked.groupBy(*keys).pivot("_qname", list(probs)).agg(F.first(val))
     return res.select(*keys, *[F.col(n).cast("double").alias(n) for n in probs])
 

@@ -1,4 +1,12 @@
-"""Compare registered queries with their DuckDB oracles: python scripts/check_oracle.py [sf_dir] [name ...]"""
+"""Compare registered queries with their DuckDB oracles.
+
+python scripts/check_oracle.py [--force-distributed] [sf_dir] [name ...]
+
+``--force-distributed`` sets every size threshold to 0 so the code paths meant
+for very large inputs run instead: distributed rank-search quantiles,
+range-partitioned checkpointed prefix sums and shuffle joins instead of
+broadcasts.  Results must still equal the oracle exactly.
+"""
 
 import os
 import sys
@@ -12,10 +20,17 @@ from panelkit.session import build_session  # noqa: E402
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    args = sys.argv[1:]
+    force = "--force-distributed" in args
+    args = [a for a in args if a != "--force-distributed"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
     load_all()
     spark = build_session()
+    if force:
+        for key in ("panelkit.quantiles.inMemoryLimit", "panelkit.prefix.inMemoryLimit", "panelkit.broadcast.maxRows"):
+            spark.conf.set(key, "0")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     con = duckdb_connection(sf_dir)
     bad = 0
     for name in names or sorted(QUERIES):

@@ -37,3 +37,23 @@ def test_entry_contract(spark):
     spec.loader.exec_module(mod)
     assert set(mod.oracle_sql()) <= set(mod.queries())
     assert mod.entry(spark).count() > 0
+
+
+DISTRIBUTED = ["describe_numeric", "numeric_by_target", "box_stats", "panel_summary", "payment_summary_by_target",
+               "display_range", "relationship_summary", "ratio_by_target", "density_2d", "ranking_metrics",
+               "roc_pr_curve", "threshold_search", "final_metrics", "stratified_group_split_ranked", "tabular_features"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not available")
+@pytest.mark.parametrize("name", DISTRIBUTED)
+def test_large_input_paths_match_oracle(spark, con, name):
+    """Thresholds at 0: rank-search quantiles, range-partitioned prefix sums, shuffle joins."""
+    keys = ("panelkit.quantiles.inMemoryLimit", "panelkit.prefix.inMemoryLimit", "panelkit.broadcast.maxRows")
+    for k in keys:
+        spark.conf.set(k, "0")
+    try:
+        r = compare(spark, name, SF, con)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert r["status"] == "exact", r
