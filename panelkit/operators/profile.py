@@ -64,7 +64,6 @@ def audit_columns(df: DataFrame) -> DataFrame:
     map-side partial aggregation, then count per column, so no single task
     holds a column's distinct set.
     """
-    spark = df.sparkSession
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).cast("long").alias("row_count")]
     for i, f in enumerate(fields):
@@ -87,7 +86,6 @@ def audit_columns(df: DataFrame) -> DataFrame:
                 .where(F.col("value").isNotNull()).groupBy("column", "value").count()
                 .groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count")))
         distinct = part if distinct is None else distinct.unionByName(part)
-    _ = spark
     out = stacked.join(distinct, "column", "left")
     return out.select("column", "ordinal", "dtype", "missing_count", "infinite_count",
                       F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"), "row_count",

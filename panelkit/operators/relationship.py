@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.exprs import count_if, dbl, hist_bin, pct, pct0, ratio, rnd
+from panelkit.functions.exprs import count_if, dbl, hist_bin, pct0, ratio, rnd
 from panelkit.functions.quantiles import quantiles_from_counts, value_counts
 from panelkit.operators.amounts import exact_mean, pairwise_corr
 from panelkit.spec import NEGATIVE_CLASS, POSITIVE_CLASS, RELATIONSHIP_CATEGORIES, PanelSpec
@@ -180,5 +180,3 @@ def density_2d(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay: str = "p
     return g.select(F.col("t").cast("long").alias("chronological_index"), "period",
                     F.col("x_bin").cast("long").alias("x_bin"), F.col("y_bin").cast("long").alias("y_bin"), "count")
 
-
-_ = pct  # re-exported helpers used by callers

@@ -177,3 +177,29 @@ def transition_matrix(transitions: DataFrame, spec: PanelSpec, pair_index: int)
     t = transitions.where(F.col("chronological_pair_index") == pair_index)
     return t.groupBy("source_raw_status").pivot("destination_raw_status", list(KNOWN_STATUS_CODES)) \
         .agg(F.first("percentage_within_source_status"))
+
+
+def last_k_patterns(events: DataFrame, entity: str, order_cols: list[str], value: str, k: int = 4) -> DataFrame:
+    """The last ``k`` values per entity as a '|' pattern, oldest first: ``(entity, sequence_pattern)``.
+
+    ``row_number() <= k`` plans as a partial WindowGroupLimit before the shuffle,
+    so each map task forwards at most k rows per entity: an entity holding a third
+    of all events still reaches its final task as k rows per map task.  The per
+    entity list that is then assembled has at most k elements.
+    """
+    w = Window.partitionBy(entity).orderBy(*[F.col(c).desc() for c in order_cols])
+    top = events.select(entity, *order_cols, value).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    seq = top.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct(*order_cols, F.col(value).alias("_x")))).alias("_s"))
+    return seq.select(entity, F.concat_ws("|", F.transform("_s", lambda x: x["_x"].cast("string"))).alias("sequence_pattern"))
+
+
+def pattern_summary(patterns: DataFrame, target: str, small_n: int = 200, positive: int = 1, negative: int = 0) -> DataFrame:
+    """Q6 on any (entity, sequence_pattern, target) frame."""
+    g = patterns.groupBy("sequence_pattern").agg(F.count(F.lit(1)).cast("long").alias("total_count"),
+                                                 count_if(F.col(target) == positive).alias("default_count"),
+                                                 count_if(F.col(target) == negative).alias("non_default_count"))
+    n = patterns.select(F.count(F.lit(1))).scalar()
+    return g.select("sequence_pattern", "total_count", rnd(pct("total_count", n), 6).alias("population_percentage"),
+                    "default_count", "non_default_count", rnd(ratio("default_count", "total_count"), 6).alias("default_rate"),
+                    (F.col("total_count") > 0).alias("observed_combination"),
+                    (F.col("total_count") < small_n).alias("small_sample_warning"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import features as FT
 from panelkit.operators import split as G
 from panelkit.plans.catalog import register
-from panelkit.plans.sql import PANEL_CTE, s_cnt, sql_hex_bucket, sql_rnd
+from panelkit.plans.sql import PANEL_CTE, sql_hex_bucket, sql_rnd
 from panelkit.sources.testdata import PANEL_SPEC, customer_panel
 
 STATIC_CONT = ["n_orders_total", "n_lines_total"]
@@ -183,5 +183,3 @@ def q_feature_checks(spark, sf_dir):
                     FT.temporal_representation(PANEL_SPEC, ch).alias("temporal"))
     return FT.finite_checks(rep, ["tabular", "temporal"])
 
-
-_ = s_cnt

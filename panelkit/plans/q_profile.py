@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from panelkit.operators import profile as P
 from panelkit.plans.catalog import register
 from panelkit.plans.sql import s_cnt, s_pct, s_ratio, sql_hist_bin, sql_hist_edge, sql_rnd
@@ -234,5 +232,3 @@ WITH {LI} SELECT {sql_rnd(s_ratio(s_cnt('target = 1'), 'COUNT(*)'), 6)} AS overa
 def q_overall_default_rate(spark, sf_dir):
     return P.overall_default_rate(lineitem_rows(spark, sf_dir), "target")
 
-
-_ = F  # keep the functions import for query authors

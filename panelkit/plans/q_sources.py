@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from panelkit.plans.catalog import register
 from panelkit.plans.q_features import SP, split_panel
 from panelkit.sources.tables import smoke_subset, table_integrity
@@ -22,5 +20,3 @@ def q_smoke_subset(spark, sf_dir):
     """A10: the first 100 ids of every split (the reference's smoke-run subset)."""
     return smoke_subset(split_panel(spark, sf_dir).select("c_custkey", "split", "target"), "c_custkey", 100)
 
-
-_ = F

@@ -168,3 +168,25 @@ def _transition_matrix_sql(pair: int) -> str:
 def q_transition_matrix(spark, sf_dir):
     """Q10: source x destination % matrix of the last adjacent pair."""
     return Q.transition_matrix(Q.status_transitions(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC, 4)
+
+
+@register("event_sequence_patterns", f"""
+WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events),
+p AS (SELECT user_id, string_agg(event_type, '|' ORDER BY ts, event_id) AS sequence_pattern FROM r WHERE rn <= 4
+      GROUP BY user_id),
+t AS (SELECT user_id, MAX(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS target FROM events GROUP BY user_id),
+g AS (SELECT sequence_pattern, COUNT(*) AS total_count, {s_cnt('target = 1')} AS default_count,
+        {s_cnt('target = 0')} AS non_default_count FROM p JOIN t ON p.user_id = t.user_id GROUP BY 1)
+SELECT sequence_pattern, CAST(total_count AS BIGINT) AS total_count,
+  {R(s_pct('total_count', '(SELECT COUNT(*) FROM p)'))} AS population_percentage, default_count, non_default_count,
+  {R(s_ratio('default_count', 'total_count'))} AS default_rate, total_count > 0 AS observed_combination,
+  total_count < 200 AS small_sample_warning FROM g""")
+def q_event_sequence_patterns(spark, sf_dir):
+    """Q6 on event streams: last 4 event types per user (by ts, event_id); target = user ever hit an error."""
+    from pyspark.sql import functions as F
+
+    from panelkit.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events")
+    pats = Q.last_k_patterns(ev, "user_id", ["ts", "event_id"], "event_type", 4)
+    tgt = ev.groupBy("user_id").agg(F.max((F.col("event_type") == "error").cast("int")).alias("target"))
+    return Q.pattern_summary(pats.join(tgt, "user_id"), "target")
