@@ -15,6 +15,7 @@ Input: ``(model_name, ID, y_true, probability_default[, split])``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,8 +150,10 @@ def roc_pr_curve(preds: DataFrame, keys=("model_name",), digits: int = 6) -> Dat
 def threshold_search(preds: DataFrame, keys=("model_name",), with_ranking: bool = True) -> DataFrame:
     """Metrics at each of the 181 grid thresholds per model, plus ranking metrics."""
     y = F.col("y_true")
+    # at most 182 rows per model: persisted so the domain below does not re-scan the predictions
     b = preds.select(*keys, grid_bucket("probability_default").alias("bucket"), y) \
-        .groupBy(*keys, "bucket").agg(count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg"))
+        .groupBy(*keys, "bucket").agg(count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     # dense (model, bucket) domain: 182 buckets generated per distinct model
     dense = b.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(-1), F.lit(GRID_SIZE - 1))).alias("bucket"))
     d = dense.join(b, [*keys, "bucket"], "left").fillna(0, ["pos", "neg"])

@@ -328,7 +328,8 @@ def class_histogram(df: DataFrame, col: str, target: str, n_bins: int = 40,
     data = df.select(v.alias("v"), F.col(target).alias("cls")).where(F.col("v").isNotNull())
     counts = data.select("cls", hist_bin("v", lo_s, hi_s, n_bins).alias("bin")) \
         .groupBy("cls", "bin").agg(F.count(F.lit(1)).alias("n"))
-    class_tot = data.groupBy("cls").agg(F.count(F.lit(1)).alias("class_n"))
+    # every non-null value lies in [min, max], so class totals come from the (tiny) bin counts
+    class_tot = counts.groupBy("cls").agg(F.sum("n").alias("class_n"))
     dense = rng.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"),
                        F.explode(F.array(*[F.lit(c) for c in classes])).alias("cls"))
     out = dense.join(counts, ["cls", "bin"], "left").join(class_tot, "cls", "left")
