@@ -105,7 +105,27 @@ def q_early_stop_epoch(spark, sf_dir):
     return L.early_stop(L.gbt_history(model, val, "gradient_boosting"))
 
 
-@register("facts")
+def _facts_sql() -> str:
+    from panelkit.plans import q_evaluate, q_profile, q_status  # noqa: F401 - registers the statements used below
+    from panelkit.plans.catalog import ORACLE
+    from panelkit.plans.q_evaluate import VAL, search_cte
+
+    def rows(src: str, section: str, subject: str, metrics: list[str]) -> str:
+        return "\n  UNION ALL ".join(
+            f"SELECT '{section}' AS section, CAST({subject} AS VARCHAR) AS subject, '{m}' AS metric, "
+            f"CAST({m} AS DOUBLE) AS value FROM ({src})" for m in metrics)
+    best = f"{VAL}, {search_cte('v')} SELECT * FROM best"
+    parts = [rows(ORACLE["target_summary"], "static", "class_label", ["count", "percentage",
+                                                                      "imbalance_ratio_majority_to_minority"]),
+             rows(ORACLE["sequence_coverage"], "status", "'sequences'", ["code_0_total", "code_minus2_total",
+                                                                         "distinct_patterns", "topk_count", "topk_percentage"]),
+             rows(ORACLE["modal_status"], "status", "concat_ws(':', period, target_class)",
+                  ["raw_status_value", "percentage_within_target_class"]),
+             rows(best, "evaluation", "model_name", ["threshold", "default_f1", "pr_auc", "roc_auc"])]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("facts", _facts_sql())
 def q_facts(spark, sf_dir):
     p = customer_panel(spark, sf_dir)
     li = lineitem_rows(spark, sf_dir)
@@ -123,7 +143,25 @@ def q_facts(spark, sf_dir):
     ])
 
 
-@register("checks_static")
+def _checks_static_sql() -> str:
+    from panelkit.plans import q_profile  # noqa: F401 - registers the statements used below
+    from panelkit.plans.catalog import ORACLE
+    from panelkit.plans.sql import s_cnt
+    return f"""WITH ts AS ({ORACLE['target_summary']}), rates AS ({ORACLE['categorical_default_rates']}),
+pf AS (SELECT feature, SUM(total_count) AS s, SUM(default_count) AS d FROM rates GROUP BY feature),
+nn AS (SELECT COUNT(*) AS n, {s_cnt("l_returnflag = 'R'")} AS pos FROM lineitem)
+SELECT 'target_total_equals_rows' AS check_name, COALESCE(SUM(count) = (SELECT n FROM nn), FALSE) AS passed,
+  printf('%d', SUM(count)) AS detail FROM ts
+UNION ALL SELECT 'percentages_sum_to_100', COALESCE(abs(SUM(percentage) - 100.0) <= 1e-3, FALSE), '' FROM ts
+UNION ALL SELECT 'defaults_plus_non_defaults_equal_total',
+  {s_cnt('default_count + non_default_count <> total_count')} = 0, '' FROM rates
+UNION ALL SELECT 'default_rates_in_unit_interval', {s_cnt('default_rate < 0 OR default_rate > 1')} = 0, '' FROM rates
+UNION ALL SELECT 'category_totals_equal_rows', COALESCE(bool_and(s = (SELECT n FROM nn)), FALSE),
+  printf('%d features', COUNT(*)) FROM pf
+UNION ALL SELECT 'grouped_defaults_equal_positives', COALESCE(bool_and(d = (SELECT pos FROM nn)), FALSE), '' FROM pf"""
+
+
+@register("checks_static", _checks_static_sql())
 def q_checks_static(spark, sf_dir):
     from panelkit.sources.testdata import LINEITEM_CODEBOOK
     return C.static_checks(lineitem_rows(spark, sf_dir), ["l_linestatus", "l_linenumber"], "target", LINEITEM_CODEBOOK)
