@@ -138,8 +138,8 @@ def broadcast_small(df, max_rows: int | None = None):
     """Broadcast ``df`` only after proving its size: it is persisted, counted and
     broadcast when it has at most ``max_rows`` rows (default 100k, setting
     ``panelkit.broadcast.maxRows``); otherwise it is returned for a shuffle join."""
-    from pyspark import StorageLevel
+    from panelkit.session import track
     limit = max_rows if max_rows is not None else int(
         df.sparkSession.conf.get("panelkit.broadcast.maxRows", str(BROADCAST_ROWS)))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = track(df)
     return F.broadcast(df) if df.count() <= limit else df

@@ -9,12 +9,11 @@ the exclusive running total of the partitions before it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import broadcast_small
-from panelkit.session import ensure_checkpoint_dir
+from panelkit.session import ensure_checkpoint_dir, track
 
 SMALL_LIMIT = 2_000_000
 
@@ -36,7 +35,7 @@ def ordered_prefix(df: DataFrame, keys: list[str], order_col: str, sum_cols: lis
     """
     spark = df.sparkSession
     limit = int(spark.conf.get("panelkit.prefix.inMemoryLimit", str(SMALL_LIMIT)))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = track(df)
     if df.count() <= limit:
         # provably small: one window per key over at most ``limit`` rows in total
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)

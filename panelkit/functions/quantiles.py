@@ -18,11 +18,11 @@ spread over all tasks and partially aggregated map-side.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import broadcast_small
+from panelkit.session import track
 from panelkit.functions.ordered import ordered_prefix
 
 IN_MEMORY_LIMIT = 2_000_000
@@ -50,7 +50,7 @@ def quantiles_from_counts(vc: DataFrame, keys: list[str], probs: dict[str, float
     """``vc`` = (keys, _v, _n) with unique (keys, _v).  Returns keys + one double column per prob."""
     names = list(probs)
     if method == "auto":
-        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
+        vc = track(vc)
         method = "percentile" if vc.count() <= _limit(vc) else "ranked"
     if method == "percentile":
         arr = F.percentile(F.col("_v"), F.array(*[F.lit(float(probs[n])) for n in names]), F.col("_n"))

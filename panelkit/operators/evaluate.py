@@ -15,12 +15,12 @@ Input: ``(model_name, ID, y_true, probability_default[, split])``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import broadcast_small, count_if, rnd
 from panelkit.functions.ordered import ordered_prefix
+from panelkit.session import track
 from panelkit.spec import FIXED_THRESHOLD, GRID_SIZE, GRID_START, GRID_STEP
 
 # numpy.arange(0.050, 0.955, 0.005) fills start + i * ((start + step) - start)
@@ -152,8 +152,8 @@ def threshold_search(preds: DataFrame, keys=("model_name",), with_ranking: bool
     y = F.col("y_true")
     # at most 182 rows per model: persisted so the domain below does not re-scan the predictions
     b = preds.select(*keys, grid_bucket("probability_default").alias("bucket"), y) \
-        .groupBy(*keys, "bucket").agg(count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .groupBy(*keys, "bucket").agg(count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg"))
+    b = track(b)
     # dense (model, bucket) domain: 182 buckets generated per distinct model
     dense = b.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(-1), F.lit(GRID_SIZE - 1))).alias("bucket"))
     d = dense.join(b, [*keys, "bucket"], "left").fillna(0, ["pos", "neg"])

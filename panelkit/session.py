@@ -53,3 +53,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
+
+
+# Intermediates persisted by operators (value-count tables, small join sides).  They
+# must outlive the lazy DataFrame an operator returns, so they are released
+# explicitly once the caller's actions are done.
+_INTERMEDIATES: dict[int, list] = {}
+
+
+def track(df):
+    """Persist ``df`` (memory, spilling to disk) and remember it for :func:`release_intermediates`."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _INTERMEDIATES.setdefault(id(df.sparkSession), []).append(df)
+    return df
+
+
+def release_intermediates(spark: SparkSession) -> int:
+    """Unpersist every intermediate tracked for this session; returns how many were released."""
+    frames = _INTERMEDIATES.pop(id(spark), [])
+    for df in frames:
+        df.unpersist(blocking=False)
+    return len(frames)

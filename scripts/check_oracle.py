@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from panelkit.plans.catalog import QUERIES, load_all  # noqa: E402
 from panelkit.plans.verify import compare, duckdb_connection  # noqa: E402
-from panelkit.session import build_session  # noqa: E402
+from panelkit.session import build_session, release_intermediates  # noqa: E402
 
 
 def main():
@@ -39,6 +39,7 @@ def main():
             r = compare(spark, name, sf_dir, con)
         except Exception as exc:  # noqa: BLE001
             r = {"query": name, "status": f"ERROR {type(exc).__name__}: {str(exc)[:600]}"}
+        release_intermediates(spark)
         ok = r["status"] in ("exact", "no-oracle")
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {name:34s} {time.time() - t:6.2f}s {r}", flush=True)
