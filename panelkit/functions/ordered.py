@@ -16,6 +16,7 @@ from panelkit.functions.exprs import broadcast_small
 from panelkit.session import ensure_checkpoint_dir, track
 
 SMALL_LIMIT = 2_000_000
+ROWS_PER_PARTITION = 4_000_000
 
 
 def _default_partitions(df: DataFrame) -> int:
@@ -36,12 +37,15 @@ def ordered_prefix(df: DataFrame, keys: list[str], order_col: str, sum_cols: lis
     spark = df.sparkSession
     limit = int(spark.conf.get("panelkit.prefix.inMemoryLimit", str(SMALL_LIMIT)))
     df = track(df)
-    if df.count() <= limit:
+    n_rows = df.count()
+    if n_rows <= limit:
         # provably small: one window per key over at most ``limit`` rows in total
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
         return df.select(*df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in sum_cols])
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or _default_partitions(df)
+    # size range partitions from the row count (default ~4M rows each), never below the shuffle default
+    per_part = int(spark.conf.get("panelkit.prefix.rowsPerPartition", str(ROWS_PER_PARTITION)))
+    parts = num_partitions or max(_default_partitions(df), -(-n_rows // per_part))
     ranged = (df.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(order_col))
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from panelkit.functions.exprs import broadcast_small, count_if, dbl, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
 from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
+from panelkit.session import track
 from panelkit.spec import DOCUMENTED, POSITIVE_CLASS, NEGATIVE_CLASS, SMALL_N, STATIC_FENCE_K, UNDOCUMENTED, CodeBook
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -228,6 +229,7 @@ def _numeric_profile(df: DataFrame, cols: list[str], keys: list[str], fence_k: f
     fences = q.select(*k, "q25", "median", "q75", (F.col("q75") - F.col("q25")).alias("iqr"))
     fences = fences.select("*", (F.col("q25") - fence_k * F.col("iqr")).alias("lf"),
                            (F.col("q75") + fence_k * F.col("iqr")).alias("uf"))
+    fences = track(fences)  # one row per key; read by the fence join and by the output join
     # second pass runs on the distinct-value table joined with a one-row-per-key fence frame
     ext = vc.join(broadcast_small(fences.select(*k, "lf", "uf")), k).groupBy(*k).agg(
         F.sum(F.when((F.col("_v") < F.col("lf")) | (F.col("_v") > F.col("uf")), F.col("_n")).otherwise(0))
