@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from panelkit.operators import evaluate as E
@@ -125,3 +127,14 @@ def test_golden_test_confusion_formulas(spark):
     assert r["default_f1"] == pytest.approx(0.5349, abs=1e-4)
     assert r["default_precision"] == pytest.approx(0.5304, abs=1e-4)
     assert r["accuracy"] == pytest.approx(0.7925, abs=1e-4)
+
+
+def test_metrics_invariant_under_repartition(spark):
+    """Metamorphic: shuffling rows / changing partitioning never changes a metric."""
+    rnd = random.Random(9)
+    rows = [(m, str(i), rnd.randint(0, 1), round(rnd.random(), 3)) for m in ("a", "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "model_name string, ID string, y_true long, probability_default double")
+    other = df.orderBy(F.rand(5)).repartition(11)
+    for fn in (E.ranking_metrics, E.threshold_search, lambda d: E.threshold_metrics(d, 0.37)):
+        a, b = fn(df), fn(other)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

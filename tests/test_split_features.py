@@ -136,3 +136,29 @@ def test_early_stop_rule_on_golden_history(spark):
     for m, (best, n) in expect.items():
         assert out[m]["best_epoch"] == best and out[m]["epochs_available"] == n
         assert out[m]["stop_epoch"] == n - 1  # epochs are 0-based: the last logged epoch stops training
+
+
+def test_hot_key_quantiles_and_prefix(spark):
+    """One key holds ~99 % of the rows: the distributed paths stay exact."""
+    import numpy as np
+    from panelkit.functions.ordered import ordered_prefix
+    rnd = random.Random(4)
+    vals = [("hot", float(rnd.randint(0, 5000))) for _ in range(6000)] + [("cold", float(v)) for v in range(7)]
+    df = spark.createDataFrame(vals, "k string, v double")
+    spark.conf.set("panelkit.prefix.inMemoryLimit", "0")
+    spark.conf.set("panelkit.prefix.rowsPerPartition", "500")   # force many range partitions
+    try:
+        got = {r["k"]: r for r in group_quantiles(df, ["k"], "v", {"q": 0.37, "m": 0.5}, method="ranked").collect()}
+        counts = df.groupBy("k", "v").count()
+        pref = ordered_prefix(counts, ["k"], "v", ["count"]).where("k = 'hot'").orderBy("v").collect()
+    finally:
+        spark.conf.unset("panelkit.prefix.inMemoryLimit")
+        spark.conf.unset("panelkit.prefix.rowsPerPartition")
+    for k in ("hot", "cold"):
+        xs = [v for kk, v in vals if kk == k]
+        assert got[k]["q"] == pytest.approx(float(np.percentile(xs, 37)), abs=1e-9)
+        assert got[k]["m"] == pytest.approx(float(np.percentile(xs, 50)), abs=1e-9)
+    running = 0
+    for r in pref:
+        assert r["count_before"] == running
+        running += r["count"]
