@@ -162,7 +162,7 @@ def threshold_search(preds: DataFrame, keys=("model_name",), with_ranking: bool
     d = d.select(*keys, "bucket", F.sum("pos").over(w_rev).alias("tp"), F.sum("neg").over(w_rev).alias("fp"),
                  F.sum("pos").over(w_all).alias("P"), F.sum("neg").over(w_all).alias("N"))
     d = d.where(F.col("bucket") >= 0).select(
-        *keys, F.col("bucket").alias("grid_index"), grid_value("bucket").alias("threshold"),
+        *keys, F.col("bucket").cast("long").alias("grid_index"), grid_value("bucket").alias("threshold"),
         (F.col("N") - F.col("fp")).cast("long").alias("tn"), F.col("fp").cast("long").alias("fp"),
         (F.col("P") - F.col("tp")).cast("long").alias("fn"), F.col("tp").cast("long").alias("tp"))
     out = d.select(*keys, "grid_index", "threshold", "tn", "fp", "fn", "tp", *metric_columns(digits=None))
