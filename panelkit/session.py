@@ -41,8 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
     Only local/test sessions without the setting get a fresh scratch folder.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
