@@ -103,21 +103,22 @@ def score_counts(preds: DataFrame, keys=("model_name",)) -> DataFrame:
         count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg"))
 
 
-def _with_running(preds: DataFrame, keys) -> DataFrame:
-    sc = score_counts(preds, keys)
+def _with_running(preds: DataFrame, keys, sc: DataFrame | None = None) -> DataFrame:
+    sc = sc if sc is not None else score_counts(preds, keys)
     pref = ordered_prefix(sc, list(keys), "s", ["pos", "neg"])
     tot = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return pref.join(tot, list(keys))
 
 
-def ranking_metrics(preds: DataFrame, keys=("model_name",), digits: int | None = 6) -> DataFrame:
+def ranking_metrics(preds: DataFrame, keys=("model_name",), digits: int | None = 6,
+                    sc: DataFrame | None = None) -> DataFrame:
     """ROC-AUC with ties counted ½ (0.5 if one class is absent) and step-wise average
     precision (0.0 without positives), exact, per key.
 
     AUC = Σ_s neg(s)·(2·pos_above(s) + pos(s)) / (2·P·N), summed as DECIMAL(38,0).
     AP  = Σ_s pos(s) · TP(s) / (TP(s) + FP(s)) / P with TP / FP counted at score >= s.
     """
-    r = _with_running(preds, keys)
+    r = _with_running(preds, keys, sc)
     pos_above = F.col("P") - F.col("pos_before") - F.col("pos")
     term = (F.col("neg").cast("decimal(38,0)") * (2 * pos_above + F.col("pos")).cast("decimal(38,0)"))
     tp = (F.col("P") - F.col("pos_before")).cast("double")
@@ -149,11 +150,11 @@ def roc_pr_curve(preds: DataFrame, keys=("model_name",), digits: int = 6) -> Dat
 
 def threshold_search(preds: DataFrame, keys=("model_name",), with_ranking: bool = True) -> DataFrame:
     """Metrics at each of the 181 grid thresholds per model, plus ranking metrics."""
-    y = F.col("y_true")
-    # at most 182 rows per model: persisted so the domain below does not re-scan the predictions
-    b = preds.select(*keys, grid_bucket("probability_default").alias("bucket"), y) \
-        .groupBy(*keys, "bucket").agg(count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg"))
-    b = track(b)
+    # one scan: distinct (model, score) counts feed both the grid buckets (a function of
+    # the score) and the ranking metrics
+    sc = track(score_counts(preds, keys))
+    b = sc.groupBy(*keys, grid_bucket("s").alias("bucket")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    b = track(b)  # at most 182 rows per model: read by the domain and by the counts
     # dense (model, bucket) domain: 182 buckets generated per distinct model
     dense = b.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(-1), F.lit(GRID_SIZE - 1))).alias("bucket"))
     d = dense.join(b, [*keys, "bucket"], "left").fillna(0, ["pos", "neg"])
@@ -167,7 +168,7 @@ def threshold_search(preds: DataFrame, keys=("model_name",), with_ranking: bool
         (F.col("P") - F.col("tp")).cast("long").alias("fn"), F.col("tp").cast("long").alias("tp"))
     out = d.select(*keys, "grid_index", "threshold", "tn", "fp", "fn", "tp", *metric_columns(digits=None))
     if with_ranking:
-        out = out.join(ranking_metrics(preds, keys), list(keys), "left")
+        out = out.join(ranking_metrics(preds, keys, sc=sc), list(keys), "left")
     return out
 
 
@@ -222,15 +223,19 @@ def final_metrics(test: DataFrame, selected: DataFrame) -> DataFrame:
     modes = thr.select("model_name", F.inline(F.array(
         F.struct(F.lit("0.5").alias("threshold_mode"), F.lit(FIXED_THRESHOLD).alias("threshold")),
         F.struct(F.lit("validation_selected").alias("threshold_mode"), F.col("selected_threshold").alias("threshold")))))
-    # ``modes`` has two rows per model: broadcast once that size is proven
-    j = test.join(broadcast_small(modes), "model_name")
-    yhat = (F.col("probability_default") >= F.col("threshold")).cast("int")
-    y = F.col("y_true")
+    # one scan of the test predictions: distinct (model, score) counts give both the
+    # confusion counts at each threshold and the ranking metrics.  ``modes`` has two
+    # rows per model and is broadcast once that size is proven.
+    sc = track(score_counts(test))
+    j = sc.join(broadcast_small(modes), "model_name")
+    above = F.col("s") >= F.col("threshold")
     c = j.groupBy("model_name", "threshold_mode", "threshold").agg(
-        count_if((y == 0) & (yhat == 0)).alias("tn"), count_if((y == 0) & (yhat == 1)).alias("fp"),
-        count_if((y == 1) & (yhat == 0)).alias("fn"), count_if((y == 1) & (yhat == 1)).alias("tp"))
+        F.sum(F.when(~above, F.col("neg")).otherwise(0)).cast("long").alias("tn"),
+        F.sum(F.when(above, F.col("neg")).otherwise(0)).cast("long").alias("fp"),
+        F.sum(F.when(~above, F.col("pos")).otherwise(0)).cast("long").alias("fn"),
+        F.sum(F.when(above, F.col("pos")).otherwise(0)).cast("long").alias("tp"))
     m = c.select("model_name", "threshold_mode", "threshold", "tn", "fp", "fn", "tp", *metric_columns())
-    return m.join(ranking_metrics(test), "model_name", "left")
+    return m.join(ranking_metrics(test, sc=sc), "model_name", "left")
 
 
 def validation_vs_test(selected_validation: DataFrame, final: DataFrame) -> DataFrame:
