@@ -37,7 +37,14 @@ def q_checks_relationship(spark, sf_dir):
     return C.relationship_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
 
 
-@register("checks_split")
+def _checks_split_sql() -> str:
+    from panelkit.plans.q_features import SP
+    from panelkit.plans.q_split import manifest_checks_sql
+    return manifest_checks_sql(SP, "SELECT c_custkey AS ID, split, target, gid AS predictor_group_id FROM sp",
+                               "SELECT c_custkey AS ID, target AS raw_t, gid AS raw_g FROM pg")
+
+
+@register("checks_split", _checks_split_sql())
 def q_checks_split(spark, sf_dir):
     p = G.with_group_id(customer_panel(spark, sf_dir), PREDICTORS)
     manifest = G.stratified_group_split(p, id_col="c_custkey", target="target", mode="hash")
@@ -167,7 +174,24 @@ def q_checks_static(spark, sf_dir):
     return C.static_checks(lineitem_rows(spark, sf_dir), ["l_linestatus", "l_linenumber"], "target", LINEITEM_CODEBOOK)
 
 
-@register("shape_checks")
+def _shape_checks_sql() -> str:
+    from panelkit.plans import q_features  # noqa: F401 - registers the statements used below
+    from panelkit.plans.catalog import ORACLE
+    from panelkit.plans.q_features import SP, TAB_CAT, TAB_CONT, _cats_sql
+    from panelkit.plans.sql import s_cnt
+    width = f"({len(TAB_CONT)} + " + " + ".join(f"len({c}_cats)" for c in TAB_CAT) + ")"
+    n = PANEL_SPEC.n_periods
+    return f"""WITH tab AS ({ORACLE['tabular_features']}), tem AS ({ORACLE['temporal_features']}),
+{SP}, {_cats_sql(TAB_CAT)}, w AS (SELECT {width} AS width FROM cats)
+SELECT 'tabular_length_' || CAST((SELECT width FROM w) AS VARCHAR) AS check_name,
+  {s_cnt('len(tabular) <> (SELECT width FROM w)')} = 0 AS passed,
+  printf('%d rows off', {s_cnt('len(tabular) <> (SELECT width FROM w)')}) AS detail FROM tab
+UNION ALL SELECT 'temporal_length_{n}', {s_cnt(f'len(temporal) <> {n}')} = 0, printf('%d rows off', {s_cnt(f'len(temporal) <> {n}')}) FROM tem
+UNION ALL SELECT 'temporal_flat_length_{n * 3}', {s_cnt(f'len(flatten(temporal)) <> {n * 3}')} = 0,
+  printf('%d rows off', {s_cnt(f'len(flatten(temporal)) <> {n * 3}')}) FROM tem"""
+
+
+@register("shape_checks", _shape_checks_sql())
 def q_shape_checks(spark, sf_dir):
     """Every prepared row has the expected tabular width and a periods x 3 tensor."""
     sp = split_panel(spark, sf_dir)

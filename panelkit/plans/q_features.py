@@ -172,7 +172,18 @@ def q_feature_lineage(spark, sf_dir):
     return FT.feature_lineage(spark, {"tabular": tab, "temporal": temporal})
 
 
-@register("feature_checks")
+def _feature_checks_sql() -> str:
+    from panelkit.plans.catalog import ORACLE
+    from panelkit.plans.sql import s_cnt
+    bad = "list_bool_or(list_transform({arr}, lambda x: x IS NULL OR isnan(x) OR abs(x) = CAST('inf' AS FLOAT)))"
+    tb, tm = bad.format(arr="tabular"), bad.format(arr="flatten(temporal)")
+    return f"""WITH tab AS ({ORACLE['tabular_features']}), tem AS ({ORACLE['temporal_features']})
+SELECT 'tabular_finite' AS check_name, {s_cnt(tb)} = 0 AS passed,
+  printf('%d rows with non-finite values', {s_cnt(tb)}) AS detail FROM tab
+UNION ALL SELECT 'temporal_finite', {s_cnt(tm)} = 0, printf('%d rows with non-finite values', {s_cnt(tm)}) FROM tem"""
+
+
+@register("feature_checks", _feature_checks_sql())
 def q_feature_checks(spark, sf_dir):
     sp = split_panel(spark, sf_dir)
     tr = sp.where(F.col("split") == "train")

@@ -101,14 +101,17 @@ def q_group_collisions(spark, sf_dir):
     return G.group_collisions(_groups(spark, sf_dir), list(PART_PREDICTORS))
 
 
-MANIFEST_CHECKS_SQL = f"""WITH {PG}, {HASH_MANIFEST},
-raw AS (SELECT ID, target AS raw_t, predictor_group_id AS raw_g FROM pg),
-j AS (SELECT mf.split, mf.target, mf.predictor_group_id, raw.raw_t, raw.raw_g FROM mf FULL OUTER JOIN raw ON mf.ID = raw.ID),
+def manifest_checks_sql(ctes: str, manifest: str, raw: str) -> str:
+    """SQL of ``split.verify_manifest``: ``manifest`` has (ID, split, target, predictor_group_id),
+    ``raw`` has (ID, raw_t, raw_g) with recomputed group ids."""
+    return f"""WITH {ctes},
+mfc AS ({manifest}), raw AS ({raw}),
+j AS (SELECT mfc.split, mfc.target, mfc.predictor_group_id, raw.raw_t, raw.raw_g FROM mfc FULL OUTER JOIN raw ON mfc.ID = raw.ID),
 a AS (SELECT {s_cnt('split IS NULL OR raw_t IS NULL')} AS one_side,
         {s_cnt('target IS DISTINCT FROM raw_t')} AS tm, {s_cnt('predictor_group_id IS DISTINCT FROM raw_g')} AS gm,
         {s_cnt("split IS NOT NULL AND split NOT IN ('train', 'validation', 'test')")} AS bad_label FROM j),
-per_id AS (SELECT ID, COUNT(*) AS n FROM mf GROUP BY ID),
-per_g AS (SELECT predictor_group_id, COUNT(DISTINCT split) AS ns FROM mf GROUP BY predictor_group_id)
+per_id AS (SELECT ID, COUNT(*) AS n FROM mfc GROUP BY ID),
+per_g AS (SELECT predictor_group_id, COUNT(DISTINCT split) AS ns FROM mfc GROUP BY predictor_group_id)
 SELECT 'manifest_schema_exact' AS check_name, TRUE AS passed, 'ID,split,target,predictor_group_id' AS detail
 UNION ALL SELECT 'population_equal', one_side = 0, printf('%d ids on one side only', one_side) FROM a
 UNION ALL SELECT 'targets_equal', tm = 0, printf('%d target mismatches', tm) FROM a
@@ -118,6 +121,10 @@ UNION ALL SELECT 'ids_unique', COALESCE(MAX(n) <= 1, FALSE), printf('max rows pe
 UNION ALL SELECT 'groups_disjoint_across_splits', {s_cnt('ns > 1')} = 0, printf('%d groups in several splits', {s_cnt('ns > 1')}) FROM per_g"""
 
 
+MANIFEST_CHECKS_SQL = manifest_checks_sql(f"{PG}, {HASH_MANIFEST}", "SELECT * FROM mf",
+                                          "SELECT ID, target AS raw_t, predictor_group_id AS raw_g FROM pg")
+
+
 @register("manifest_checks", MANIFEST_CHECKS_SQL)
 def q_manifest_checks(spark, sf_dir):
     raw = part_groups(spark, sf_dir)
