@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.exprs import broadcast_small, count_if, dbl, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
+from panelkit.functions.exprs import broadcast_small, count_if, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
 from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
 from panelkit.session import track
 from panelkit.spec import DOCUMENTED, POSITIVE_CLASS, NEGATIVE_CLASS, SMALL_N, STATIC_FENCE_K, UNDOCUMENTED, CodeBook
@@ -28,13 +28,6 @@ def require_columns(df: DataFrame, cols) -> None:
         raise ValueError(f"Required column(s) missing: {missing}; available: {df.columns}")
 
 
-def _long_values(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """(keep..., column, value-as-string) for the given columns."""
-    keep = keep or []
-    return df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
-
-
 def _grouped_by_value(df: DataFrame, cols: list[str], aggs, keep: list[str] | None = None) -> DataFrame:
     """Aggregate per (column, value) with values kept in their native type; only the
     aggregated rows are cast to string (one unpivot per physical type, then a union)."""
