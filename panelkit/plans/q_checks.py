@@ -20,7 +20,50 @@ from panelkit.spec import BILL_POLICY, PAYMENT_POLICY
 from panelkit.operators import profile as P
 
 
-@register("checks_status")
+def _checks_status_sql() -> str:
+    from panelkit.plans.q_status import BY_TARGET_SQL, PATTERNS_CTE, STATUS_BY_PERIOD_SQL, TRANSITIONS_SQL
+    from panelkit.plans.sql import PANEL_CTE, s_cnt
+    n = "(SELECT n FROM nn)"
+    return f"""WITH q2 AS ({STATUS_BY_PERIOD_SQL.strip()}), q4 AS ({BY_TARGET_SQL.strip()}), q5 AS ({TRANSITIONS_SQL.strip()}),
+q6 AS (WITH {PATTERNS_CTE} SELECT * FROM pats), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
+pm AS (SELECT chronological_month_index, SUM(total_count) AS s FROM q2 GROUP BY 1),
+cl AS (SELECT chronological_month_index, target_class, SUM(percentage_within_target_class) AS p, SUM(status_count) AS c
+       FROM q4 GROUP BY 1, 2),
+pr AS (SELECT chronological_pair_index, SUM(transition_count) AS s FROM q5 GROUP BY 1)
+SELECT 'month_totals_equal_population' AS check_name, COALESCE(bool_and(s = {n}), FALSE) AS passed,
+  printf('%d months checked', COUNT(*)) AS detail FROM pm
+UNION ALL SELECT 'class_percentages_sum_to_100',
+  COALESCE(bool_and(CASE WHEN c > 0 THEN abs(p - 100.0) <= 1e-3 ELSE TRUE END), FALSE),
+  printf('max deviation %.6f', MAX(abs(p - 100.0))) FROM cl
+UNION ALL SELECT 'defaults_plus_non_defaults_equal_total', {s_cnt('default_count + non_default_count <> total_count')} = 0,
+  printf('%d rows off', {s_cnt('default_count + non_default_count <> total_count')}) FROM q2
+UNION ALL SELECT 'default_rates_in_unit_interval', {s_cnt('default_rate < 0 OR default_rate > 1')} = 0, '' FROM q2
+UNION ALL SELECT 'codes_0_and_minus2_observed', ({s_cnt('raw_status_value = 0 AND observed_combination')} > 0)
+  AND ({s_cnt('raw_status_value = -2 AND observed_combination')} > 0), '' FROM q2
+UNION ALL SELECT 'pair_totals_within_known_codes', COALESCE(MAX(s) <= {n}, FALSE),
+  printf('max pair total %d of %d', MAX(s), {n}) FROM pr
+UNION ALL SELECT 'pattern_totals_equal_population', COALESCE(SUM(total_count) = {n}, FALSE), printf('%d', SUM(total_count)) FROM q6
+UNION ALL SELECT 'patterns_have_all_periods', {s_cnt(f"len(string_split(sequence_pattern, '|')) <> {PANEL_SPEC.n_periods}")} = 0, '' FROM q6"""
+
+
+def _checks_relationship_sql() -> str:
+    from panelkit.plans import q_relationship  # noqa: F401 - registers the statements used below
+    from panelkit.plans.catalog import ORACLE
+    from panelkit.plans.sql import PANEL_CTE, s_cnt
+    return f"""WITH r1 AS ({ORACLE['relationship_summary']}), r3 AS ({ORACLE['ratio_summary']}),
+r4 AS ({ORACLE['relationship_categories']}), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
+j AS (SELECT r1.*, r3.eligible_count, r3.ineligible_count, r3.ratio_max FROM r1 JOIN r3
+      ON r1.chronological_index = r3.chronological_index AND r1.period = r3.period),
+cats AS (SELECT chronological_index, SUM(total_count) AS s FROM r4 GROUP BY 1)
+SELECT 'eligible_plus_ineligible_equals_pairs' AS check_name,
+  {s_cnt('eligible_count + ineligible_count <> positive_bill_count + nonpositive_bill_count')} = 0 AS passed, '' AS detail FROM j
+UNION ALL SELECT 'eligible_equals_positive_bill', {s_cnt('eligible_count <> positive_bill_count')} = 0, '' FROM j
+UNION ALL SELECT 'ratio_finite', {s_cnt("abs(ratio_max) = CAST('inf' AS DOUBLE)")} = 0, '' FROM j
+UNION ALL SELECT 'correlation_finite_or_null', {s_cnt('isnan(pearson_correlation)')} = 0, '' FROM j
+UNION ALL SELECT 'categories_cover_complete_pairs', COALESCE(MAX(s) <= (SELECT n FROM nn), FALSE), '' FROM cats"""
+
+
+@register("checks_status", _checks_status_sql())
 def q_checks_status(spark, sf_dir):
     return C.status_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
 
@@ -32,7 +75,7 @@ def q_checks_panel(spark, sf_dir):
                         C.amount_checks(p, PANEL_SPEC, "pay", PAYMENT_POLICY))
 
 
-@register("checks_relationship")
+@register("checks_relationship", _checks_relationship_sql())
 def q_checks_relationship(spark, sf_dir):
     return C.relationship_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
 
