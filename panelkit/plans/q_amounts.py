@@ -224,8 +224,9 @@ def _range_cte(lo_p, hi_p, src="long"):
             f"FROM {src} WHERE v IS NOT NULL)")
 
 
-@register("display_range", f"""
-WITH {_long('net')}, {_range_cte(0.01, 0.99)},
+def display_range_sql(ch: str) -> str:
+    return f"""
+WITH {_long(ch)}, {_range_cte(0.01, 0.99)},
 g AS (SELECT t, period, COUNT(*) AS total_count, {s_cnt('CAST(v AS DOUBLE) < lo')} AS below,
         {s_cnt('CAST(v AS DOUBLE) > hi')} AS above FROM long, rg GROUP BY ROLLUP (t, period)
       HAVING GROUPING(t, period) IN (0, 3))
@@ -233,7 +234,10 @@ SELECT CAST(COALESCE(t, 0) AS BIGINT) AS chronological_index, COALESCE(period, '
   {R('(SELECT lo FROM rg)')} AS global_low_percentile, {R('(SELECT hi FROM rg)')} AS global_high_percentile,
   CAST(total_count AS BIGINT) AS total_count, below AS below_range_count, above AS above_range_count,
   CAST(below + above AS BIGINT) AS outside_range_count, {R(s_pct('below + above', 'total_count'))} AS outside_range_percentage
-FROM g""")
+FROM g"""
+
+
+@register("display_range", display_range_sql("net"))
 def q_display_range(spark, sf_dir):
     return M.display_range(customer_panel(spark, sf_dir), PANEL_SPEC, "net")
 

@@ -68,7 +68,44 @@ def q_checks_status(spark, sf_dir):
     return C.status_checks(customer_panel(spark, sf_dir), PANEL_SPEC)
 
 
-@register("checks_panel")
+def _amount_checks_sql(ch: str, policy, tag: str) -> str:
+    """SELECTs of ``suites.amount_checks`` for one channel (CTE names suffixed with ``tag``)."""
+    from panelkit.plans.q_amounts import _change_sql, _corr_sql, _summary_sql, display_range_sql
+    from panelkit.plans.sql import s_cnt
+    miss = " - missing_count" if policy.count_all_rows else ""
+    pct_dev = "abs(negative_percentage + zero_percentage + positive_percentage - 100.0)"
+    s, c, r, d = f"s{tag}", f"c{tag}", f"r{tag}", f"d{tag}"
+    ctes = (f"{s} AS ({_summary_sql(ch, policy).strip()}), {c} AS ({_change_sql(ch, policy, False).strip()}), "
+            f"{r} AS ({_corr_sql(ch).strip()}), {d} AS ({display_range_sql(ch).strip()})")
+    t = f"(SELECT a.correlation AS ac, b.correlation AS bc, a.row_index AS ri, a.column_index AS ci FROM {r} a JOIN {r} b " \
+        f"ON a.row_index = b.column_index AND a.column_index = b.row_index)"
+    close = "((ac IS NULL AND bc IS NULL) OR abs(ac - bc) <= 1e-9)"
+    per = f"(SELECT SUM(total_count) AS pt, SUM(outside_range_count) AS po FROM {d} WHERE chronological_index > 0)"
+    sel = f"""SELECT 'sign_counts_sum_to_observed' AS check_name,
+  {s_cnt(f'negative_count + zero_count + positive_count <> count{miss}')} = 0 AS passed, '' AS detail FROM {s}
+UNION ALL SELECT 'sign_percentages_sum_to_100', COALESCE(MAX({pct_dev}) <= 1e-5, FALSE), printf('%.8f', MAX({pct_dev})) FROM {s}
+UNION ALL SELECT 'iqr_non_negative', COALESCE(MIN(iqr) >= 0, FALSE), '' FROM {s}
+UNION ALL SELECT 'fence_formula', COALESCE(MAX(abs(lower_fence - (p25 - 1.5 * iqr))) <= 1e-5, FALSE), '' FROM {s}
+UNION ALL SELECT 'period_count', COUNT(*) = {PANEL_SPEC.n_periods}, '' FROM {s}
+UNION ALL SELECT 'change_counts_equal_population', COALESCE(MAX(count) <= (SELECT n FROM nn), FALSE), '' FROM {c}
+UNION ALL SELECT 'correlation_matrix_square', COUNT(*) = {PANEL_SPEC.n_periods ** 2}, printf('%d cells', COUNT(*)) FROM {t}
+UNION ALL SELECT 'correlation_symmetric', {s_cnt(f'NOT {close}')} = 0, '' FROM {t}
+UNION ALL SELECT 'correlation_unit_diagonal', {s_cnt('ri = ci AND ac IS NOT NULL AND abs(ac - 1.0) > 1e-6')} = 0, '' FROM {t}
+UNION ALL SELECT 'low_percentile_below_high', COALESCE(bool_and(global_low_percentile < global_high_percentile), FALSE), ''
+  FROM {d} WHERE chronological_index = 0
+UNION ALL SELECT 'global_equals_sum_of_periods', COALESCE(bool_and(total_count = p.pt AND outside_range_count = p.po), FALSE), ''
+  FROM {d}, {per} p WHERE chronological_index = 0"""
+    return ctes, sel
+
+
+def _checks_panel_sql() -> str:
+    from panelkit.plans.sql import PANEL_CTE
+    c1, s1 = _amount_checks_sql("net", BILL_POLICY, "n")
+    c2, s2 = _amount_checks_sql("pay", PAYMENT_POLICY, "p")
+    return f"WITH nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel), {c1}, {c2}\n{s1}\nUNION ALL {s2}"
+
+
+@register("checks_panel", _checks_panel_sql())
 def q_checks_panel(spark, sf_dir):
     p = customer_panel(spark, sf_dir)
     return union_checks(C.amount_checks(p, PANEL_SPEC, "net", BILL_POLICY),
