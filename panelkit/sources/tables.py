@@ -103,8 +103,8 @@ def read_development(spark: SparkSession, path: str) -> DataFrame:
 def smoke_subset(df: DataFrame, id_col: str, n: int = 100, split_col: str = "split") -> DataFrame:
     """A10: first ``n`` rows (by id) of every split, as a top-k per split.
 
-    Uses a row_number window per split; each split is one window partition, but
-    the window only has to keep the running top ``n`` after the sort.
+    ``row_number() <= n`` plans as a partial WindowGroupLimit before the shuffle,
+    so each map task forwards at most ``n`` rows per split (three small groups).
     """
     from pyspark.sql import Window
     w = Window.partitionBy(split_col).orderBy(F.col(id_col))
