@@ -8,7 +8,8 @@ row-order independent and fully parallel:
   buckets 0-4 -> test (20 %), 5-8 -> validation (16 %), rest -> train (64 %).
 * ``ranked`` mode: groups are stratified by (positives in group, group size);
   inside a stratum they are ranked by md5(seed | group id) and dealt round-robin
-  into the 25 buckets, which balances classes almost exactly.  The rank is a
+  into the 25 buckets, starting at a bucket derived from md5(seed | stratum), which
+  balances classes almost exactly and spreads each stratum's remainder.  The rank is a
   distributed prefix count (range partitioned), so a stratum holding most
   groups is still spread over all tasks.
 """
@@ -75,7 +76,10 @@ def stratified_group_split(df: DataFrame, id_col: str = "ID", target: str = "tar
     # (stratum, _h) is unique as long as md5 does not collide across distinct group ids
     ranked = ordered_prefix(groups.select("_pos", "_size", F.concat("_h", F.lit("|"), F.col(gid)).alias("_hk"), gid, "_one"),
                             ["_pos", "_size"], "_hk", ["_one"])
-    assign = ranked.select(gid, _split_of(F.pmod(F.col("_one_before"), F.lit(BUCKETS))).alias("split"))
+    # each stratum starts its round-robin at its own bucket, so remainders spread over the splits
+    offset = hex_bucket(F.concat_ws("|", F.lit(str(seed)), F.col("_pos").cast("string"), F.col("_size").cast("string")),
+                        BUCKETS)
+    assign = ranked.select(gid, _split_of(F.pmod(F.col("_one_before") + offset, F.lit(BUCKETS))).alias("split"))
     j = df.join(assign, gid)
     return j.select(F.col(id_col).alias("ID"), "split", F.col(target).alias("target"), F.col(gid).alias("predictor_group_id"))
 

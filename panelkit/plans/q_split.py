@@ -48,10 +48,10 @@ def q_stratified_group_split(spark, sf_dir):
 
 
 RANKED_MANIFEST = f"""grp AS (SELECT predictor_group_id, SUM(CAST(target AS BIGINT)) AS pos, COUNT(*) AS size FROM pg GROUP BY 1),
-r AS (SELECT predictor_group_id, ROW_NUMBER() OVER (PARTITION BY pos, size
+r AS (SELECT predictor_group_id, pos, size, ROW_NUMBER() OVER (PARTITION BY pos, size
         ORDER BY md5('42|' || predictor_group_id) || '|' || predictor_group_id) - 1 AS rk FROM grp),
-mf AS (SELECT ID, {_split_case(f'(rk % {G.BUCKETS})')} AS split, target, pg.predictor_group_id
-  FROM pg JOIN r ON pg.predictor_group_id = r.predictor_group_id)"""
+mf AS (SELECT ID, {_split_case(f"((rk + {sql_hex_bucket(chr(39) + '42|' + chr(39) + ' || CAST(pos AS VARCHAR) || ' + chr(39) + '|' + chr(39) + ' || CAST(size AS VARCHAR)', G.BUCKETS)}) % {G.BUCKETS})")} AS split,
+  target, pg.predictor_group_id FROM pg JOIN r ON pg.predictor_group_id = r.predictor_group_id)"""
 
 
 @register("stratified_group_split_ranked", f"WITH {PG}, {RANKED_MANIFEST} SELECT * FROM mf")
