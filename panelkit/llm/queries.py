@@ -11,7 +11,9 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from panelkit.llm import bwt_dedup, byte_bpe, phrase_print, simhash_dedup, superkmer_dedup, token_store
+import corpus_pipeline
+from panelkit.llm import (bwt_dedup, byte_bpe, chat_format, cotrain_quality, cross_polytope, phrase_print, simhash_dedup, soft_mixing,
+                          superkmer_dedup, token_store)
 from panelkit.llm.common import shared_path, table
 
 QUERIES, ORACLE = {}, {}
@@ -19,14 +21,10 @@ QUERIES, ORACLE = {}, {}
 
 def all_queries():
     """The operators' queries and the pipeline over the given tables."""
-    import corpus_pipeline
-
     return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def all_oracles():
-    import corpus_pipeline
-
     return {**ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
 
 
@@ -96,3 +94,25 @@ def op7_simhash(spark, sf_dir):
 def op8_superkmer_dedup(spark, sf_dir):
     out = superkmer_dedup.remove(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op1_soft_mixing")
+def op1_soft_mixing(spark, sf_dir):
+    out = soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "tokens", *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(soft_mixing.DOMAINS)), "rate")
+
+
+@query("op2_cotrain_quality")
+def op2_cotrain_quality(spark, sf_dir):
+    out = cotrain_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= cotrain_quality.LIMIT).alias("accepted"))
+
+
+@query("op9_cross_polytope")
+def op9_cross_polytope(spark, sf_dir):
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_chat_format", chat_format.SQL)
+def op10_chat_format(spark, sf_dir):
+    return chat_format.render(table(spark, sf_dir, "conversations"))
