@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from panelkit.llm import linear
 from panelkit.llm.common import fresh_name, materialise, sliced
 
-LABELLED_ROWS, POOL_ROWS, ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 12_000, 6_000, 3, 0.97, 0.3
+LABELLED_ROWS, POOL_ROWS, ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 10_000, 5_000, 3, 0.97, 0.3
 LIMIT = 0.5
 
 

@@ -23,6 +23,8 @@ MEASURES = 13
 META = MEASURES * BINS + 2 * NAMES
 #: documents that a word must occur in to count
 LEAST_COUNT, SMOOTHING = 5, 20.0
+#: features whose log ratios are all smaller count for nothing
+INFORMATIVE = 0.5
 CHUNK_BYTES = 2 << 20
 
 
@@ -125,9 +127,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(f: Features, y: np.ndarray, classes: int, view: str, weight: np.ndarray | None = None, steps: int = 60, decay: float = 1e-4) -> Linear:
+def fit(f: Features, y: np.ndarray, classes: int, view: str, weight: np.ndarray | None = None, steps: int = 250, decay: float = 1e-4) -> Linear:
     """Softmax regression on presence features, each scaled by its smoothed log ratio to the class share
-    (features in fewer than ``LEAST_COUNT`` documents count for nothing); accelerated gradient steps."""
+    (features in few documents or with small ratios count for nothing); accelerated gradient steps."""
     rows, columns, width = sparse(f, view)
     n = len(y)
     weight = np.ones(n) if weight is None else weight
@@ -138,22 +140,27 @@ def fit(f: Features, y: np.ndarray, classes: int, view: str, weight: np.ndarray
     for k in range(classes):
         own = np.bincount(columns, target[rows, k], width)
         scale[:, k] = np.where(seen >= LEAST_COUNT, np.log((own + SMOOTHING * share[k]) / ((seen + SMOOTHING) * share[k])), 0)
-    used = np.abs(scale[columns]).sum(axis=1) > 0
-    rows, columns = rows[used], columns[used]
-    values = scale[columns]
+    scale[np.abs(scale).max(axis=1) < INFORMATIVE] = 0
+    useful = np.flatnonzero(scale.any(axis=1))
+    place = np.full(width, -1)
+    place[useful] = np.arange(len(useful))
+    rows, columns = rows[place[columns] >= 0], place[columns[place[columns] >= 0]]
+    values, size = scale[useful][columns], len(useful)
     norm = np.array([np.bincount(rows, values[:, k] ** 2, n).mean() for k in range(classes)]).max() + 1
     rate = 4.0 / norm
-    u, b = np.zeros((width, classes)), np.log(share)
+    u, b = np.zeros((size, classes)), np.log(share)
     ahead_u, ahead_b, momentum = u, b, 1.0
     for _ in range(steps):
         logits = np.stack([np.bincount(rows, values[:, k] * ahead_u[columns, k], n) for k in range(classes)], axis=1) + ahead_b
         error = (softmax(logits) * weight[:, None] - target) / weight.sum()
-        slope = np.stack([np.bincount(columns, values[:, k] * error[rows, k], width) for k in range(classes)], axis=1)
+        slope = np.stack([np.bincount(columns, values[:, k] * error[rows, k], size) for k in range(classes)], axis=1)
         new_u, new_b = ahead_u - rate * (slope + decay * ahead_u), ahead_b - rate * error.sum(axis=0)
         after = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
         ahead_u, ahead_b = new_u + (momentum - 1) / after * (new_u - u), new_b + (momentum - 1) / after * (new_b - b)
         u, b, momentum = new_u, new_b, after
-    return Linear(view, (scale * u).astype(np.float32), b)
+    weights = np.zeros((width, classes), np.float32)
+    weights[useful] = scale[useful] * u
+    return Linear(view, weights, b)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 50, decay: float = 1e-3) -> np.ndarray:

@@ -5,7 +5,8 @@ quality, toxic).  Rates r >= 0 of documents minimise
 
     1/2 |sum_i w_i r_i p_i - target|^2 + ridge/2 sum_i w_i (r_i - 1)^2,   w_i = tokens of i / all tokens
 
-by projected gradient steps: a step changes r_i by the posteriors' product with one gradient vector, so
+by projected gradient steps, the norm being that of the inverse second moments of the posteriors, so
+that rare domains converge as fast as common ones.  A step changes r_i by the posteriors' product with one gradient vector, so
 a task replays all steps from the short history of these vectors and only sums of a few numbers travel
 (one row from each task).  The ridge prefers rates near one among the many that meet the targets.
 
@@ -31,7 +32,9 @@ from panelkit.llm.cotrain_quality import batch_features, label_rows, least_hashe
 
 DOMAINS = ("clean", "low", "toxic")
 TARGET = (0.92, 0.05, 0.03)
-LABELLED_ROWS, STEPS, RIDGE = 12_000, 40, 1e-3
+LABELLED_ROWS, STEPS, RIDGE = 10_000, 30, 1e-4
+#: largest gap to a target share at which the steps end
+TOLERANCE = 1e-5
 
 
 def fit(rows: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> linear.Linear | None:
@@ -74,29 +77,33 @@ def _p(batch: pa.RecordBatch, column: int) -> np.ndarray:
 
 
 def totals(members: DataFrame, history: list[np.ndarray], ridge: float, least_first: float = 0.0) -> np.ndarray:
-    """Expected tokens of each domain under the rates so far, and all tokens; exact sums of the tasks' rows."""
+    """Expected tokens of each domain under the rates so far, all tokens, and the second moments of the
+    posteriors (row by row); exact sums of the tasks' rows."""
+
+    size = len(DOMAINS) * (len(DOMAINS) + 1) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(len(DOMAINS) + 1)
+        out = np.zeros(size)
         for batch in batches:
             tokens, p = batch.column(0).to_numpy().astype(float), _p(batch, 1)
-            out += np.append((tokens * rates_of(p, history, ridge, least_first)) @ p, tokens.sum())
+            out += np.concatenate(((tokens * rates_of(p, history, ridge, least_first)) @ p, [tokens.sum()], ((p * tokens[:, None]).T @ p).ravel()))
         yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["sums"])
 
     rows = members.select("tokens", "p").mapInArrow(run, "sums array<double>").collect()
-    return np.array([math.fsum(r["sums"][k] for r in rows) for k in range(len(DOMAINS) + 1)])
+    return np.array([math.fsum(r["sums"][k] for r in rows) for k in range(size)])
 
 
 def fit_rates(members: DataFrame, target=TARGET, steps: int = STEPS, ridge: float = RIDGE, least_first: float = 0.0) -> list[np.ndarray]:
     """The gradient vectors of the projected steps."""
     history: list[np.ndarray] = []
     for _ in range(steps):
-        *mass, everything = totals(members, history, ridge, least_first)
-        if not everything:
+        sums = totals(members, history, ridge, least_first)
+        k = len(DOMAINS)
+        if not sums[k]:
             break
-        slope = np.array(mass) / everything - np.array(target)
-        history.append(slope)
-        if np.abs(slope).max() < 1e-7:
+        gap = sums[:k] / sums[k] - np.array(target)
+        history.append(np.linalg.solve(sums[k + 1:].reshape(k, k) / sums[k] + 1e-6 * np.eye(k), gap))
+        if np.abs(gap).max() < TOLERANCE:
             break
     return history
 
