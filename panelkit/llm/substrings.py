@@ -11,8 +11,8 @@ in the bucket of their common minimiser.
    are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``HOT_BITS``,
    whatever the input): a clash only lets through a run that turns out not to be repeated.
 2. Runs that pass are strings, keyed by the minimiser; a run of a hot minimiser goes as single windows,
-   keyed by a hash of the window itself, so its groups fall apart.  Equal strings are aggregated
-   before they are dealt to buckets.
+   keyed by a hash of the window itself, so its groups fall apart.  Equal strings of a task are
+   aggregated before they are dealt to buckets.
 3. A bucket resolves each distinct string: for which of its windows does the content start first
    where.  Occurrences join the answers by a 128-bit digest of the string.
 
@@ -33,11 +33,13 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import materialise, mix64, order_key, raw_bytes, shuffle_parts, sliced
 
-FILTER_BITS, HOT_BITS, HOT = 1 << 27, 1 << 22, 400
+FILTER_BITS, HOT_BITS, HOT = 1 << 27, 1 << 22, 3000
 #: bytes of text scanned at a time
 CHUNK_BYTES = 2 << 20
 #: bytes of strings that a bucket task resolves at a time
 RESOLVE_BYTES = 1 << 20
+#: bytes of distinct strings that a map task holds before it sends them
+HELD_BYTES = 24 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 RUNS = "array<struct<first:int,last:int,id:long,pos:long>>"
@@ -210,74 +212,112 @@ def repeated_minimisers(docs: DataFrame, units_of, window: int, gram: int) -> Fi
     return out
 
 
-def occurrences(docs: DataFrame, units_of, window: int, gram: int, chosen: Filter) -> DataFrame:
-    """(key, digest, string, id, text_hash, pos): the packed strings of runs whose minimiser repeats; pos is the unit at which it starts."""
-    known = docs.sparkSession.sparkContext.broadcast(chosen)
+def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, chosen: Filter):
+    """Key, string, row and unit at which it starts, of each run whose minimiser repeats; hot runs window by window."""
+    units = units_of(batch.column("text"))
+    first, last, hashes = runs(units, window, gram)
+    repeated, hot = chosen.of(hashes)
+    first, last, hashes, hot = (x[repeated] for x in (first, last, hashes, hot))
+    if hot.any():
+        n = np.where(hot, last - first + 1, 1)
+        alone = np.repeat(hot, n)
+        step = np.arange(len(alone)) - np.repeat(np.cumsum(n) - n, n)
+        first = np.repeat(first, n) + np.where(alone, step, 0)
+        last = np.where(alone, first, np.repeat(last, n))
+        hashes, hot = np.repeat(hashes, n), alone
+    strings = [units.cut(a, b + window) for a, b in zip(first.tolist(), last.tolist())]
+    keys = hashes.view(np.int64).copy()
+    for i in np.flatnonzero(hot).tolist():
+        keys[i] = xxhash.xxh3_64_intdigest(strings[i]) - (1 << 63)
+    doc = np.searchsorted(units.at, first, side="right") - 1
+    return keys, strings, doc, first - units.at[doc]
+
+
+def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
+    """(digest, id, text_hash, pos): every packed string that may hold a repeated window, without the string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, CHUNK_BYTES):
-            units = units_of(batch.column(2))
-            first, last, hashes = runs(units, window, gram)
-            repeated, hot = known.value.of(hashes)
-            first, last, hashes, hot = (x[repeated] for x in (first, last, hashes, hot))
-            if not len(first):
-                continue
-            if hot.any():
-                n = np.where(hot, last - first + 1, 1)
-                alone = np.repeat(hot, n)
-                step = np.arange(len(alone)) - np.repeat(np.cumsum(n) - n, n)
-                first = np.repeat(first, n) + np.where(alone, step, 0)
-                last = np.where(alone, first, np.repeat(last, n))
-                hashes, hot = np.repeat(hashes, n), alone
-            strings = [units.cut(a, b + window) for a, b in zip(first.tolist(), last.tolist())]
-            digests = [xxhash.xxh3_128_digest(s) for s in strings]
-            keys = hashes.view(np.int64).copy()
-            if hot.any():
-                keys[hot] = np.frombuffer(b"".join(d[:8] for d, h in zip(digests, hot) if h), np.int64)
-            doc = np.searchsorted(units.at, first, side="right") - 1
+            _, strings, doc, pos = _packed(batch, units_of, window, gram, known.value)
             at = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(digests, pa.binary()), pa.array(strings, pa.binary()),
-                                              batch.column(0).take(at), batch.column(1).take(at), pa.array(first - units.at[doc])],
-                                             names=["key", "digest", "string", "id", "text_hash", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in strings], pa.binary()), batch.column("id").take(at),
+                                              batch.column("text_hash").take(at), pa.array(pos)], names=["digest", "id", "text_hash", "pos"])
 
-    return docs.select("id", "text_hash", "text").mapInArrow(run, "key long, digest binary, string binary, id long, text_hash long, pos long")
+    return docs.select("id", "text_hash", "text").mapInArrow(run, "digest binary, id long, text_hash long, pos long")
 
 
-def resolved(found: DataFrame, resolve) -> DataFrame:
+def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
+    """(key, string, id, pos, n): a task's distinct strings, with the first of their occurrences and how
+    many there are; a task sends a string once for every ``HELD_BYTES`` of strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple] = {}
+        size = 0
+
+        def sent():
+            rows = list(held.items())
+            for k in range(0, len(rows), 50_000):
+                part = rows[k:k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([r[1][0] for r in part], pa.int64()), pa.array([r[0] for r in part], pa.binary()),
+                                                  *(pa.array([r[1][i] for r in part], pa.int64()) for i in (1, 2, 3))], names=["key", "string", "id", "pos", "n"])
+
+        for batch in sliced(batches, CHUNK_BYTES):
+            ids = batch.column("id").to_pylist()
+            keys, strings, doc, pos = _packed(batch, units_of, window, gram, known.value)
+            for key, string, d, p in zip(keys.tolist(), strings, doc.tolist(), pos.tolist()):
+                if (have := held.get(string)) is None:
+                    held[string] = (key, ids[d], p, 1)
+                    size += len(string)
+                else:
+                    held[string] = (key, *min(have[1:3], (ids[d], p)), have[3] + 1)
+            if size >= HELD_BYTES:
+                yield from sent()
+                held, size = {}, 0
+        yield from sent()
+
+    return docs.select("id", "text").mapInArrow(run, "key long, string binary, id long, pos long, n long")
+
+
+def resolved(strings: DataFrame, resolve) -> DataFrame:
     """(digest, runs): ``resolve(strings, ids, positions, counts)`` gives for each distinct string the
     windows that repeat, as runs of windows with where their content starts first."""
-    parts = shuffle_parts(found.sparkSession)
-    strings = found.groupBy("key", "digest", "string").agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("n"))
+    parts = shuffle_parts(strings.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, key = [], 0, None
+        held: dict[bytes, tuple] = {}
+        size, key = 0, None
 
         def done():
-            rows = [(d, r) for d, r in zip([h[0] for h in held], resolve([h[1] for h in held], *(np.array([h[i] for h in held], np.int64) for i in (2, 3, 4)))) if r]
-            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.binary()), pa.array([r for _, r in rows], kind)], names=["digest", "runs"])
+            found = resolve(list(held), *(np.array([h[i] for h in held.values()], np.int64) for i in range(3)))
+            rows = [(s, r) for s, r in zip(held, found) if r]
+            return pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s, _ in rows], pa.binary()), pa.array([r for _, r in rows], kind)],
+                                              names=["digest", "runs"])
 
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("id", pa.int64()), ("pos", pa.int64())]))
         for batch in batches:
-            for at, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for at, string, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if size >= RESOLVE_BYTES and at != key:
                     yield done()
-                    held, size = [], 0
-                held.append(row)
-                size, key = size + len(row[1]), at
+                    held, size = {}, 0
+                if (have := held.get(string)) is None:
+                    held[string] = tuple(row)
+                    size += len(string)
+                else:
+                    held[string] = (*min(have[:2], tuple(row[:2])), have[2] + row[2])
+                key = at
         if held:
             yield done()
 
-    return (strings.selectExpr("key", "digest", "string", "first.id as id", "first.pos as pos", "n").repartition(parts, "key").sortWithinPartitions("key")
-            .mapInArrow(run, f"digest binary, runs {RUNS}"))
+    return strings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, f"digest binary, runs {RUNS}")
 
 
 def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: str) -> DataFrame:
     """(id, text_hash, spans array<struct<a, b>>): units to remove, as window starts a to b (inclusive),
     of every row that loses any.  ``removed`` is the condition on (id, pos) of a window run in a
     document against (first_id, first_pos) of its first occurrence."""
-    found = materialise(occurrences(docs, units_of, window, gram, repeated_minimisers(docs, units_of, window, gram)), "occurrences")
-    answers = materialise(resolved(found, resolve), "resolved")
-    windows = (found.select("digest", "id", "text_hash", "pos").join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
+    known = docs.sparkSession.sparkContext.broadcast(repeated_minimisers(docs, units_of, window, gram))
+    answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve), "resolved")
+    windows = (occurrences(docs, units_of, window, gram, known).join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
                .selectExpr("id", "text_hash", "pos + r.first as pos", "pos + r.last as last", "r.id as first_id", "r.pos as first_pos").where(removed))
     return windows.groupBy("id", "text_hash").agg(F.collect_set(F.struct(F.col("pos").alias("a"), F.col("last").alias("b"))).alias("spans"))
 
