@@ -37,7 +37,7 @@ FILTER_BITS, HOT_BITS, HOT = 1 << 27, 1 << 22, 3000
 #: bytes of text scanned at a time
 CHUNK_BYTES = 2 << 20
 #: bytes of strings that a bucket task resolves at a time
-RESOLVE_BYTES = 1 << 20
+RESOLVE_BYTES = 1 << 18
 #: bytes of distinct strings that a map task holds before it sends them
 HELD_BYTES = 24 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
