@@ -7,8 +7,8 @@ same minimiser form a run, packed as one string of run + window - 1 units, so tw
 in the bucket of their common minimiser.
 
 1. Every minimiser is counted over all rows (packed arrays, one group for each slot of the hash
-   range).  Minimisers seen once cannot belong to a repeated window; those seen ``HOT`` times or more
-   are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``HOT_BITS``,
+   range).  Minimisers seen once cannot belong to a repeated window; those with ``HOT`` different strings
+   or more are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``HOT_BITS``,
    whatever the input): a clash only lets through a run that turns out not to be repeated.
 2. Runs that pass are strings, keyed by the minimiser; a run of a hot minimiser goes as single windows,
    keyed by a hash of the window itself, so its groups fall apart.  Equal strings of a task are
@@ -149,6 +149,14 @@ def runs(units: Units, window: int, gram: int) -> tuple[np.ndarray, np.ndarray,
     return first, last, hashes[where[first]]
 
 
+def run_hashes(units: Units, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
+    """A hash of each run's packed string, from prefix sums over the units."""
+    n = len(units.hashes)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(units.hashes * _powers("up", int(_MULT), n), out=total[1:])
+    return mix64((total[last + window] - total[first]) * _powers("down", pow(int(_MULT), -1, 1 << 64), n + 1)[first])
+
+
 class Filter(NamedTuple):
     slots: int
     repeated: np.ndarray
@@ -169,41 +177,50 @@ def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_minimisers(docs: DataFrame, units_of, window: int, gram: int) -> Filter:
-    """Bit arrays of the minimisers that occur twice or more, and of those that occur ``HOT`` times or more."""
+    """Bit arrays of the minimisers that occur twice or more, and of those with ``HOT`` different strings or more."""
     slots = shuffle_parts(docs.sparkSession)
     each, each_hot = -(-FILTER_BITS // slots // 8) * 8, -(-HOT_BITS // slots // 8) * 8
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4 * CHUNK_BYTES):
-            hashes = np.concatenate([runs(units_of(piece.column(0)), window, gram)[2] for piece in sliced([batch], CHUNK_BYTES)])
-            hashes, n = np.unique(hashes, return_counts=True)
+            found = []
+            for piece in sliced([batch], CHUNK_BYTES):
+                units = units_of(piece.column(0))
+                first, last, hashes = runs(units, window, gram)
+                found.append((hashes, run_hashes(units, first, last, window)))
+            hashes, strings = (np.concatenate(x) for x in zip(*found))
             slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
+            # the slot, the low half of the minimiser's hash and half of the string's hash name a string
+            pair = ((hashes & _LOW) << np.uint64(32)) | (strings >> np.uint64(32))
+            order = np.lexsort((pair, slot))
+            slot, pair = slot[order], pair[order]
+            head = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (slot[1:] != slot[:-1])))) if len(pair) else np.zeros(0, np.int64)
+            many = np.diff(np.append(head, len(pair))) > 1
+            slot, pair = slot[head], pair[head]
             cut = np.searchsorted(slot, np.arange(slots + 1, dtype=np.uint64))
-            low, many = (hashes & _LOW).astype(np.uint32), n > 1
-            rows = [(s, low[a:b][~many[a:b]].tobytes(), low[a:b][many[a:b]].tobytes(), n[a:b][many[a:b]].astype(np.uint32).tobytes())
-                    for s, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))],
-                                             names=["slot", "once", "many", "n"])
+            rows = [(s, pair[a:b][~many[a:b]].tobytes(), pair[a:b][many[a:b]].tobytes()) for s, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
+                                             names=["slot", "once", "many"])
 
     def bits(batch: pa.Table) -> pa.Table:
-        once = np.frombuffer(b"".join(batch.column("once").to_pylist()), np.uint32)
-        many = np.frombuffer(b"".join(batch.column("many").to_pylist()), np.uint32)
-        n = np.concatenate((np.ones(len(once), np.int64), np.frombuffer(b"".join(batch.column("n").to_pylist()), np.uint32)))
-        values = np.concatenate((once, many))
-        order = np.argsort(values)
-        values, n = values[order], n[order]
-        head = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-        n, values = np.add.reduceat(n, head), values[head].astype(np.uint64)
+        once, many = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64) for c in ("once", "many"))
+        pair = np.concatenate((once, many, many))  # what a task has seen twice or more counts as two
+        pair.sort()
+        value = pair >> np.uint64(32)
+        head = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+        n = np.diff(np.append(head, len(value)))
+        strings = np.add.reduceat(np.concatenate(([True], pair[1:] != pair[:-1])), head)
+        value = value[head]
 
         def marked(chosen: np.ndarray, size: int) -> bytes:
             out = np.zeros(size, np.uint8)
             out[((chosen * np.uint64(size)) >> np.uint64(32)).astype(np.int64)] = 1
             return np.packbits(out, bitorder="little").tobytes()
 
-        return pa.table({"slot": batch.column("slot").slice(0, 1).combine_chunks(), "repeated": [marked(values[n > 1], each)], "hot": [marked(values[n >= HOT], each_hot)]},
+        return pa.table({"slot": batch.column("slot").slice(0, 1).combine_chunks(), "repeated": [marked(value[n > 1], each)], "hot": [marked(value[strings >= HOT], each_hot)]},
                         schema=pa.schema([("slot", pa.int32()), ("repeated", pa.binary()), ("hot", pa.binary())]))
 
-    rows = (docs.select("text").mapInArrow(count, "slot int, once binary, many binary, n binary")
+    rows = (docs.select("text").mapInArrow(count, "slot int, once binary, many binary")
             .groupBy("slot").applyInArrow(bits, "slot int, repeated binary, hot binary"))
     out = Filter(slots, np.zeros(slots * each // 8, np.uint8), np.zeros(slots * each_hot // 8, np.uint8))
     for r in rows.toLocalIterator():  # FILTER_BITS + HOT_BITS in all
