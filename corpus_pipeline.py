@@ -19,7 +19,7 @@ from panelkit.llm import byte_bpe, cotrain_quality, simhash_dedup, soft_mixing,
 from panelkit.llm.common import materialise, table
 
 #: shares of tokens of the domains clean, low, toxic that the fourth stage aims at
-MIX = (0.985, 0.010, 0.005)
+MIX = (0.998, 0.001, 0.001)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

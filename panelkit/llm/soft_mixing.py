@@ -32,7 +32,9 @@ from panelkit.llm.cotrain_quality import batch_features, label_rows, least_hashe
 
 DOMAINS = ("clean", "low", "toxic")
 TARGET = (0.92, 0.05, 0.03)
-LABELLED_ROWS, STEPS, RIDGE = 10_000, 30, 1e-4
+LABELLED_ROWS, STEPS, RIDGE = 10_000, 30, 1e-3
+#: added to the second moments: a domain that hardly any document belongs to can't throw the rates about
+LEAST_MOMENT = 1e-3
 #: largest gap to a target share at which the steps end
 TOLERANCE = 1e-5
 
@@ -102,7 +104,7 @@ def fit_rates(members: DataFrame, target=TARGET, steps: int = STEPS, ridge: floa
         if not sums[k]:
             break
         gap = sums[:k] / sums[k] - np.array(target)
-        history.append(np.linalg.solve(sums[k + 1:].reshape(k, k) / sums[k] + 1e-6 * np.eye(k), gap))
+        history.append(np.linalg.solve(sums[k + 1:].reshape(k, k) / sums[k] + LEAST_MOMENT * np.eye(k), gap))
         if np.abs(gap).max() < TOLERANCE:
             break
     return history
