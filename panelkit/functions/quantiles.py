@@ -4,16 +4,9 @@
 partitioned on the value too, so a key holding a third of the table is still
 spread over all tasks and partially aggregated map-side.
 
-* ``percentile``: Spark's exact ``percentile(value, p, n)`` over the count table.
-  Its final merge keeps the distinct values of one key in one task, so it is
-  only chosen when the count table is provably small.
-* ``ranked``: distributed rank search.  Range-partitioned prefix counts give
-  every distinct value its rank interval; the two ranks around ``p*(N-1)`` are
-  picked by an equi-join on the keys.  No task ever holds a whole key.
-* ``approx``: ``percentile_approx`` with a bounded sketch (not exact).
-
-``auto`` (default) counts the distinct table once and picks ``percentile`` below
-``panelkit.quantiles.inMemoryLimit`` distinct rows, ``ranked`` above it.
+Range-partitioned prefix counts give every distinct value its rank interval; the
+two ranks around ``p*(N-1)`` are picked by an equi-join on the keys and joined by
+``a + (b - a) * f``.  There is one path and one formula at every size.
 """
 
 from __future__ import annotations
@@ -22,20 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import broadcast_small
-from panelkit.session import track
 from panelkit.functions.ordered import ordered_prefix
 
-IN_MEMORY_LIMIT = 2_000_000
+#: names that callers may give; all mean the one exact path
+METHODS = ("auto", "percentile", "ranked")
 
 
 def _method(df: DataFrame, method: str | None) -> str:
-    if method:
-        return method
-    return df.sparkSession.conf.get("panelkit.quantiles.method", "auto")
-
-
-def _limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("panelkit.quantiles.inMemoryLimit", str(IN_MEMORY_LIMIT)))
+    return method or df.sparkSession.conf.get("panelkit.quantiles.method", "auto")
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str | Column) -> DataFrame:
@@ -48,15 +35,7 @@ def value_counts(df: DataFrame, keys: list[str], value: str | Column) -> DataFra
 def quantiles_from_counts(vc: DataFrame, keys: list[str], probs: dict[str, float],
                           method: str = "auto") -> DataFrame:
     """``vc`` = (keys, _v, _n) with unique (keys, _v).  Returns keys + one double column per prob."""
-    names = list(probs)
-    if method == "auto":
-        vc = track(vc)
-        method = "percentile" if vc.count() <= _limit(vc) else "ranked"
-    if method == "percentile":
-        arr = F.percentile(F.col("_v"), F.array(*[F.lit(float(probs[n])) for n in names]), F.col("_n"))
-        res = vc.groupBy(*keys).agg(arr.alias("_q"))
-        return res.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    if method != "ranked":
+    if method not in METHODS:
         raise ValueError(f"unknown quantile method {method!r}")
     return _ranked(vc, keys, probs)
 
@@ -86,16 +65,11 @@ def _ranked(vc: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFram
 
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str | Column, probs: dict[str, float],
-                    method: str | None = None, accuracy: int = 10000) -> DataFrame:
+                    method: str | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` (NULLs ignored, numpy 'linear' rule)."""
     m = _method(df, method)
     if not keys:  # global quantile: a constant key keeps every join an equi-join
         v = F.col(value) if isinstance(value, str) else value
-        res = group_quantiles(df.select(F.lit(0).alias("_g"), v.alias("_gv")), ["_g"], "_gv", probs, m, accuracy)
+        res = group_quantiles(df.select(F.lit(0).alias("_g"), v.alias("_gv")), ["_g"], "_gv", probs, m)
         return res.drop("_g")
-    if m == "approx":
-        v = F.col(value) if isinstance(value, str) else value
-        arr = F.percentile_approx(v.cast("double"), [float(probs[n]) for n in probs], accuracy)
-        res = df.groupBy(*keys).agg(arr.alias("_q"))
-        return res.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
     return quantiles_from_counts(value_counts(df, keys, value), keys, probs, m)

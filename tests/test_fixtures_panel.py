@@ -135,3 +135,23 @@ def test_status_dense_and_unobserved(spark):
     assert q5[(0, 5, 5)]["percentage_within_source_status"] is None   # unseen source -> NULL
     pats = {r["sequence_pattern"]: r["total_count"] for r in Q.sequence_patterns(df, SPEC).collect()}
     assert pats == {"0|0|0|0|0|0": 1, "-2|-1|0|1|2|11": 1}
+
+
+@pytest.mark.parametrize("limit", ["0", "2000000"])
+def test_fences_follow_one_interpolation(spark, limit):
+    """Fence counts of values at which formulas that differ in the last bits disagree (pandas: 2 below)."""
+    from panelkit.functions.quantiles import group_quantiles
+    values = [-29.9, -25.1, 13.0, 13.8, 15.2, 20.8, 27.7, 41.9]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    spark.conf.set("panelkit.prefix.inMemoryLimit", limit)
+    try:
+        q = group_quantiles(frame, [], "v", {"q1": 0.25, "q3": 0.75}).first()
+    finally:
+        spark.conf.unset("panelkit.prefix.inMemoryLimit")
+    assert sum(v < q["q1"] - 1.5 * (q["q3"] - q["q1"]) for v in values) == 2
+
+
+def test_one_hot_has_no_width_limit(spark):
+    from panelkit.operators.features import fit_one_hot
+    with pytest.warns(UserWarning, match="10001 categories"):
+        assert len(fit_one_hot(spark.range(10_001).selectExpr("id as c"), ["c"])["c"]) == 10_001
