@@ -57,7 +57,7 @@ def validate_panel(df: DataFrame, spec: PanelSpec, channels: list[str], expected
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"),
                F.count_distinct(t).alias("k"), F.count(t).alias("nn")).first()
     if expected_rows is not None and r["n"] != expected_rows:
-        raise ValueError(f"Expected dataset size {expected_rows}, got {r['n']}")
+        raise ValueError(f"the table has {r['n']} rows instead of {expected_rows}")
     if not (r["k"] == 2 and r["lo"] == spec.negative and r["hi"] == spec.positive and r["nn"] == r["n"]):
         raise ValueError(f"Expected binary target {{{spec.negative}, {spec.positive}}}, got min={r['lo']} max={r['hi']} "
                          f"distinct={r['k']} nulls={r['n'] - r['nn']}")
@@ -71,9 +71,9 @@ def schema_table(df: DataFrame, spec: PanelSpec, channels: list[str], forbidden:
     rows = []
     for ch in channels:
         for i, (p, c) in enumerate(zip(spec.periods, spec.columns(ch)), start=1):
-            rows.append((i, p, ch, c, True, c in types, types.get(c, "N/A"), "Approved chronological mapping"))
+            rows.append((i, p, ch, c, True, c in types, types.get(c, "N/A"), "channel column of this period"))
     for j, c in enumerate(forbidden, start=len(spec.periods) + 1):
-        rows.append((j, "N/A", None, c, False, c in types, types.get(c, "N/A"), "Expected to be absent"))
+        rows.append((j, "N/A", None, c, False, c in types, types.get(c, "N/A"), "must not be in the table"))
     return spark.createDataFrame(rows, "chronological_index int, period string, channel string, raw_column string, "
                                        "expected_present boolean, actual_present boolean, dtype string, "
                                        "documentation_note string")

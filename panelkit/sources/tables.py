@@ -32,11 +32,14 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """A1: load the raw table; a missing path raises FileNotFoundError naming it.
 
     CSV exports with an extra title row above the real header set
-    ``junk_header_rows=1``; that row is dropped by position-free filtering (it is
-    the only row whose first column equals the first column's own name).
+    ``junk_header_rows=1``: the first line is skipped and the second names the
+    columns (of every file).  ``schema`` then types the columns by name.
     """
+    two_headers = bool(junk_header_rows) and fmt == "csv"
     try:
-        if fmt == "csv":
+        if two_headers:
+            df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        elif fmt == "csv":
             reader = spark.read.option("header", True)
             reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
             df = reader.csv(path)
@@ -48,9 +51,17 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise FileNotFoundError(f"Raw dataset not found at {path}") from exc
         raise
-    if junk_header_rows and fmt == "csv":
-        first = df.columns[0]
-        df = df.where(F.col(first).isNull() | (F.col(first).cast("string") != F.lit(first)))
+    if two_headers:
+        names = df.first()
+        if names is None:
+            raise ValueError(f"no header row below the title row in {path}")
+        names = [n if n is not None else c for n, c in zip(names, df.columns)]
+        header = F.lit(True)
+        for column, name in zip(df.columns, names):
+            header = header & F.coalesce(F.col(f"`{column}`") == F.lit(name), F.lit(False) | F.lit(name == column))
+        df = df.where(~header).toDF(*names)
+        if schema is not None:
+            df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
     return df
 
 

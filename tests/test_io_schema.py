@@ -25,6 +25,19 @@ def test_load_raw_csv_with_title_row(spark, tmp_path):
     assert [r["ID"] for r in df.collect()] == ["1", "2"]
 
 
+@pytest.mark.parametrize("schema", [None, "ID long, LIMIT long, target int"])
+def test_load_raw_names_in_the_second_line(spark, tmp_path, schema):
+    p = tmp_path / "raw.csv"
+    p.write_text("X0,X1,Y\nID,LIMIT,target\n1,500,0\n2,,1\n")
+    if schema:
+        from pyspark.sql import types as T
+        schema = T._parse_datatype_string(schema)
+    df = A.load_raw(spark, str(p), schema=schema, fmt="csv", junk_header_rows=1)
+    assert df.columns == ["ID", "LIMIT", "target"]
+    kind = int if schema else str
+    assert [tuple(r) for r in df.orderBy("ID").collect()] == [(kind(1), kind(500), kind(0)), (kind(2), None, kind(1))]
+
+
 def test_prepared_split_roundtrip_prunes_partitions(spark, tmp_path):
     df = spark.createDataFrame([(1, "train", [1.0]), (2, "validation", [2.0]), (3, "test", [3.0])],
                                "ID long, split string, tabular array<float>")
@@ -75,7 +88,7 @@ def _panel(spark, rows=None):
 def test_validators(spark):
     df = _panel(spark)
     V.validate_panel(df, SPEC, ["bill", "status"], expected_rows=2, forbidden=("PAY_1",))
-    with pytest.raises(ValueError, match="Expected dataset size"):
+    with pytest.raises(ValueError, match="rows instead of"):
         V.validate_panel(df, SPEC, ["bill"], expected_rows=3)
     with pytest.raises(ValueError, match="absent"):
         V.validate_panel(df.withColumn("PAY_1", F.lit(0)), SPEC, ["bill"], forbidden=("PAY_1",))
