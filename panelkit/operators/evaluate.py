@@ -107,7 +107,7 @@ def _with_running(preds: DataFrame, keys, sc: DataFrame | None = None) -> DataFr
     sc = sc if sc is not None else score_counts(preds, keys)
     pref = ordered_prefix(sc, list(keys), "s", ["pos", "neg"])
     tot = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return pref.join(tot, list(keys))
+    return pref.join(broadcast_small(tot), list(keys))  # one row per model
 
 
 def ranking_metrics(preds: DataFrame, keys=("model_name",), digits: int | None = 6,

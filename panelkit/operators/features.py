@@ -8,6 +8,8 @@ projection (no join, no shuffle), producing float arrays per row.
 
 from __future__ import annotations
 
+import warnings
+
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +21,7 @@ from panelkit.functions.quantiles import quantiles_from_counts, value_counts
 from panelkit.operators.checks import Rule, run_checks
 from panelkit.spec import PanelSpec
 
-MAX_CATEGORIES = 10_000  # one-hot width guard: categories are brought to the driver
+WIDE_CATEGORIES = 10_000  # a one-hot block wider than this is warned about, never cut
 
 
 def class_weights(train: DataFrame, target: str = "target") -> DataFrame:
@@ -85,14 +87,10 @@ def fit_channel_scalers(train: DataFrame, spec: PanelSpec, **kw) -> ScalerParams
     return _collect_params(channel_scaler_frame(train, spec, **kw))
 
 
-def fit_one_hot(train: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
-    """sorted distinct train categories per column (nulls ignored)."""
+def fit_one_hot(train: DataFrame, cols: list[str]) -> dict[str, list]:
+    """sorted distinct train categories per column (nulls ignored).  They become output columns, so all come to the driver."""
     st = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_s"))
                                          for c in cols]))).where(F.col("_s").isNotNull()).distinct()
-    counts = st.groupBy("_c").count().collect()
-    too_many = [r["_c"] for r in counts if r["count"] > max_categories]
-    if too_many:
-        raise ValueError(f"one-hot columns with more than {max_categories} categories: {too_many}")
     out: dict[str, list] = {c: [] for c in cols}
     types = dict(train.dtypes)
     for r in st.collect():
@@ -101,6 +99,8 @@ def fit_one_hot(train: DataFrame, cols: list[str], max_categories: int = MAX_CAT
         numeric = types[c] in ("tinyint", "smallint", "int", "bigint")
         vals = [int(v) for v in out[c]] if numeric else out[c]
         out[c] = sorted(vals)
+        if len(vals) > WIDE_CATEGORIES:
+            warnings.warn(f"one-hot column {c} has {len(vals)} categories", stacklevel=2)
     return out
 
 

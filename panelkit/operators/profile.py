@@ -156,7 +156,7 @@ def undocumented_values(df: DataFrame, cols: list[str], codebook: CodeBook) -> D
     # the code book is a fixed-size list given by the caller: broadcast it
     return g.join(F.broadcast(book), ["column", "value"], "left_anti").select(
         "column", "value", "count",
-        F.lit("Present in raw dataset but not explicitly defined by official UCI documentation").alias("note"))
+        F.lit("value is absent from the code book").alias("note"))
 
 
 def target_summary(df: DataFrame, target: str, positive: int = POSITIVE_CLASS) -> DataFrame:
@@ -231,6 +231,7 @@ def _numeric_profile(df: DataFrame, cols: list[str], keys: list[str], fence_k: f
 
 
 def _numeric_select(p: DataFrame, keys: list) -> DataFrame:
+    # fixed output value: the note names the count and both fences
     note = F.concat(F.coalesce(F.col("n_extreme"), F.lit(0)).cast("string"), F.lit(" values outside 3×IQR fences ["),
                     _fmt1("lf"), F.lit(", "), _fmt1("uf"), F.lit("]; not removed"))
     return p.select(F.col("column").alias("feature"), *keys, "count",

@@ -62,6 +62,11 @@ def _seeded(gid: str, seed: int) -> F.Column:
     return F.concat(F.lit(f"{seed}|"), F.col(gid))
 
 
+def with_hash_split(df: DataFrame, gid: str = "predictor_group_id", seed: int = 42) -> DataFrame:
+    """The hash split as a column; it depends on the row's group id alone, so no join is needed."""
+    return df.withColumn("split", _split_of(hex_bucket(_seeded(gid, seed), BUCKETS)))
+
+
 def stratified_group_split(df: DataFrame, id_col: str = "ID", target: str = "target",
                            gid: str = "predictor_group_id", seed: int = 42, mode: str = "hash") -> DataFrame:
     """Manifest ``(ID, split, target, predictor_group_id)``; groups never cross splits."""

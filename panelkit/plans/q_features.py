@@ -25,8 +25,7 @@ PREDICTORS = sorted(PANEL_COLS)
 def split_panel(spark, sf_dir):
     """Panel rows with ``split`` from the hash group split on their predictor group."""
     p = G.with_group_id(customer_panel(spark, sf_dir), PREDICTORS)
-    m = G.stratified_group_split(p, id_col="c_custkey", target="target", mode="hash")
-    return p.join(m.select(F.col("ID").alias("c_custkey"), "split"), "c_custkey")
+    return G.with_hash_split(p)
 
 
 GID = "md5(concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'nan')" for c in PREDICTORS) + "))"

@@ -88,7 +88,7 @@ def q_audit_categorical_values(spark, sf_dir):
 @register("undocumented_values", f"""
 WITH {LI}, long AS ({_long_sql(['l_linenumber'])})
 SELECT col AS "column", value, CAST(COUNT(*) AS BIGINT) AS count,
-  'Present in raw dataset but not explicitly defined by official UCI documentation' AS note
+  'value is absent from the code book' AS note
 FROM long WHERE NOT {_doc_sql(LINEITEM_CODEBOOK)} GROUP BY col, value""")
 def q_undocumented_values(spark, sf_dir):
     return P.undocumented_values(lineitem_rows(spark, sf_dir), ["l_linenumber"], LINEITEM_CODEBOOK)
