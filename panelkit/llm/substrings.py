@@ -295,8 +295,9 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
     return docs.select("id", "text").mapInArrow(run, "key long, string binary, id long, pos long, n long")
 
 
-def resolved(strings: DataFrame, resolve) -> DataFrame:
-    """(digest, runs): ``resolve(strings, ids, positions, counts)`` gives for each distinct string the
+def resolved(strings: DataFrame, resolve, size_limit: int) -> DataFrame:
+    """(digest, runs): ``resolve(keys, strings, ids, positions, counts)``, called with about ``size_limit``
+    bytes of strings and all strings of a key, gives for each distinct string the
     windows that repeat, as runs of windows with where their content starts first."""
     parts = shuffle_parts(strings.sparkSession)
 
@@ -305,7 +306,8 @@ def resolved(strings: DataFrame, resolve) -> DataFrame:
         size, key = 0, None
 
         def done():
-            found = resolve(list(held), *(np.array([h[i] for h in held.values()], np.int64) for i in range(3)))
+            keys, *rows = (np.array([h[i] for h in held.values()], np.int64) for i in (3, 0, 1, 2))
+            found = resolve(keys, list(held), *rows)
             rows = [(s, r) for s, r in zip(held, found) if r]
             return pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s, _ in rows], pa.binary()), pa.array([r for _, r in rows], kind)],
                                               names=["digest", "runs"])
@@ -313,14 +315,14 @@ def resolved(strings: DataFrame, resolve) -> DataFrame:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("id", pa.int64()), ("pos", pa.int64())]))
         for batch in batches:
             for at, string, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size >= RESOLVE_BYTES and at != key:
+                if size >= size_limit and at != key:
                     yield done()
                     held, size = {}, 0
                 if (have := held.get(string)) is None:
-                    held[string] = tuple(row)
+                    held[string] = (*row, at)
                     size += len(string)
                 else:
-                    held[string] = (*min(have[:2], tuple(row[:2])), have[2] + row[2])
+                    held[string] = (*min(have[:2], tuple(row[:2])), have[2] + row[2], at)
                 key = at
         if held:
             yield done()
@@ -328,12 +330,13 @@ def resolved(strings: DataFrame, resolve) -> DataFrame:
     return strings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, f"digest binary, runs {RUNS}")
 
 
-def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: str) -> DataFrame:
+def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: str,
+          size_limit: int = RESOLVE_BYTES) -> DataFrame:
     """(id, text_hash, spans array<struct<a, b>>): units to remove, as window starts a to b (inclusive),
     of every row that loses any.  ``removed`` is the condition on (id, pos) of a window run in a
     document against (first_id, first_pos) of its first occurrence."""
     known = docs.sparkSession.sparkContext.broadcast(repeated_minimisers(docs, units_of, window, gram))
-    answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve), "resolved")
+    answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve, size_limit), "resolved")
     windows = (occurrences(docs, units_of, window, gram, known).join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
                .selectExpr("id", "text_hash", "pos + r.first as pos", "pos + r.last as last", "r.id as first_id", "r.pos as first_pos").where(removed))
     return windows.groupBy("id", "text_hash").agg(F.collect_set(F.struct(F.col("pos").alias("a"), F.col("last").alias("b"))).alias("spans"))

@@ -26,7 +26,7 @@ WINDOW, GRAM = 20, 8
 
 
 def resolver(window: int):
-    def resolve(strings: list[bytes], ids: np.ndarray, positions: np.ndarray, counts: np.ndarray) -> list[list[dict]]:
+    def resolve(keys: np.ndarray, strings: list[bytes], ids: np.ndarray, positions: np.ndarray, counts: np.ndarray) -> list[list[dict]]:
         texts, owner, offset = [], [], []
         for i, s in enumerate(strings):
             words = s.split(b" ")
