@@ -10,10 +10,13 @@ in the bucket of their common minimiser.
    range).  Minimisers seen once cannot belong to a repeated window; those with ``HOT`` different strings
    or more are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``HOT_BITS``,
    whatever the input): a clash only lets through a run that turns out not to be repeated.
-2. Runs that pass are strings, keyed by the minimiser; a run of a hot minimiser goes as single windows,
-   keyed by a hash of the window itself, so its groups fall apart.  Equal strings of a task are
+2. A run of a hot minimiser is cut into parts by where its windows stand around the minimiser.  The
+   units that all windows of a part share, most of a window, are its core; cores are counted like the
+   minimisers before them, so a part whose core is seen once goes no further.
+3. Runs and parts that pass are strings, keyed by minimiser or core; a part of a hot core goes as single
+   windows, keyed by a hash of the window itself, so its groups fall apart.  Equal strings of a task are
    aggregated before they are dealt to buckets.
-3. A bucket resolves each distinct string: for which of its windows does the content start first
+4. A bucket resolves each distinct string: for which of its windows does the content start first
    where.  Occurrences join the answers by a 128-bit digest of the string.
 
 Rows are known by (id, 64-bit hash of the text): repeated rows get the same spans, rows with the same
@@ -121,11 +124,11 @@ def gram_hashes(units: np.ndarray, gram: int) -> np.ndarray:
     return mix64(done)
 
 
-def runs(units: Units, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of every run, and the hash of its minimiser."""
+def runs(units: Units, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window start of every run, and the hash and place of its minimiser."""
     n, none = len(units.hashes), np.zeros(0, np.int64)
     if n < window:
-        return none, none, np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.uint64), none
     hashes = gram_hashes(units.hashes, gram)
     least = (hashes & ~_LOW) | np.arange(n, dtype=np.uint64)
     size, width = 1, window - gram + 1
@@ -146,15 +149,28 @@ def runs(units: Units, window: int, gram: int) -> tuple[np.ndarray, np.ndarray,
     head[1:] &= ~goes_on
     tail[:-1] &= ~goes_on
     first, last = np.flatnonzero(head), np.flatnonzero(tail)
-    return first, last, hashes[where[first]]
+    return first, last, hashes[where[first]], where[first]
 
 
-def run_hashes(units: Units, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
-    """A hash of each run's packed string, from prefix sums over the units."""
+def range_hashes(units: Units, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the units from each ``begin`` to its ``end`` (exclusive), from prefix sums."""
     n = len(units.hashes)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(units.hashes * _powers("up", int(_MULT), n), out=total[1:])
-    return mix64((total[last + window] - total[first]) * _powers("down", pow(int(_MULT), -1, 1 << 64), n + 1)[first])
+    return mix64((total[end] - total[begin]) * _powers("down", pow(int(_MULT), -1, 1 << 64), n + 1)[begin])
+
+
+def cores(units: Units, first: np.ndarray, last: np.ndarray, place: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs cut into parts: first and last window start of each, and the hash of the units that all windows share
+    that stand so far before the minimiser."""
+    width = max(1, (window - gram + 1) // 5)
+    low, high = (place - last) // width, (place - first) // width
+    n = high - low + 1
+    of = np.repeat(np.arange(len(n)), n)
+    part = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    nearest = place[of] - width * part
+    core = range_hashes(units, nearest, nearest - width + 1 + window)
+    return np.maximum(first[of], nearest - width + 1), np.minimum(last[of], nearest), core
 
 
 class Filter(NamedTuple):
@@ -172,12 +188,19 @@ class Filter(NamedTuple):
         return self._test(self.repeated, hashes), self._test(self.hot, hashes)
 
 
+class Known(NamedTuple):
+    """What is known of minimisers, and of the cores of hot ones."""
+    minimisers: Filter
+    cores: Filter
+
+
 def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(order_key(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
 
-def repeated_minimisers(docs: DataFrame, units_of, window: int, gram: int) -> Filter:
-    """Bit arrays of the minimisers that occur twice or more, and of those with ``HOT`` different strings or more."""
+def counted(docs: DataFrame, units_of, window: int, keyed) -> Filter:
+    """Bit arrays of the keys that occur twice or more, and of those with ``HOT`` different strings or
+    more.  ``keyed(units)`` gives first and last window start and key of the strings."""
     slots = shuffle_parts(docs.sparkSession)
     each, each_hot = -(-FILTER_BITS // slots // 8) * 8, -(-HOT_BITS // slots // 8) * 8
 
@@ -186,11 +209,11 @@ def repeated_minimisers(docs: DataFrame, units_of, window: int, gram: int) -> Fi
             found = []
             for piece in sliced([batch], CHUNK_BYTES):
                 units = units_of(piece.column(0))
-                first, last, hashes = runs(units, window, gram)
-                found.append((hashes, run_hashes(units, first, last, window)))
+                first, last, hashes = keyed(units)
+                found.append((hashes, range_hashes(units, first, last + window)))
             hashes, strings = (np.concatenate(x) for x in zip(*found))
             slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
-            # the slot, the low half of the minimiser's hash and half of the string's hash name a string
+            # the slot, the low half of the key and half of the string's hash name a string
             pair = ((hashes & _LOW) << np.uint64(32)) | (strings >> np.uint64(32))
             order = np.lexsort((pair, slot))
             slot, pair = slot[order], pair[order]
@@ -229,12 +252,30 @@ def repeated_minimisers(docs: DataFrame, units_of, window: int, gram: int) -> Fi
     return out
 
 
-def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, chosen: Filter):
-    """Key, string, row and unit at which it starts, of each run whose minimiser repeats; hot runs window by window."""
+def repeated(docs: DataFrame, units_of, window: int, gram: int) -> Known:
+    """Counts of all minimisers, then of the cores of the hot ones."""
+    context = docs.sparkSession.sparkContext
+    minimisers = counted(docs, units_of, window, lambda units: runs(units, window, gram)[:3])
+    sent = context.broadcast(minimisers)
+
+    def hot_parts(units: Units):
+        first, last, hashes, place = runs(units, window, gram)
+        often, hot = sent.value.of(hashes)
+        return cores(units, *(x[often & hot] for x in (first, last, place)), window, gram)
+
+    return Known(minimisers, counted(docs, units_of, window, hot_parts))
+
+
+def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Known):
+    """Key, string, row and unit at which it starts, of each run or part whose key repeats; hot parts window by window."""
     units = units_of(batch.column("text"))
-    first, last, hashes = runs(units, window, gram)
-    repeated, hot = chosen.of(hashes)
-    first, last, hashes, hot = (x[repeated] for x in (first, last, hashes, hot))
+    first, last, hashes, place = runs(units, window, gram)
+    often, hot = known.minimisers.of(hashes)
+    split, often = often & hot, often & ~hot
+    part_first, part_last, core = cores(units, first[split], last[split], place[split], window, gram)
+    passes, hot = known.cores.of(core)
+    first, last, hashes = (np.concatenate((a[often], b[passes])) for a, b in ((first, part_first), (last, part_last), (hashes, core)))
+    hot = np.concatenate((np.zeros(int(often.sum()), bool), hot[passes]))
     if hot.any():
         n = np.where(hot, last - first + 1, 1)
         alone = np.repeat(hot, n)
@@ -335,7 +376,7 @@ def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: s
     """(id, text_hash, spans array<struct<a, b>>): units to remove, as window starts a to b (inclusive),
     of every row that loses any.  ``removed`` is the condition on (id, pos) of a window run in a
     document against (first_id, first_pos) of its first occurrence."""
-    known = docs.sparkSession.sparkContext.broadcast(repeated_minimisers(docs, units_of, window, gram))
+    known = docs.sparkSession.sparkContext.broadcast(repeated(docs, units_of, window, gram))
     answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve, size_limit), "resolved")
     windows = (occurrences(docs, units_of, window, gram, known).join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
                .selectExpr("id", "text_hash", "pos + r.first as pos", "pos + r.last as last", "r.id as first_id", "r.pos as first_pos").where(removed))

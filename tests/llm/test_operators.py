@@ -6,13 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 
 import corpus_pipeline
 from panelkit.llm import (bwt_dedup, byte_bpe, chat_format, cotrain_quality, cross_polytope, phrase_print, simhash_dedup, soft_mixing,
-                          superkmer_dedup, token_store)
+                          substrings, superkmer_dedup, token_store)
 from panelkit.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -263,3 +264,28 @@ def test_pipeline_stages(spark, docs, labels, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     labels.write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+@pytest.mark.parametrize("hot_cores", [False, True])
+@pytest.mark.parametrize("units_of,window,gram", [(substrings.byte_units, 50, 16), (substrings.word_units, 20, 8)])
+def test_hot_minimisers_are_cut(units_of, window, gram, hot_cores):
+    """Where every minimiser is hot, each window still travels once, and equal windows with equal keys."""
+    words = np.random.default_rng(3).integers(0, 3, 900)
+    texts = [" ".join("ab cde f".split()[w] for w in words[a:b]) for a, b in ((0, 400), (200, 700), (300, 420), (0, 5), (0, 0))]
+    batch = pa.record_batch({"text": texts})
+    every, none = np.full(1 << 10, 255, np.uint8), np.zeros(1 << 10, np.uint8)
+    known = substrings.Known(substrings.Filter(1, every, every), substrings.Filter(1, every, every if hot_cores else none))
+    at = {}
+    for key, string, doc, pos in zip(*substrings._packed(batch, units_of, window, gram, known)):
+        parts = string.split(b" ") if units_of is substrings.word_units else string
+        for k in range(len(parts) - window + 1):
+            at.setdefault((int(doc), int(pos) + k), []).append((int(key), tuple(parts[k:k + window])))
+    want = {}
+    for d, t in enumerate(texts):
+        parts = t.encode().split() if units_of is substrings.word_units else t.encode()
+        want |= {(d, k): tuple(parts[k:k + window]) for k in range(len(parts) - window + 1)}
+    assert {k: v[0][1] for k, v in at.items()} == want and all(len(v) == 1 for v in at.values())
+    keys = {}
+    for [(key, content)] in at.values():
+        keys.setdefault(content, set()).add(key)
+    assert all(len(k) == 1 for k in keys.values())
