@@ -15,7 +15,9 @@ in the bucket of their common minimiser.
    minimisers before them, so a part whose core is seen once goes no further.
 3. Runs and parts that pass are strings, keyed by minimiser or core; a part of a hot core goes as single
    windows, keyed by a hash of the window itself, so its groups fall apart.  Equal strings of a task are
-   aggregated before they are dealt to buckets.
+   aggregated before they are dealt to buckets.  A key that repeats with one string only needs no text
+   in its bucket: its string goes as a mark, length and digest.  The counts compare 32 bits of a hash;
+   if a bucket sees marks of two strings with one key, that key is noted and the strings are sent again.
 4. A bucket resolves each distinct string: for which of its windows does the content start first
    where.  Occurrences join the answers by a 128-bit digest of the string.
 
@@ -45,6 +47,8 @@ RESOLVE_BYTES = 1 << 18
 HELD_BYTES = 24 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
+#: first byte of a mark; UTF-8 has none such
+MARK = b"\xff"
 RUNS = "array<struct<first:int,last:int,id:long,pos:long>>"
 
 
@@ -177,15 +181,23 @@ class Filter(NamedTuple):
     slots: int
     repeated: np.ndarray
     hot: np.ndarray
+    varied: np.ndarray
 
-    def _test(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    def _cell(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         slot = ((hashes >> np.uint64(32)) * np.uint64(self.slots)) >> np.uint64(32)
         each = np.uint64(len(bits) * 8 // self.slots)
-        cell = slot * each + (((hashes & _LOW) * each) >> np.uint64(32))
+        return slot * each + (((hashes & _LOW) * each) >> np.uint64(32))
+
+    def _test(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        cell = self._cell(bits, hashes)
         return (bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self._test(self.repeated, hashes), self._test(self.hot, hashes)
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(self._test(x, hashes) for x in (self.repeated, self.hot, self.varied))
+
+    def note_varied(self, hashes: np.ndarray) -> None:
+        cell = self._cell(self.varied, hashes)
+        np.bitwise_or.at(self.varied, (cell >> np.uint64(3)).astype(np.int64), np.uint8(1) << (cell & np.uint64(7)).astype(np.uint8))
 
 
 class Known(NamedTuple):
@@ -199,8 +211,8 @@ def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def counted(docs: DataFrame, units_of, window: int, keyed) -> Filter:
-    """Bit arrays of the keys that occur twice or more, and of those with ``HOT`` different strings or
-    more.  ``keyed(units)`` gives first and last window start and key of the strings."""
+    """Bit arrays of the keys that occur twice or more, of those with ``HOT`` different strings or more,
+    and of those with two or more.  ``keyed(units)`` gives first and last window start and key of the strings."""
     slots = shuffle_parts(docs.sparkSession)
     each, each_hot = -(-FILTER_BITS // slots // 8) * 8, -(-HOT_BITS // slots // 8) * 8
 
@@ -240,15 +252,17 @@ def counted(docs: DataFrame, units_of, window: int, keyed) -> Filter:
             out[((chosen * np.uint64(size)) >> np.uint64(32)).astype(np.int64)] = 1
             return np.packbits(out, bitorder="little").tobytes()
 
-        return pa.table({"slot": batch.column("slot").slice(0, 1).combine_chunks(), "repeated": [marked(value[n > 1], each)], "hot": [marked(value[strings >= HOT], each_hot)]},
-                        schema=pa.schema([("slot", pa.int32()), ("repeated", pa.binary()), ("hot", pa.binary())]))
+        return pa.table({"slot": batch.column("slot").slice(0, 1).combine_chunks(), "repeated": [marked(value[n > 1], each)], "hot": [marked(value[strings >= HOT], each_hot)],
+                         "varied": [marked(value[strings > 1], each)]},
+                        schema=pa.schema([("slot", pa.int32()), ("repeated", pa.binary()), ("hot", pa.binary()), ("varied", pa.binary())]))
 
     rows = (docs.select("text").mapInArrow(count, "slot int, once binary, many binary")
-            .groupBy("slot").applyInArrow(bits, "slot int, repeated binary, hot binary"))
-    out = Filter(slots, np.zeros(slots * each // 8, np.uint8), np.zeros(slots * each_hot // 8, np.uint8))
-    for r in rows.toLocalIterator():  # FILTER_BITS + HOT_BITS in all
-        out.repeated[r["slot"] * each // 8:(r["slot"] + 1) * each // 8] = np.frombuffer(r["repeated"], np.uint8)
-        out.hot[r["slot"] * each_hot // 8:(r["slot"] + 1) * each_hot // 8] = np.frombuffer(r["hot"], np.uint8)
+            .groupBy("slot").applyInArrow(bits, "slot int, repeated binary, hot binary, varied binary"))
+    out = Filter(slots, *(np.zeros(slots * n // 8, np.uint8) for n in (each, each_hot, each)))
+    for r in rows.toLocalIterator():  # 2 FILTER_BITS + HOT_BITS in all
+        for name in ("repeated", "hot", "varied"):
+            piece = np.frombuffer(r[name], np.uint8)
+            getattr(out, name)[r["slot"] * len(piece):(r["slot"] + 1) * len(piece)] = piece
     return out
 
 
@@ -260,21 +274,22 @@ def repeated(docs: DataFrame, units_of, window: int, gram: int) -> Known:
 
     def hot_parts(units: Units):
         first, last, hashes, place = runs(units, window, gram)
-        often, hot = sent.value.of(hashes)
+        often, hot, _ = sent.value.of(hashes)
         return cores(units, *(x[often & hot] for x in (first, last, place)), window, gram)
 
     return Known(minimisers, counted(docs, units_of, window, hot_parts))
 
 
 def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Known):
-    """Key, string, row and unit at which it starts, of each run or part whose key repeats; hot parts window by window."""
+    """Key, string, row and unit at which it starts, last window, and whether the key has more strings, of
+    each run or part whose key repeats; hot parts window by window."""
     units = units_of(batch.column("text"))
     first, last, hashes, place = runs(units, window, gram)
-    often, hot = known.minimisers.of(hashes)
+    often, hot, varied = known.minimisers.of(hashes)
     split, often = often & hot, often & ~hot
     part_first, part_last, core = cores(units, first[split], last[split], place[split], window, gram)
-    passes, hot = known.cores.of(core)
-    first, last, hashes = (np.concatenate((a[often], b[passes])) for a, b in ((first, part_first), (last, part_last), (hashes, core)))
+    passes, hot, more = known.cores.of(core)
+    first, last, hashes, varied = (np.concatenate((a[often], b[passes])) for a, b in ((first, part_first), (last, part_last), (hashes, core), (varied, more)))
     hot = np.concatenate((np.zeros(int(often.sum()), bool), hot[passes]))
     if hot.any():
         n = np.where(hot, last - first + 1, 1)
@@ -282,13 +297,13 @@ def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Know
         step = np.arange(len(alone)) - np.repeat(np.cumsum(n) - n, n)
         first = np.repeat(first, n) + np.where(alone, step, 0)
         last = np.where(alone, first, np.repeat(last, n))
-        hashes, hot = np.repeat(hashes, n), alone
+        hashes, hot, varied = np.repeat(hashes, n), alone, np.repeat(varied, n)
     strings = [units.cut(a, b + window) for a, b in zip(first.tolist(), last.tolist())]
     keys = hashes.view(np.int64).copy()
     for i in np.flatnonzero(hot).tolist():
         keys[i] = xxhash.xxh3_64_intdigest(strings[i]) - (1 << 63)
     doc = np.searchsorted(units.at, first, side="right") - 1
-    return keys, strings, doc, first - units.at[doc]
+    return keys, strings, doc, first - units.at[doc], last - first, varied
 
 
 def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
@@ -296,7 +311,7 @@ def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, CHUNK_BYTES):
-            _, strings, doc, pos = _packed(batch, units_of, window, gram, known.value)
+            _, strings, doc, pos, _, _ = _packed(batch, units_of, window, gram, known.value)
             at = pa.array(doc)
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in strings], pa.binary()), batch.column("id").take(at),
                                               batch.column("text_hash").take(at), pa.array(pos)], names=["digest", "id", "text_hash", "pos"])
@@ -305,7 +320,7 @@ def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> Dat
 
 
 def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
-    """(key, string, id, pos, n): a task's distinct strings, with the first of their occurrences and how
+    """(key, string, id, pos, n): a task's distinct strings, or marks of those alone with their key, with the first of their occurrences and how
     many there are; a task sends a string once for every ``HELD_BYTES`` of strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,8 +336,10 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
 
         for batch in sliced(batches, CHUNK_BYTES):
             ids = batch.column("id").to_pylist()
-            keys, strings, doc, pos = _packed(batch, units_of, window, gram, known.value)
-            for key, string, d, p in zip(keys.tolist(), strings, doc.tolist(), pos.tolist()):
+            keys, strings, doc, pos, last, varied = _packed(batch, units_of, window, gram, known.value)
+            for key, string, d, p, end, more in zip(keys.tolist(), strings, doc.tolist(), pos.tolist(), last.tolist(), varied.tolist()):
+                if not more:
+                    string = MARK + end.to_bytes(4) + xxhash.xxh3_128_digest(string)
                 if (have := held.get(string)) is None:
                     held[string] = (key, ids[d], p, 1)
                     size += len(string)
@@ -339,7 +356,8 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
 def resolved(strings: DataFrame, resolve, size_limit: int) -> DataFrame:
     """(digest, runs): ``resolve(keys, strings, ids, positions, counts)``, called with about ``size_limit``
     bytes of strings and all strings of a key, gives for each distinct string the
-    windows that repeat, as runs of windows with where their content starts first."""
+    windows that repeat, as runs of windows with where their content starts first.  A mark's windows
+    all repeat if it has come twice.  Marks of several strings with one key give (key, null)."""
     parts = shuffle_parts(strings.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,11 +365,18 @@ def resolved(strings: DataFrame, resolve, size_limit: int) -> DataFrame:
         size, key = 0, None
 
         def done():
-            keys, *rows = (np.array([h[i] for h in held.values()], np.int64) for i in (3, 0, 1, 2))
-            found = resolve(keys, list(held), *rows)
-            rows = [(s, r) for s, r in zip(held, found) if r]
-            return pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s, _ in rows], pa.binary()), pa.array([r for _, r in rows], kind)],
-                                              names=["digest", "runs"])
+            rows, marks = [], {}
+            for s, (i, p, n, at) in held.items():
+                if s[:1] == MARK:
+                    marks.setdefault(at, []).append(s)
+                    if n > 1:
+                        rows.append((s[5:], [{"first": 0, "last": int.from_bytes(s[1:5]), "id": i, "pos": p}]))
+            rows += [(at.to_bytes(8, signed=True), None) for at, several in marks.items() if len(several) > 1]
+            texts = [s for s in held if s[:1] != MARK]
+            if texts:
+                keys, *columns = (np.array([held[s][i] for s in texts], np.int64) for i in (3, 0, 1, 2))
+                rows += [(xxhash.xxh3_128_digest(s), r) for s, r in zip(texts, resolve(keys, texts, *columns)) if r]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], names=["digest", "runs"])
 
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("id", pa.int64()), ("pos", pa.int64())]))
         for batch in batches:
@@ -376,8 +401,15 @@ def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: s
     """(id, text_hash, spans array<struct<a, b>>): units to remove, as window starts a to b (inclusive),
     of every row that loses any.  ``removed`` is the condition on (id, pos) of a window run in a
     document against (first_id, first_pos) of its first occurrence."""
-    known = docs.sparkSession.sparkContext.broadcast(repeated(docs, units_of, window, gram))
-    answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve, size_limit), "resolved")
+    counts = repeated(docs, units_of, window, gram)
+    while True:
+        known = docs.sparkSession.sparkContext.broadcast(counts)
+        answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve, size_limit), "resolved")
+        unclear = [r["digest"] for r in answers.where("runs is null").select("digest").collect()]  # one of 2 ** 32 keys that repeat
+        if not unclear:
+            break
+        for one in counts:
+            one.note_varied(np.frombuffer(b"".join(unclear), ">u8").astype(np.uint64))
     windows = (occurrences(docs, units_of, window, gram, known).join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
                .selectExpr("id", "text_hash", "pos + r.first as pos", "pos + r.last as last", "r.id as first_id", "r.pos as first_pos").where(removed))
     return windows.groupBy("id", "text_hash").agg(F.collect_set(F.struct(F.col("pos").alias("a"), F.col("last").alias("b"))).alias("spans"))
