@@ -8,8 +8,8 @@ in the bucket of their common minimiser.
 
 1. Every minimiser is counted over all rows (packed arrays, one group for each slot of the hash
    range).  Minimisers seen once cannot belong to a repeated window; those with ``HOT`` different strings
-   or more are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``HOT_BITS``,
-   whatever the input): a clash only lets through a run that turns out not to be repeated.
+   or more are split.  Both facts go to the tasks as bit arrays of fixed size (``FILTER_BITS``, ``CORE_BITS``,
+   ``HOT_BITS``, whatever the input): a clash only lets through a run that turns out not to be repeated.
 2. A run of a hot minimiser is cut into parts by where its windows stand around the minimiser.  The
    units that all windows of a part share, most of a window, are its core; cores are counted like the
    minimisers before them, so a part whose core is seen once goes no further.
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import materialise, mix64, order_key, raw_bytes, shuffle_parts, sliced
 
-FILTER_BITS, HOT_BITS, HOT = 1 << 27, 1 << 22, 3000
+#: sizes of the bit arrays for minimisers and for cores (half as many say which keys are varied)
+FILTER_BITS, CORE_BITS, HOT_BITS, HOT = 1 << 27, 1 << 24, 1 << 22, 3000
 #: bytes of text scanned at a time
 CHUNK_BYTES = 2 << 20
 #: bytes of strings that a bucket task resolves at a time
@@ -210,11 +211,11 @@ def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(order_key(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
 
-def counted(docs: DataFrame, units_of, window: int, keyed) -> Filter:
+def counted(docs: DataFrame, units_of, window: int, keyed, bits_in_all: int) -> Filter:
     """Bit arrays of the keys that occur twice or more, of those with ``HOT`` different strings or more,
     and of those with two or more.  ``keyed(units)`` gives first and last window start and key of the strings."""
     slots = shuffle_parts(docs.sparkSession)
-    each, each_hot = -(-FILTER_BITS // slots // 8) * 8, -(-HOT_BITS // slots // 8) * 8
+    each, each_hot, each_varied = (-(-n // slots // 8) * 8 for n in (bits_in_all, HOT_BITS, bits_in_all // 2))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4 * CHUNK_BYTES):
@@ -253,31 +254,30 @@ def counted(docs: DataFrame, units_of, window: int, keyed) -> Filter:
             return np.packbits(out, bitorder="little").tobytes()
 
         return pa.table({"slot": batch.column("slot").slice(0, 1).combine_chunks(), "repeated": [marked(value[n > 1], each)], "hot": [marked(value[strings >= HOT], each_hot)],
-                         "varied": [marked(value[strings > 1], each)]},
+                         "varied": [marked(value[strings > 1], each_varied)]},
                         schema=pa.schema([("slot", pa.int32()), ("repeated", pa.binary()), ("hot", pa.binary()), ("varied", pa.binary())]))
 
     rows = (docs.select("text").mapInArrow(count, "slot int, once binary, many binary")
             .groupBy("slot").applyInArrow(bits, "slot int, repeated binary, hot binary, varied binary"))
-    out = Filter(slots, *(np.zeros(slots * n // 8, np.uint8) for n in (each, each_hot, each)))
-    for r in rows.toLocalIterator():  # 2 FILTER_BITS + HOT_BITS in all
+    out = Filter(slots, *(np.zeros(slots * n // 8, np.uint8) for n in (each, each_hot, each_varied)))
+    for r in rows.toLocalIterator():  # 1.5 bits_in_all + HOT_BITS
         for name in ("repeated", "hot", "varied"):
             piece = np.frombuffer(r[name], np.uint8)
             getattr(out, name)[r["slot"] * len(piece):(r["slot"] + 1) * len(piece)] = piece
     return out
 
 
-def repeated(docs: DataFrame, units_of, window: int, gram: int) -> Known:
-    """Counts of all minimisers, then of the cores of the hot ones."""
-    context = docs.sparkSession.sparkContext
-    minimisers = counted(docs, units_of, window, lambda units: runs(units, window, gram)[:3])
-    sent = context.broadcast(minimisers)
+def repeated(docs: DataFrame, units_of, window: int, gram: int):
+    """Counts of all minimisers, then of the cores of the hot ones, and the broadcast of the former."""
+    minimisers = counted(docs, units_of, window, lambda units: runs(units, window, gram)[:3], FILTER_BITS)
+    sent = docs.sparkSession.sparkContext.broadcast(minimisers)
 
     def hot_parts(units: Units):
         first, last, hashes, place = runs(units, window, gram)
         often, hot, _ = sent.value.of(hashes)
         return cores(units, *(x[often & hot] for x in (first, last, place)), window, gram)
 
-    return Known(minimisers, counted(docs, units_of, window, hot_parts))
+    return Known(minimisers, counted(docs, units_of, window, hot_parts, CORE_BITS)), sent
 
 
 def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Known):
@@ -311,7 +311,7 @@ def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, CHUNK_BYTES):
-            _, strings, doc, pos, _, _ = _packed(batch, units_of, window, gram, known.value)
+            _, strings, doc, pos, _, _ = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
             at = pa.array(doc)
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in strings], pa.binary()), batch.column("id").take(at),
                                               batch.column("text_hash").take(at), pa.array(pos)], names=["digest", "id", "text_hash", "pos"])
@@ -336,7 +336,7 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
 
         for batch in sliced(batches, CHUNK_BYTES):
             ids = batch.column("id").to_pylist()
-            keys, strings, doc, pos, last, varied = _packed(batch, units_of, window, gram, known.value)
+            keys, strings, doc, pos, last, varied = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
             for key, string, d, p, end, more in zip(keys.tolist(), strings, doc.tolist(), pos.tolist(), last.tolist(), varied.tolist()):
                 if not more:
                     string = MARK + end.to_bytes(4) + xxhash.xxh3_128_digest(string)
@@ -401,15 +401,17 @@ def spans(docs: DataFrame, units_of, window: int, gram: int, resolve, removed: s
     """(id, text_hash, spans array<struct<a, b>>): units to remove, as window starts a to b (inclusive),
     of every row that loses any.  ``removed`` is the condition on (id, pos) of a window run in a
     document against (first_id, first_pos) of its first occurrence."""
-    counts = repeated(docs, units_of, window, gram)
+    send = docs.sparkSession.sparkContext.broadcast
+    counts, sent = repeated(docs, units_of, window, gram)
+    known = sent, send(counts.cores)
     while True:
-        known = docs.sparkSession.sparkContext.broadcast(counts)
         answers = materialise(resolved(distinct_strings(docs, units_of, window, gram, known), resolve, size_limit), "resolved")
         unclear = [r["digest"] for r in answers.where("runs is null").select("digest").collect()]  # one of 2 ** 32 keys that repeat
         if not unclear:
             break
         for one in counts:
             one.note_varied(np.frombuffer(b"".join(unclear), ">u8").astype(np.uint64))
+        known = tuple(map(send, counts))
     windows = (occurrences(docs, units_of, window, gram, known).join(answers, "digest").select("id", "text_hash", "pos", F.explode("runs").alias("r"))
                .selectExpr("id", "text_hash", "pos + r.first as pos", "pos + r.last as last", "r.id as first_id", "r.pos as first_pos").where(removed))
     return windows.groupBy("id", "text_hash").agg(F.collect_set(F.struct(F.col("pos").alias("a"), F.col("last").alias("b"))).alias("spans"))
