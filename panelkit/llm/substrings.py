@@ -185,6 +185,7 @@ class Filter(NamedTuple):
     varied: np.ndarray
 
     def _cell(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        hashes = mix64(hashes)  # minimisers are small in their high bits, cells must not be
         slot = ((hashes >> np.uint64(32)) * np.uint64(self.slots)) >> np.uint64(32)
         each = np.uint64(len(bits) * 8 // self.slots)
         return slot * each + (((hashes & _LOW) * each) >> np.uint64(32))
@@ -225,6 +226,7 @@ def counted(docs: DataFrame, units_of, window: int, keyed, bits_in_all: int) ->
                 first, last, hashes = keyed(units)
                 found.append((hashes, range_hashes(units, first, last + window)))
             hashes, strings = (np.concatenate(x) for x in zip(*found))
+            hashes = mix64(hashes)  # as in Filter
             slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
             # the slot, the low half of the key and half of the string's hash name a string
             pair = ((hashes & _LOW) << np.uint64(32)) | (strings >> np.uint64(32))
