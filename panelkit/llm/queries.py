@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelkit.llm import (bwt_dedup, byte_bpe, chat_format, cotrain_quality, cross_polytope, phrase_print, simhash_dedup, soft_mixing,
-                          superkmer_dedup, token_store)
+from panelkit.llm import (bwt_dedup, byte_bpe, chat_format, cotrain_quality, cross_polytope, merkle_manifest, phrase_print,
+                          repetition_rules, simhash_dedup, soft_mixing, superkmer_dedup, token_store, whitening)
 from panelkit.llm.common import shared_path, table
 
 QUERIES, ORACLE = {}, {}
@@ -116,3 +116,18 @@ def op9_cross_polytope(spark, sf_dir):
 @query("op10_chat_format", chat_format.SQL)
 def op10_chat_format(spark, sf_dir):
     return chat_format.render(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_repetition_rules", repetition_rules.sql())
+def op11_repetition_rules(spark, sf_dir):
+    return repetition_rules.judge(table(spark, sf_dir, "documents")).drop("gram_chars")
+
+
+@query("op12_merkle_manifest", merkle_manifest.sql())
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.prove(table(spark, sf_dir, "documents")).drop("n_leaves")
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
