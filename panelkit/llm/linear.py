@@ -63,8 +63,8 @@ def features(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array
     edge[at] = True
     starts, ends = np.flatnonzero(word & (~before | edge)), np.flatnonzero(before & (~word | edge))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers("up", int(_MULT), len(data)), out=total[1:])
-    hashes = mix64((total[ends] - total[starts]) * _powers("down", pow(int(_MULT), -1, 1 << 64), len(data) + 1)[starts])
+    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers(int(_MULT), len(data)), out=total[1:])
+    hashes = mix64((total[ends] - total[starts]) * _powers(pow(int(_MULT), -1, 1 << 64), len(data) + 1)[starts])
     owner = np.searchsorted(at, starts, side="right") - 1
     tokens = np.bincount(owner, minlength=n)
     distinct = np.unique((owner.astype(np.uint64) << np.uint64(WORD_BITS)) | (hashes >> np.uint64(64 - WORD_BITS)))

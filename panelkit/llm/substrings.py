@@ -19,7 +19,13 @@ in the bucket of their common minimiser.
    in its bucket: its string goes as a mark, length and digest.  The counts compare 32 bits of a hash;
    if a bucket sees marks of two strings with one key, that key is noted and the strings are sent again.
 4. A bucket resolves each distinct string: for which of its windows does the content start first
-   where.  Occurrences join the answers by a 128-bit digest of the string.
+   where.  Occurrences join the answers by the string's digest.
+
+A string's digest is 128 bits: two polynomial hashes of its units and its length, from prefix sums over a whole slice,
+so a string is only cut out of its text where a bucket needs to see it.  Strings are short (less than two
+windows and a few units), too short for inputs that such hashes can't tell apart by their form.
+
+Texts longer than a slice are a slice of their own; a task's arrays take about 150 bytes for each unit of a slice.
 
 Rows are known by (id, 64-bit hash of the text): repeated rows get the same spans, rows with the same
 id and other texts their own.  Null ids come before all others; null texts count as empty.
@@ -32,7 +38,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +49,12 @@ FILTER_BITS, CORE_BITS, HOT_BITS, HOT = 1 << 27, 1 << 24, 1 << 22, 3000
 CHUNK_BYTES = 2 << 20
 #: bytes of strings that a bucket task resolves at a time
 RESOLVE_BYTES = 1 << 18
-#: bytes of distinct strings that a map task holds before it sends them
-HELD_BYTES = 24 << 20
-_MULT = np.uint64(0x9E3779B97F4A7C15)
+#: rows of strings and bytes of their text that a map task holds before it sends them
+HELD_ROWS, HELD_BYTES = 400_000, 16 << 20
+#: rows that a bucket task answers at a time, if their strings don't fill ``size_limit`` before
+ANSWERED_ROWS = 200_000
+_MULT, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)
-#: first byte of a mark; UTF-8 has none such
-MARK = b"\xff"
 RUNS = "array<struct<first:int,last:int,id:long,pos:long>>"
 
 
@@ -68,17 +73,16 @@ def byte_units(column: pa.Array) -> Units:
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(name: str, base: int, n: int) -> np.ndarray:
-    """base ** 0, 1, ... modulo 2 ** 64."""
-    have = _POWERS.get(name)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES), base, np.uint64)
-        steps[0] = 1
-        have = _POWERS[name] = np.multiply.accumulate(steps)
-    return have[:n]
+def _powers(base: int, n: int, step: int = 1 << 10) -> np.ndarray:
+    """base ** 0, 1, ... modulo 2 ** 64; nothing is kept between calls."""
+    def run(of: int, size: int) -> np.ndarray:
+        steps = np.full(size, of % (1 << 64), np.uint64)
+        steps[:1] = 1
+        return np.multiply.accumulate(steps)
+
+    return (run(pow(base, step, 1 << 64), -(-n // step))[:, None] * run(base, min(n, step))[None]).ravel()[:n]
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,8 +103,8 @@ def word_units(column: pa.Array) -> Units:
     starts, ends, docs = word_spans(data, at)
     raw, base = data.tobytes(), int(_MULT)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", base, len(data)), out=total[1:])
-    hashes = mix64((total[ends] - total[starts]) * _powers("down", pow(base, -1, 1 << 64), len(data) + 1)[starts])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(base, len(data)), out=total[1:])
+    hashes = mix64((total[ends] - total[starts]) * _powers(pow(base, -1, 1 << 64), len(data) + 1)[starts])
 
     def cut(a: int, b: int) -> bytes:
         return b" ".join(raw[starts[a]:ends[b - 1]].split())
@@ -157,12 +161,18 @@ def runs(units: Units, window: int, gram: int) -> tuple[np.ndarray, np.ndarray,
     return first, last, hashes[where[first]], where[first]
 
 
-def range_hashes(units: Units, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hashes(units: Units, begin: np.ndarray, end: np.ndarray, multiplier: np.uint64 = _MULT) -> np.ndarray:
     """A hash of the units from each ``begin`` to its ``end`` (exclusive), from prefix sums."""
     n = len(units.hashes)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(units.hashes * _powers("up", int(_MULT), n), out=total[1:])
-    return mix64((total[end] - total[begin]) * _powers("down", pow(int(_MULT), -1, 1 << 64), n + 1)[begin])
+    np.cumsum((units.hashes if multiplier == _MULT else mix64(units.hashes)) * _powers(int(multiplier), n), out=total[1:])
+    return mix64((total[end] - total[begin]) * _powers(pow(int(multiplier), -1, 1 << 64), n + 1)[begin])
+
+
+def digests(units: Units, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128 bits for each range of units, as rows of two numbers."""
+    size = (end - begin).astype(np.uint64) * _SECOND
+    return np.stack([mix64(range_hashes(units, begin, end) ^ size), mix64(range_hashes(units, begin, end, _SECOND) + size)], axis=1)
 
 
 def cores(units: Units, first: np.ndarray, last: np.ndarray, place: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -279,11 +289,29 @@ def repeated(docs: DataFrame, units_of, window: int, gram: int):
         often, hot, _ = sent.value.of(hashes)
         return cores(units, *(x[often & hot] for x in (first, last, place)), window, gram)
 
+    if not minimisers.hot.any():
+        return Known(minimisers, Filter(1, *(np.zeros(1, np.uint8) for _ in range(3)))), sent
     return Known(minimisers, counted(docs, units_of, window, hot_parts, CORE_BITS)), sent
 
 
+class Strings:
+    """Strings of a slice, cut out of their texts only when asked for."""
+
+    def __init__(self, units: Units, begin: np.ndarray, end: np.ndarray):
+        self.units, self.begin, self.end = units, begin, end
+
+    def __len__(self) -> int:
+        return len(self.begin)
+
+    def __iter__(self) -> Iterator[bytes]:
+        return map(self.units.cut, self.begin.tolist(), self.end.tolist())
+
+    def of(self, rows: np.ndarray) -> list[bytes]:
+        return list(map(self.units.cut, self.begin[rows].tolist(), self.end[rows].tolist()))
+
+
 def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Known):
-    """Key, string, row and unit at which it starts, last window, and whether the key has more strings, of
+    """Key, string, row and unit at which it starts, last window, whether the key has more strings, and digest, of
     each run or part whose key repeats; hot parts window by window."""
     units = units_of(batch.column("text"))
     first, last, hashes, place = runs(units, window, gram)
@@ -300,12 +328,31 @@ def _packed(batch: pa.RecordBatch, units_of, window: int, gram: int, known: Know
         first = np.repeat(first, n) + np.where(alone, step, 0)
         last = np.where(alone, first, np.repeat(last, n))
         hashes, hot, varied = np.repeat(hashes, n), alone, np.repeat(varied, n)
-    strings = [units.cut(a, b + window) for a, b in zip(first.tolist(), last.tolist())]
-    keys = hashes.view(np.int64).copy()
-    for i in np.flatnonzero(hot).tolist():
-        keys[i] = xxhash.xxh3_64_intdigest(strings[i]) - (1 << 63)
+    digest = digests(units, first, last + window)
+    keys = np.where(hot, digest[:, 0], hashes).view(np.int64)
     doc = np.searchsorted(units.at, first, side="right") - 1
-    return keys, strings, doc, first - units.at[doc], last - first, varied
+    return keys, Strings(units, first, last + window), doc, first - units.at[doc], last - first, varied, digest
+
+
+def _binary(digest: np.ndarray) -> pa.Array:
+    """Rows of two numbers as 16 bytes each."""
+    ends = np.arange(len(digest) + 1, dtype=np.int32) * 16
+    return pa.BinaryArray.from_buffers(pa.binary(), len(digest), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(digest))])
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """16 bytes each as rows of two numbers."""
+    return raw_bytes(column)[0].view(np.uint64).reshape(-1, 2)
+
+
+def _first(key: np.ndarray, digest: np.ndarray, ids: np.ndarray, positions: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal keys and digests, the row that starts first (ordered by key), and how many there are in all."""
+    order = np.lexsort((positions, ids, digest[:, 1], digest[:, 0], key))
+    if not len(order):
+        return order, counts
+    same = (key[order[1:]] == key[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
+    head = np.flatnonzero(np.concatenate(([True], ~same)))
+    return order[head], np.add.reduceat(counts[order], head)
 
 
 def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
@@ -313,87 +360,111 @@ def occurrences(docs: DataFrame, units_of, window: int, gram: int, known) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, CHUNK_BYTES):
-            _, strings, doc, pos, _, _ = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
+            *_, doc, pos, _, _, digest = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
             at = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in strings], pa.binary()), batch.column("id").take(at),
-                                              batch.column("text_hash").take(at), pa.array(pos)], names=["digest", "id", "text_hash", "pos"])
+            yield pa.RecordBatch.from_arrays([_binary(digest), batch.column("id").take(at), batch.column("text_hash").take(at), pa.array(pos)],
+                                             names=["digest", "id", "text_hash", "pos"])
 
     return docs.select("id", "text_hash", "text").mapInArrow(run, "digest binary, id long, text_hash long, pos long")
 
 
+_STRINGS = "key long, digest binary, last int, string binary, id long, pos long, n long"
+
+
 def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -> DataFrame:
-    """(key, string, id, pos, n): a task's distinct strings, or marks of those alone with their key, with the first of their occurrences and how
-    many there are; a task sends a string once for every ``HELD_BYTES`` of strings."""
+    """(key, digest, last, string, id, pos, n): a task's distinct strings with their last window, the first of their occurrences and
+    how many there are; of those alone with their key no text.  A task sends a string once for every ``HELD_ROWS`` or ``HELD_BYTES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple] = {}
-        size = 0
+        held, n_rows, n_bytes = [], 0, 0
 
         def sent():
-            rows = list(held.items())
-            for k in range(0, len(rows), 50_000):
-                part = rows[k:k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([r[1][0] for r in part], pa.int64()), pa.array([r[0] for r in part], pa.binary()),
-                                                  *(pa.array([r[1][i] for r in part], pa.int64()) for i in (1, 2, 3))], names=["key", "string", "id", "pos", "n"])
-
+            key, digest, last, ids, pos, n = (np.concatenate(x) for x in list(zip(*held))[:6])
+            strings = pa.concat_arrays([x[6] for x in held])
+            best, n = _first(key, digest, ids, pos, n)
+            for k in range(0, len(best), 50_000):
+                part = best[k:k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), _binary(digest[part]), pa.array(last[part].astype(np.int32)), strings.take(pa.array(part)),
+                                                  pa.array(ids[part]), pa.array(pos[part]), pa.array(n[k:k + 50_000])], names=names)
+
+        names = [c.split()[0] for c in _STRINGS.split(", ")]
         for batch in sliced(batches, CHUNK_BYTES):
-            ids = batch.column("id").to_pylist()
-            keys, strings, doc, pos, last, varied = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
-            for key, string, d, p, end, more in zip(keys.tolist(), strings, doc.tolist(), pos.tolist(), last.tolist(), varied.tolist()):
-                if not more:
-                    string = MARK + end.to_bytes(4) + xxhash.xxh3_128_digest(string)
-                if (have := held.get(string)) is None:
-                    held[string] = (key, ids[d], p, 1)
-                    size += len(string)
-                else:
-                    held[string] = (key, *min(have[1:3], (ids[d], p)), have[3] + 1)
-            if size >= HELD_BYTES:
+            keys, strings, doc, pos, last, varied, digest = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
+            ids = batch.column("id").to_numpy(zero_copy_only=False)[doc]
+            best, n = _first(keys, digest, ids, pos, np.ones(len(keys), np.int64))
+            told = varied[best]
+            seen = np.full(len(best), -1)
+            seen[told] = np.arange(int(told.sum()))
+            texts = pa.array(strings.of(best[told]), pa.binary()).take(pa.array(seen, mask=~told))
+            held.append((keys[best], digest[best], last[best], ids[best], pos[best], n, texts))
+            n_rows, n_bytes = n_rows + len(best), n_bytes + texts.nbytes
+            if n_rows >= HELD_ROWS or n_bytes >= HELD_BYTES:
                 yield from sent()
-                held, size = {}, 0
-        yield from sent()
+                held, n_rows, n_bytes = [], 0, 0
+        if held:
+            yield from sent()
+
+    return docs.select("id", "text").mapInArrow(run, _STRINGS)
 
-    return docs.select("id", "text").mapInArrow(run, "key long, string binary, id long, pos long, n long")
+
+def _runs_of(first: np.ndarray, last: np.ndarray, ids: np.ndarray, pos: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Lists of runs, so many in each."""
+    items = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(ids.astype(np.int64)), pa.array(pos.astype(np.int64))],
+                                       names=["first", "last", "id", "pos"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), items)
 
 
 def resolved(strings: DataFrame, resolve, size_limit: int) -> DataFrame:
     """(digest, runs): ``resolve(keys, strings, ids, positions, counts)``, called with about ``size_limit``
     bytes of strings and all strings of a key, gives for each distinct string the
-    windows that repeat, as runs of windows with where their content starts first.  A mark's windows
-    all repeat if it has come twice.  Marks of several strings with one key give (key, null)."""
+    windows that repeat, as runs of windows with where their content starts first.  A string without its text is alone with its key: its windows
+    all repeat if it has come twice.  If there are several such strings with one key, (key, null) says so."""
     parts = shuffle_parts(strings.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple] = {}
-        size, key = 0, None
-
-        def done():
-            rows, marks = [], {}
-            for s, (i, p, n, at) in held.items():
-                if s[:1] == MARK:
-                    marks.setdefault(at, []).append(s)
-                    if n > 1:
-                        rows.append((s[5:], [{"first": 0, "last": int.from_bytes(s[1:5]), "id": i, "pos": p}]))
-            rows += [(at.to_bytes(8, signed=True), None) for at, several in marks.items() if len(several) > 1]
-            texts = [s for s in held if s[:1] != MARK]
-            if texts:
-                keys, *columns = (np.array([held[s][i] for s in texts], np.int64) for i in (3, 0, 1, 2))
-                rows += [(xxhash.xxh3_128_digest(s), r) for s, r in zip(texts, resolve(keys, texts, *columns)) if r]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], names=["digest", "runs"])
-
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("id", pa.int64()), ("pos", pa.int64())]))
+
+        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.combine_chunks()
+            key, last, ids, pos, n = (table.column(c).to_numpy() for c in ("key", "last", "id", "pos", "n"))
+            digest, text = _numbers(table.column("digest").chunk(0)), table.column("string").chunk(0)
+            best, n = _first(key, digest, ids, pos, n)
+            key, last, ids, pos, digest, text = key[best], last[best], ids[best], pos[best], digest[best], text.take(pa.array(best))
+            alone = text.is_null().to_numpy(zero_copy_only=False)
+            again = np.flatnonzero(alone & (n > 1))
+            zeros = np.zeros(len(again), np.int64)
+            yield pa.RecordBatch.from_arrays([_binary(digest[again]), _runs_of(zeros, last[again], ids[again], pos[again], np.ones(len(again), np.int64))], names=names)
+            marked, several = np.unique(key[alone], return_counts=True)
+            unclear = [int(k).to_bytes(8, signed=True) for k in marked[several > 1].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(unclear, pa.binary()), pa.nulls(len(unclear), kind)], names=names)
+            told = np.flatnonzero(~alone)
+            if len(told):
+                answers = resolve(key[told], text.take(pa.array(told)).to_pylist(), ids[told], pos[told], n[told])
+                full = [k for k, r in enumerate(answers) if r]
+                yield pa.RecordBatch.from_arrays([_binary(digest[told[full]]), pa.array([answers[k] for k in full], kind)], names=names)
+
+        names, held, size, n_rows = ["digest", "runs"], [], 0, 0
         for batch in batches:
-            for at, string, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size >= size_limit and at != key:
-                    yield done()
-                    held, size = {}, 0
-                if (have := held.get(string)) is None:
-                    held[string] = (*row, at)
-                    size += len(string)
-                else:
-                    held[string] = (*min(have[:2], tuple(row[:2])), have[2] + row[2], at)
-                key = at
+            at = 0
+            while at < batch.num_rows:
+                # up to the row that fills the measure, then on to the end of its key
+                keys = batch.column(0).to_numpy()[at:]
+                ends = np.cumsum(np.diff(raw_bytes(batch.column(3).slice(at))[1])) + size
+                to = int(min(np.searchsorted(ends, size_limit), max(0, ANSWERED_ROWS - 1 - n_rows)))
+                if to >= len(keys):
+                    held.append(batch.slice(at))
+                    size, n_rows = int(ends[-1]), n_rows + len(keys)
+                    break
+                end = to + int(np.searchsorted(keys[to:] != keys[to], True))
+                held.append(batch.slice(at, end))
+                if end < len(keys):
+                    yield from done(pa.Table.from_batches(held))
+                    held, size, n_rows = [], 0, 0
+                else:  # the key may go on in the next batch
+                    size, n_rows = int(ends[-1]), n_rows + len(keys)
+                at += end
         if held:
-            yield done()
+            yield from done(pa.Table.from_batches(held))
 
     return strings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, f"digest binary, runs {RUNS}")
 
