@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 
 from panelkit.llm.common import list_array, sliced, texts_of
 
-#: new pieces that a generation of the cache holds; each Python worker keeps two generations
-CACHE_PIECES = 500_000
+#: bytes that a generation of the cache takes, entries and their overhead; each Python worker keeps two generations
+CACHE_BYTES, ENTRY_BYTES = 40 << 20, 150
 #: bytes of text worked on at a time
 CHUNK_BYTES = 2 << 20
 #: longer pieces merge through a heap
@@ -225,8 +225,8 @@ class PieceEncoder:
     one moves back.  Memory is bounded and frequent pieces stay.
     """
 
-    def __init__(self, encode, limit: int = CACHE_PIECES):
-        self.encode, self.limit, self.young, self.old = encode, limit, {}, {}
+    def __init__(self, encode, limit: int = CACHE_BYTES):
+        self.encode, self.limit, self.young, self.old, self.size = encode, limit, {}, {}, 0
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         pieces, marks = split_texts(texts)
@@ -236,9 +236,12 @@ class PieceEncoder:
             new = [p for p, x in late.items() if x is None]
             late |= {p: np.array(x, "<u4").tobytes() for p, x in zip(new, self.encode(new))}
             found = [x if x is not None else late[p] for p, x in zip(pieces, found)]
-            if len(self.young) + len(late) > self.limit:
-                self.old, self.young = self.young, {}
-            self.young.update(late)
+            more = sum(ENTRY_BYTES + len(p) + len(x) for p, x in late.items())
+            if self.size + more > self.limit:
+                self.old, self.young, self.size = self.young, {}, 0
+            if more <= self.limit:  # a slice with more new pieces than a generation holds is not kept
+                self.young.update(late)
+                self.size += more
         out, at = [], 0
         for mark in marks:
             out.append(np.frombuffer(b"".join(found[at:mark]), "<u4"))
