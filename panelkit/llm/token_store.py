@@ -56,18 +56,25 @@ def unpack(payload: bytes, bits: int, n: int, start: int = 0) -> np.ndarray:
 
 
 @functools.cache
-def library_encoder(path: str) -> tuple[PieceEncoder, int]:
-    """The tokenizers library's encoder of pieces (their special strings are ordinary text), and its vocabulary size."""
+def library_encoder(path: str):
+    """The tokenizers library's ids of texts, by cached pieces, and its vocabulary size.  A text that holds one of the file's added
+    tokens goes through the library as a whole, which gives that token its own id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
 
     def encode(pieces: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    return PieceEncoder(encode), tokenizer.get_vocab_size()
+    by_pieces = PieceEncoder(encode)
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        out = by_pieces(["" if any(a in t for a in added) else t for t in texts])
+        return [np.array(encode([t])[0], "<u4") if any(a in t for a in added) else x for t, x in zip(texts, out)]
+
+    return ids_of, tokenizer.get_vocab_size()
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -305,3 +305,39 @@ def test_unclear_marks_are_sent_again(spark, docs, monkeypatch):
     monkeypatch.setattr(substrings.Filter, "note_varied", lambda self, hashes: (noted.append(len(hashes)), note(self, hashes))[1])
     assert sorted(map(str, superkmer_dedup.remove(docs).collect())) == want
     assert noted and min(noted) > 0
+
+
+def test_token_store_equals_the_library(spark):
+    """Added tokens in a text get their own ids, as the library gives them."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    special = [t.content for t in library.get_added_tokens_decoder().values()]
+    random = np.random.default_rng(7)
+    texts = ["", "plain text", *(f"a {s} b{s}" for s in special), *("".join(random.choice(list("ab <|>endoftx 1é\n'"), 80)) for _ in range(200)), special[0] * 3 if special else "x"]
+    folder = shared_path(spark, "t")
+    token_store.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), folder, path)
+    got = {r.doc_id: r.ids for r in token_store.documents(spark, folder).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
+def test_the_piece_cache_is_bounded_in_bytes():
+    asked = []
+    encoder = byte_bpe.PieceEncoder(lambda pieces: [asked.append(p) or [len(p)] for p in pieces], limit=2000)
+    for _ in range(3):
+        for k in range(40):
+            assert [x.tolist() for x in encoder(["w" * (k + 1), "x" * 3000])] == [[k + 1], [3000]]
+            assert sum(len(p) + len(x) + byte_bpe.ENTRY_BYTES for p, x in encoder.young.items()) == encoder.size <= 2000
+
+
+def test_texts_longer_than_a_slice(spark, monkeypatch):
+    """Whole texts count, whatever the slices: cut to a few bytes, the operators give the same rows."""
+    random = np.random.default_rng(11)
+    long = " ".join(f"w{x}" for x in random.integers(0, 900, 600))
+    frame = spark.createDataFrame([(1, long), (2, "head " + long[:1500]), (3, None), (4, long[700:])], "doc_id long, text string").repartition(2)
+    want = [sorted(map(str, op(frame).collect())) for op in (superkmer_dedup.remove, bwt_dedup.remove)]
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(substrings, "HELD_ROWS", 3)
+    monkeypatch.setattr(substrings, "ANSWERED_ROWS", 2)
+    assert [sorted(map(str, op(frame).collect())) for op in (superkmer_dedup.remove, bwt_dedup.remove)] == want
