@@ -7,8 +7,8 @@ local maximum of the colours.  A landmark depends on a few neighbours only, so e
 equal phrases inside, whatever their offset.  Phrases are named by a hash of the names in them.
 
 The fingerprint is a one-permutation min-hash sketch of the names of levels 3 to 5 (phrases of about
-20, 55 and 150 characters; texts of under 200 characters keep levels 1 and 2 as well): 64 slots of 16
-bits as hex, 0000 for an empty slot.  Likeness is the share of equal slots among those that either print fills.
+20, 55 and 150 characters) and of a sixteenth and a quarter, chosen by their own hash, of the names of levels 1 and 2, which
+short texts have in plenty; the rule is the same at every length: 64 slots of 16 bits as hex, 0000 for an empty slot.  Likeness is the share of equal slots among those that either print fills.
 
 An empty or null text has no phrase: all slots are empty, it is like another empty text (1) and
 unlike any other (0).  Documents with a null id come after all others in descending order; ties on
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import mix64, range_bounds, shuffle_parts, sliced
 
-SLOTS, FIRST_LEVEL, LAST_LEVEL = 64, 3, 5
-#: shorter texts (code points) keep the levels below FIRST_LEVEL too
-SHORT = 200
+SLOTS, LAST_LEVEL = 64, 5
+#: of the names of these levels one in so many counts
+THINNED = {1: 16, 2: 4}
 #: code points worked on at a time
 CHUNK_CHARS = 1 << 18
 _EDGE = 7  # colour of "no neighbour"
@@ -128,10 +128,11 @@ def prints(texts: list[str]) -> np.ndarray:
         for level in range(1, LAST_LEVEL + 1):
             names, first = parse(names, first)
             own = np.repeat(docs, np.diff(np.append(first, len(names))))
-            keep = slice(None) if level >= FIRST_LEVEL else length[own] < SHORT
-            if level >= FIRST_LEVEL or keep.any():
-                own, key = own[keep], mix64(names[keep] ^ _MULT)
-                np.minimum.at(best, own * SLOTS + (key >> np.uint64(58)).astype(np.int64), key & np.uint64((1 << 58) - 1))
+            key = mix64(names ^ _MULT)
+            if level in THINNED:
+                keep = key % np.uint64(THINNED[level]) == 0
+                own, key = own[keep], mix64(key[keep])
+            np.minimum.at(best, own * SLOTS + (key >> np.uint64(58)).astype(np.int64), key & np.uint64((1 << 58) - 1))
     slot = ((best >> np.uint64(8)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
     return np.where(best == np.iinfo(np.uint64).max, 0, slot).astype(np.uint16).reshape(len(texts), SLOTS)
 
@@ -176,7 +177,8 @@ def compare_spliced(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last is followed by the first), with both likenesses.
 
     Rows are dealt to ranges of the id whose upper bounds are existing ids, so the document that
-    follows a range is the first of the range below: those few rows are sent to both.
+    follows a range is the first of the range below: those few rows are sent to both.  A range is a
+    partition of its own; rows that repeat an id share one.
     """
     parts = shuffle_parts(docs.sparkSession)
     source = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"coalesce(`{text_col}`, '') as text")
@@ -226,5 +228,5 @@ def compare_spliced(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if texts:
             yield compare(ids, [*texts, head])
 
-    return (source.mapInArrow(deal, "doc_id long, text string, part int, extra boolean").repartition(parts, "part")
+    return (source.mapInArrow(deal, "doc_id long, text string, part int, extra boolean").repartitionById(parts, "part")
             .sortWithinPartitions("part", "extra", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(run, _SPLICED))
