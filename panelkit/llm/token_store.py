@@ -119,7 +119,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_c
         if held:
             yield closed()
 
-    (source.mapInArrow(encode, _PACKED).repartition(parts, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "packed")
+    (source.mapInArrow(encode, _PACKED).repartitionById(parts, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "packed")
      .mapInArrow(blocks, _BLOCKS).write.option("compression", "zstd").parquet(path))
 
 
