@@ -62,7 +62,7 @@ def _margin(model: linear.Linear, f: linear.Features) -> np.ndarray:
 def view(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The columns that features are made of, under fixed names."""
     has = {c.lower() for c in docs.columns}
-    extra = [F.col(c).cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c, kind in (("lang", "string"), ("source", "string"), ("n_chars", "long"))]
+    extra = [F.col(c).try_cast(kind).alias(c) if c in has else F.lit(None).cast(kind).alias(c) for c, kind in (("lang", "string"), ("source", "string"), ("n_chars", "long"))]
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *extra)
 
 
@@ -156,13 +156,17 @@ def keep(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, id_col: str =
     """The rows of ``docs`` that score ``limit`` or more, all columns as they are: one scan, no shuffle of texts."""
     rows = view(docs, id_col, text_col)
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, **bounds))
-    names = dict(zip(("lang", "source", "n_chars"), ([c for c in docs.columns if c.lower() == x][:1] for x in ("lang", "source", "n_chars"))))
+    # the same readings of the metadata as in ``view``, in front of the table's own columns
+    meta, has = {}, {c.lower() for c in docs.columns}
+    for c, kind in (("lang", "string"), ("source", "string"), ("n_chars", "long")):
+        meta[fresh_name(docs, f"__{c}")] = F.col(c).try_cast(kind) if c in has else F.lit(None).cast(kind)
+    joined = docs.select(*(c.alias(name) for name, c in meta.items()), "*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, linear.CHUNK_BYTES, text_col):
+            columns, own = batch.columns[:3], pa.RecordBatch.from_arrays(batch.columns[3:], names=batch.schema.names[3:])
             if model.value is not None:
-                columns = [batch.column(names[c][0]) if names[c] else None for c in names]
-                batch = batch.filter(pa.array(model.value.scores(linear.features(batch.column(text_col), *columns))[2] >= limit))
-            yield batch
+                own = own.filter(pa.array(model.value.scores(linear.features(own.column(text_col), *columns))[2] >= limit))
+            yield own
 
-    return docs.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema)

@@ -48,18 +48,22 @@ def _decimal(size: int) -> list[str]:
 
 
 def bpe_digests(encoded, ranks_path: str):
-    """n_tokens, the digest of the ids and that of the decoded bytes, from the operator's ids."""
+    """n_tokens, the digest of the ids and that of the bytes decoded through the offsets, from the operator's rows."""
 
     def run(batches):
         words = _decimal(len(byte_bpe.vocabulary(ranks_path)))
         for batch in batches:
             lists = batch.column(1)
             flat, at = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+            places = batch.column(2).flatten().to_numpy()
             parts = [flat[a:b] for a, b in zip(at, at[1:])]
+            # two spans that meet in the middle of the bytes: decoding starts where the offsets say
+            texts = [(x, places[a:b], int(places[(a + b) // 2]) if b > a else 0) for x, a, b in zip(parts, at, at[1:])]
+            decoded = [byte_bpe.decode_span(x, o, 0, m, ranks_path) + byte_bpe.decode_span(x, o, m, 1 << 62, ranks_path) for x, o, m in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) for x in parts], pa.int64()),
                  pa.array([hashlib.sha256(" ".join(map(words.__getitem__, x.tolist())).encode()).hexdigest() for x in parts], pa.string()),
-                 pa.array([hashlib.sha256(byte_bpe.decode_ids(x, ranks_path)).hexdigest() for x in parts], pa.string())],
+                 pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -68,7 +72,7 @@ def bpe_digests(encoded, ranks_path: str):
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path, offsets=False), path)
+    return bpe_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path), path)
 
 
 @query("op5_token_store")
@@ -99,7 +103,7 @@ def op8_superkmer_dedup(spark, sf_dir):
 @query("op1_soft_mixing")
 def op1_soft_mixing(spark, sf_dir):
     out = soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", "tokens", *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(soft_mixing.DOMAINS)), "rate")
+    return out.select("doc_id", "tokens", *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(soft_mixing.DOMAINS)), "rate", "gap")
 
 
 @query("op2_cotrain_quality")
