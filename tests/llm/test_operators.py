@@ -341,3 +341,151 @@ def test_texts_longer_than_a_slice(spark, monkeypatch):
     monkeypatch.setattr(substrings, "HELD_ROWS", 3)
     monkeypatch.setattr(substrings, "ANSWERED_ROWS", 2)
     assert [sorted(map(str, op(frame).collect())) for op in (superkmer_dedup.remove, bwt_dedup.remove)] == want
+
+
+def scalar_print(text):
+    """One text's sketch, one character and one name at a time."""
+    full, seed, mult = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & full
+        return x ^ (x >> 31)
+
+    def toss(own, other):
+        low = ((own ^ other) & -(own ^ other)).bit_length() - 1
+        return 2 * low + (own >> low & 1)
+
+    names, best = [mix((ord(c) + seed) & full) for c in text], [None] * phrase_print.SLOTS
+    for level in range(1, phrase_print.LAST_LEVEL + 1):
+        collapsed = []
+        for name in names:
+            if collapsed and collapsed[-1][0] == name:
+                collapsed[-1][1] += 1
+            else:
+                collapsed.append([name, 1])
+        names = [name if n == 1 else mix(name ^ mix((n * seed) & full)) for name, n in collapsed]
+        label = [toss(x, names[i - 1] if i else ~x & full) for i, x in enumerate(names)]
+        for _ in range(3):
+            label = [toss(x, label[i - 1] if i else x ^ 1) for i, x in enumerate(label)]
+        for colour in (5, 4, 3):
+            label = [next(c for c in range(3) if c not in (label[i - 1:i] + label[i + 1:i + 2])) if x == colour else x for i, x in enumerate(label)]
+        phrases = []
+        for i, name in enumerate(names):
+            peak = i != 1 and (i == 0 or label[i] > label[i - 1]) and (i + 1 == len(names) or label[i] > label[i + 1])
+            if peak or i == 0:
+                phrases.append(mix((name + seed) & full))
+            else:
+                phrases[-1] = mix((phrases[-1] * mult + name) & full)
+        names = phrases
+        for name in names:
+            key = mix(name ^ mult)
+            if level in phrase_print.THINNED:
+                if key % phrase_print.THINNED[level]:
+                    continue
+                key = mix(key)
+            slot, rest = key >> 58, key & (1 << 58) - 1
+            best[slot] = rest if best[slot] is None else min(best[slot], rest)
+    return [0 if b is None else (b >> 8) % 65535 + 1 for b in best]
+
+
+def test_prints_equal_a_scalar_version():
+    random = np.random.default_rng(9)
+    texts = ["a", "ab", "aa", "aaaa bbbb", "abc" * 50, "é中😀" * 9, PASSAGE, *("".join(random.choice(list("abcdefg hij\n"), int(random.integers(1, 700)))) for _ in range(60))]
+    assert phrase_print.prints(texts).tolist() == [scalar_print(t) for t in texts]
+
+
+def test_likeness_does_not_jump_with_length():
+    """Texts that extend one another are about as alike on both sides of any length."""
+    random = np.random.default_rng(12)
+
+    def mean(a, b):
+        long = ["".join(random.choice(list("abcdefghijklmnop "), b)) for _ in range(150)]
+        return phrase_print.likeness(phrase_print.prints([t[:a] for t in long]), phrase_print.prints(long)).mean()
+
+    for at in (100, 200, 400):
+        assert mean(at - 1, at + 1) > mean(at + 1, at + 3) - 0.08 and mean(at - 1, at + 1) > 0.6
+
+
+def test_rates_equal_a_scalar_version(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    members = soft_mixing.posteriors(docs, labels)
+    rows = {r.doc_id: (r.tokens, r.p) for r in members.collect()}
+    total = sum(w for w, _ in rows.values())
+    target, k = (1.0, 0.03, 0.0), len(soft_mixing.DOMAINS)
+    moments = np.zeros((k, k))
+    for w, p in rows.values():
+        moments += w / total * np.outer(p, p)
+    moments += soft_mixing.LEAST_MOMENT * np.eye(k)
+
+    def step(rates):
+        sums = [sum(w * r * p[d] for (w, p), r in zip(rows.values(), rates)) / total for d in range(k)]
+        return np.array(sums) - target
+
+    got = soft_mixing.mix(docs, labels, target, least_first=1.0, most=4.0).collect()
+    rates, gaps, ways = [1.0] * len(rows), [], []
+    for _ in range(40):
+        gap = step(rates)
+        gaps.append(np.abs(gap).max())
+        ways.append(rates)
+        slope = np.linalg.solve(moments, gap)
+        new = []
+        for (_, p), r in zip(rows.values(), rates):
+            r = r - (float(np.dot(p, slope)) + soft_mixing.RIDGE * (r - 1)) / (1 + soft_mixing.RIDGE)
+            new.append(min(4.0, max(1.0 if max(range(k), key=p.__getitem__) == 0 else 0.0, r)))
+        rates = new
+    at = int(np.argmin(np.abs(np.array(gaps) - got[0].gap)))
+    assert abs(gaps[at] - got[0].gap) < 1e-9
+    assert max(abs(r.rate - x) for r, x in zip(sorted(got, key=lambda r: r.doc_id), [x for _, x in sorted(zip(rows, ways[at]))])) < 1e-9
+    assert got[0].gap <= gaps[0] and all(0 <= r.rate <= 4 for r in got)
+
+
+def test_odd_labels_and_metadata(spark):
+    """A text where a number is expected, and labels of one kind only."""
+    rows = [(i, f"word{i % 3} and more words {i}", "en", "s", "many" if i % 2 else "7", i) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars string, extra int")
+    toxic = spark.createDataFrame([(i, 1, 1) for i in range(20)], "doc_id long, quality int, toxic int")
+    both = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert {tuple(r.p) for r in soft_mixing.mix(frame, toxic).collect()} == {(0.0, 0.0, 1.0)}
+    assert {tuple(r.p) for r in soft_mixing.mix(frame, toxic.limit(0)).collect()} == {(1.0, 0.0, 0.0)}
+    assert cotrain_quality.score(frame, both).count() == 20
+    kept = cotrain_quality.keep(frame, both)
+    wanted = {r.doc_id for r in cotrain_quality.score(frame, both).collect() if r.score >= cotrain_quality.LIMIT}
+    assert kept.schema == frame.schema and {r.doc_id for r in kept.collect()} == wanted
+
+
+def test_pipeline_equals_brute_force(spark, docs, labels, tmp_path):
+    """Each stage on what the one before kept, held against a plain version of it."""
+    for name, frame in (("documents", docs), ("labels", labels)):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    steps, frames = dict(corpus_pipeline.STAGES), [spark.read.parquet(f"{tmp_path}/documents.parquet")]
+    assert list(steps) == ["quality", "simhash", "substrings", "mixing", "tokens"]
+    for name, stage in steps.items():
+        stage(spark, frames[-1], str(tmp_path)).write.parquet(f"{tmp_path}/{name}.out")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}.out"))
+        assert name == "tokens" or frames[-1].schema == frames[0].schema
+    rows = [[tuple(r) for r in f.collect()] for f in frames]
+    accepted = {(r.doc_id, r.text_hash): r.score >= cotrain_quality.LIMIT for r in cotrain_quality.score(frames[0], labels).collect()}
+    hashes = {r.text: r.h for r in frames[0].selectExpr("text", "xxhash64(text) as h").collect()}
+    assert sorted(map(repr, rows[1])) == sorted(repr(r) for r in rows[0] if accepted[r[0], hashes[r[1]]])
+    found = groups([r[0] for r in rows[1]], [simhash(r[1]) for r in rows[1]], 3)
+    assert len(rows[2]) == len(set(found)) and set(map(repr, rows[2])) <= set(map(repr, rows[1]))
+    place = {repr(r): g for r, g in zip(rows[1], found)}
+    assert len({place[repr(r)] for r in rows[2]}) == len(rows[2])
+    seen, cut = {}, []
+    for r in sorted(set(rows[2]), key=lambda r: key(r[0])):
+        words = (r[1] or "").split()
+        for p in range(len(words) - 19):
+            seen.setdefault(tuple(words[p:p + 20]), (key(r[0]), p))
+    for r in rows[2]:
+        words = (r[1] or "").split()
+        gone = {q for p in range(len(words) - 19) if seen[tuple(words[p:p + 20])] != (key(r[0]), p) for q in range(p, p + 20)}
+        text = " ".join(w for q, w in enumerate(words) if q not in gone) if gone else r[1]
+        cut.append((r[0], text, r[2], r[3], len(text) if gone else r[4], *r[5:]))
+    assert sorted(map(repr, rows[3])) == sorted(map(repr, cut))
+    rated = soft_mixing.mix(frames[3], labels, corpus_pipeline.MIX, least_first=1.0, most=corpus_pipeline.MOST)
+    chance = "pmod(xxhash64(doc_id, text_hash), 9007199254740992) / 9007199254740992d"
+    times = {(r.doc_id, r.text_hash): r.n for r in rated.selectExpr("doc_id", "text_hash", f"cast(floor(rate + {chance}) as int) as n").collect()}
+    marks = {r.text: r.h for r in frames[3].selectExpr("text", "xxhash64(text) as h").collect()}
+    assert sorted(map(repr, rows[4])) == sorted(repr(r) for r in rows[3] for _ in range(times[r[0], marks[r[1]]]))
+    assert sorted((str(r[0]), list(r[1])) for r in rows[5]) == sorted((str(r[0]), tokens(r[1])) for r in rows[4])
