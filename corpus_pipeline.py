@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from panelkit.llm import byte_bpe, cotrain_quality, simhash_dedup, soft_mixing, superkmer_dedup
 from panelkit.llm.common import materialise, table
 
-#: shares of tokens of the domains clean, low, toxic that the fourth stage aims at
-MIX = (0.998, 0.001, 0.001)
+#: tokens of the domains clean, low, toxic that the fourth stage aims at, as shares of the tokens it gets: clean documents
+#: stay as they are, what is left of the toxic ones goes, the low ones are repeated up to two in a hundred
+MIX = (1.0, 0.02, 0.0)
+#: largest rate: no document is repeated more often, even if a target stays out of reach (the gap is returned by ``mix``)
+MOST = 4.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return soft_mixing.resample(docs, table(spark, sf_dir, "labels"), MIX)
+    return soft_mixing.resample(docs, table(spark, sf_dir, "labels"), MIX, most=MOST)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
