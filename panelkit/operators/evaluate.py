@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions.exprs import broadcast_small, count_if, rnd
+from panelkit.functions.exprs import broadcast_small, count_if, ratio, rnd
 from panelkit.functions.ordered import ordered_prefix
 from panelkit.session import track
 from panelkit.spec import FIXED_THRESHOLD, GRID_SIZE, GRID_START, GRID_STEP
@@ -105,9 +105,7 @@ def score_counts(preds: DataFrame, keys=("model_name",)) -> DataFrame:
 
 def _with_running(preds: DataFrame, keys, sc: DataFrame | None = None) -> DataFrame:
     sc = sc if sc is not None else score_counts(preds, keys)
-    pref = ordered_prefix(sc, list(keys), "s", ["pos", "neg"])
-    tot = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return pref.join(broadcast_small(tot), list(keys))  # one row per model
+    return _with_totals(ordered_prefix(sc, list(keys), "s", ["pos", "neg"]), sc, keys)
 
 
 def ranking_metrics(preds: DataFrame, keys=("model_name",), digits: int | None = 6,
@@ -144,6 +142,48 @@ def roc_pr_curve(preds: DataFrame, keys=("model_name",), digits: int = 6) -> Dat
                     rnd(z(tp, tp + fp), digits).alias("precision"), rnd(z(tp, F.col("P")), digits).alias("recall"))
 
 
+def _with_totals(pref: DataFrame, sc: DataFrame, keys) -> DataFrame:
+    tot = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return pref.join(broadcast_small(tot), list(keys))  # one row per model
+
+
+def _end_points(sc: DataFrame, keys, **values) -> DataFrame:
+    """One more curve point for every key."""
+    return sc.select(*keys).distinct().select(*keys, *[F.lit(v).cast(kind).alias(c) for c, (v, kind) in values.items()])
+
+
+def roc_curve(preds: DataFrame, keys=("model_name",), drop_collinear: bool = True) -> DataFrame:
+    """ROC curve points (threshold, fp, tp, fpr, tpr), one per distinct score, from the point (0, 0) at an infinite threshold on.
+
+    A point on the straight line between its neighbours is dropped: the step to it and the step after it have the same counts.  The neighbour
+    of a range partition's last score stands in another partition; ``ordered_prefix`` hands over one row a
+    partition.  A rate without rows of its class is null.
+    """
+    sc = track(score_counts(preds, keys))
+    r = _with_totals(ordered_prefix(sc, list(keys), "s", ["pos", "neg"], neighbours=["pos", "neg"]), sc, keys)
+    if drop_collinear:  # falling thresholds: the step after a point is that of the next lower score
+        ends = F.col("_prev").isNull() | F.col("_next").isNull()
+        r = r.where(ends | (F.col("_prev.pos") != F.col("pos")) | (F.col("_prev.neg") != F.col("neg")))
+    tp, fp = F.col("P") - F.col("pos_before"), F.col("N") - F.col("neg_before")
+    points = r.select(*keys, F.col("s").alias("threshold"), fp.cast("long").alias("fp"), tp.cast("long").alias("tp"),
+                      ratio(fp, F.col("N")).alias("fpr"), ratio(tp, F.col("P")).alias("tpr"))
+    start = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(
+        *keys, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("fp"), F.lit(0).cast("long").alias("tp"),
+        ratio(F.lit(0), F.col("N")).alias("fpr"), ratio(F.lit(0), F.col("P")).alias("tpr"))
+    return points.unionByName(start)
+
+
+def pr_curve(preds: DataFrame, keys=("model_name",)) -> DataFrame:
+    """Precision-recall points (threshold, precision, recall), one per distinct score, and the end point (1, 0), which has no
+    threshold.  Without positives every recall is 1."""
+    sc = track(score_counts(preds, keys))
+    r = _with_totals(ordered_prefix(sc, list(keys), "s", ["pos", "neg"]), sc, keys)
+    tp, fp = F.col("P") - F.col("pos_before"), F.col("N") - F.col("neg_before")
+    points = r.select(*keys, F.col("s").alias("threshold"), F.coalesce(ratio(tp, tp + fp), F.lit(0.0)).alias("precision"),
+                      F.coalesce(ratio(tp, F.col("P")), F.lit(1.0)).alias("recall"))
+    return points.unionByName(_end_points(sc, keys, threshold=(None, "double"), precision=(1.0, "double"), recall=(0.0, "double")))
+
+
 # ---------------------------------------------------------------------------
 # E7 / E8 threshold search and selection
 # ---------------------------------------------------------------------------

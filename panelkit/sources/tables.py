@@ -6,6 +6,7 @@ column pruning, filter pushdown and partition pruning.
 
 from __future__ import annotations
 
+import csv
 import json
 import os
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from panelkit.functions.exprs import broadcast_small
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -27,44 +30,109 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
-             junk_header_rows: int = 0) -> DataFrame:
-    """A1: load the raw table; a missing path raises FileNotFoundError naming it.
-
-    CSV exports with an extra title row above the real header set
-    ``junk_header_rows=1``: the first line is skipped and the second names the
-    columns (of every file).  ``schema`` then types the columns by name.
-    """
-    two_headers = bool(junk_header_rows) and fmt == "csv"
+def _opened(read, path: str) -> DataFrame:
+    """``read()``, once its path is known to exist."""
     try:
-        if two_headers:
-            df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        elif fmt == "csv":
-            reader = spark.read.option("header", True)
-            reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-            df = reader.csv(path)
-        else:
-            reader = spark.read.schema(schema) if schema is not None else spark.read
-            df = reader.format(fmt).load(path)
+        df = read()
         df.schema  # noqa: B018 - forces path resolution
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise FileNotFoundError(f"Raw dataset not found at {path}") from exc
         raise
-    if two_headers:
-        names = df.first()
-        if names is None:
-            raise ValueError(f"no header row below the title row in {path}")
-        names = [n if n is not None else c for n, c in zip(names, df.columns)]
-        header = F.lit(True)
-        for column, name in zip(df.columns, names):
-            header = header & F.coalesce(F.col(f"`{column}`") == F.lit(name), F.lit(False) | F.lit(name == column))
-        df = df.where(~header).toDF(*names)
-        if schema is not None:
-            df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
     return df
 
 
+def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
+             junk_header_rows: int = 0) -> DataFrame:
+    """A1: load the raw table; a missing path raises FileNotFoundError naming it.
+
+    CSV exports with a title row above the header set ``junk_header_rows=1``
+    (see :func:`load_titled_csv`).  ``schema`` then types the columns by name.
+    """
+    if junk_header_rows and fmt == "csv":
+        if junk_header_rows != 1:
+            raise ValueError("one title row at most can stand above the header")
+        return load_titled_csv(spark, path, schema)
+    if fmt == "csv":
+        reader = spark.read.option("header", True)
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
+        return _opened(lambda: reader.csv(path), path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return _opened(lambda: reader.format(fmt).load(path), path)
+
+
+#: most different headers that one folder of files may have
+MAX_HEADERS = 64
+
+
+def _header_names(line: str, sep: str) -> list[str]:
+    """Column names of a header line: blanks by place, repeats numbered."""
+    out: list[str] = []
+    for k, name in enumerate(next(csv.reader([line], delimiter=sep))):
+        name = name.strip() or f"_c{k}"
+        n = sum(1 for x in out if x == name or x.startswith(f"{name}."))
+        out.append(f"{name}.{n}" if name in out else name)
+    return out
+
+
+def load_titled_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
+                    each_header: bool = False) -> DataFrame:
+    """A1 for CSV files whose first line is a title and whose second line names the columns.
+
+    Files are read as whole lines, so the title may have any width; the reader itself
+    drops the first line of every file by its place.  The header is the second line
+    of one file and its copies at the start of the others go; with ``each_header``
+    every file is parsed by its own second line (one more pass over the lines), and a column
+    that a file lacks is null there.  Blank lines count for nothing, unless the first line is blank: then it is the title,
+    and so it must be in all files.  Lines are parsed where they are read, without a
+    shuffle; missing fields are null, surplus ones are dropped.  Without ``schema`` all
+    columns are text; with it, columns come by name, values that don't fit are null and a
+    column that no header names raises ValueError.  Quoted line ends are not supported.
+    """
+    whole = "\u0001"  # no line holds it: a line is one field
+    top = _opened(lambda: spark.read.text(path), path).where(F.col("_metadata.file_block_start") == 0).first()
+    titled = top is not None and bool(top["value"].strip())  # the reader skips blank lines, a blank title too
+    lines = spark.read.option("header", titled).option("sep", whole).option("quote", "").option("escape", "").schema("line string").csv(path)
+    lines = lines.where(F.col("line").isNotNull())
+    first_block = F.col("_metadata.file_block_start") == 0
+    if each_header:
+        at = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+        heads = (lines.select(F.col("_metadata.file_path").alias("_file"), "line", at.alias("_at"))
+                 .groupBy("_file").agg(F.min_by("line", "_at").alias("_header")))
+        headers = [r["_header"] for r in heads.select("_header").distinct().limit(MAX_HEADERS + 1).collect()]
+        if len(headers) > MAX_HEADERS:
+            raise ValueError(f"more than {MAX_HEADERS} different headers in {path}")
+    else:
+        top = lines.where(first_block).first()
+        headers = [] if top is None else [top["line"]]
+    if not headers:
+        raise ValueError(f"no header row below the title row in {path}")
+    if each_header and len(headers) > 1:
+        rows = lines.withColumn("_file", F.col("_metadata.file_path")).withColumn("_start", first_block).join(broadcast_small(heads), "_file")
+    else:
+        rows = lines.select("line", first_block.alias("_start"), F.lit(headers[0]).alias("_header"))
+    rows = rows.where(~(F.col("_start") & (F.col("line") == F.col("_header"))))
+    by_header = {h: _header_names(h, sep) for h in sorted(headers)}
+    names = list(dict.fromkeys(n for own in by_header.values() for n in own))
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    parsed = {h: F.from_csv("line", ", ".join(f"{quoted(n)} string" for n in own), {"sep": sep}) for h, own in by_header.items()}
+    out = []
+    for name in names:
+        value = F.coalesce(*(F.when(F.col("_header") == F.lit(h), parsed[h].getField(name)) if len(by_header) > 1 else parsed[h].getField(name)
+                             for h, own in by_header.items() if name in own))
+        out.append(value.alias(name))
+    df = rows.select(*out)
+    if schema is None:
+        return df
+    lacking = [f.name for f in schema if f.name not in names]
+    if lacking:
+        raise ValueError(f"columns not in the header of {path}: {lacking}")
+    return df.select(*[F.col(quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
 def file_integrity(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """A2: (file_name, size_bytes, sha256) per file, hashed on the executors.
 
