@@ -8,13 +8,14 @@ from panelkit.operators import evaluate as E
 from panelkit.operators import facts as N
 from panelkit.operators import features as FT
 from panelkit.operators import models as L
+from panelkit.operators import network as NET
 from panelkit.operators import split as G
 from panelkit.operators import status as Q
 from panelkit.operators import suites as C
 from panelkit.operators.checks import union_checks
 from panelkit.plans.catalog import register
 from panelkit.plans.q_evaluate import _val
-from panelkit.plans.q_features import PREDICTORS, TAB_CAT, TAB_CONT, split_panel
+from panelkit.plans.q_features import PREDICTORS, STATIC_CAT, STATIC_CONT, TAB_CAT, TAB_CONT, split_panel
 from panelkit.sources.testdata import PANEL_SPEC, customer_panel, lineitem_rows
 from panelkit.spec import BILL_POLICY, PAYMENT_POLICY
 from panelkit.operators import profile as P
@@ -175,15 +176,15 @@ def q_model_gradient_boosting(spark, sf_dir):
 
 @register("model_sequence_mlp")
 def q_model_sequence_mlp(spark, sf_dir):
+    """L3: the weighted two-block network over the temporal tensor and the static features."""
     sp = split_panel(spark, sf_dir)
     tr = sp.where(F.col("split") == "train")
-    ch = FT.fit_channel_scalers(tr, PANEL_SPEC)
-    feats = F.flatten(FT.temporal_representation(PANEL_SPEC, ch))
-    prep = L.to_ml(sp.select("c_custkey", "split", "target", feats.alias("seq")), "seq")
-    n_in = PANEL_SPEC.n_periods * 3
-    train = L.with_weights(prep.where(F.col("split") == "train"))
-    model = L.sequence_mlp(train, n_in)
-    return L.score(model, prep.where(F.col("split") == "validation"), "sequence_mlp", "c_custkey")
+    ch, params, cats = FT.fit_channel_scalers(tr, PANEL_SPEC), FT.fit_robust(tr, STATIC_CONT), FT.fit_one_hot(tr, STATIC_CAT)
+    prep = sp.select("c_custkey", "split", F.col("target").cast("long").alias(L.LABEL), "target", FT.temporal_representation(PANEL_SPEC, ch).alias("temporal"),
+                     FT.static_representation(sp, STATIC_CONT, params, cats).alias("static"))
+    train, val = L.with_weights(prep.where(F.col("split") == "train")), prep.where(F.col("split") == "validation")
+    shape = NET.Shape(PANEL_SPEC.n_periods, 3, len(STATIC_CONT) + sum(map(len, cats.values())))
+    return NET.fit(train, val, shape).score(val, "c_custkey", name="sequence_mlp")
 
 
 @register("early_stop_epoch")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,9 +73,25 @@ def track(df):
     return df
 
 
+_STORED: dict[int, list[str]] = {}
+
+
+def stored(df, name: str):
+    """Write ``df`` as Parquet below the checkpoint folder and read it back; :func:`release_intermediates` removes the files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.setdefault(id(spark), []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def release_intermediates(spark: SparkSession) -> int:
-    """Unpersist every intermediate tracked for this session; returns how many were released."""
+    """Unpersist every intermediate tracked for this session and remove its stored ones; returns how many were released."""
     frames = _INTERMEDIATES.pop(id(spark), [])
     for df in frames:
         df.unpersist(blocking=False)
-    return len(frames)
+    paths = _STORED.pop(id(spark), [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(frames) + len(paths)
