@@ -103,16 +103,18 @@ def totals(members: DataFrame, history: list[np.ndarray], ridge: float, least_fi
 def fit_rates(members: DataFrame, target=TARGET, ridge: float = RIDGE, least_first: float = 0.0, most: float = np.inf) -> tuple[list[np.ndarray], float]:
     """The gradient vectors of the projected steps up to the least gap found, and that gap."""
     history: list[np.ndarray] = []
-    k, best, at = len(DOMAINS), np.inf, 0
+    k, best, at, mark, since = len(DOMAINS), np.inf, 0, np.inf, 0
     while True:
         sums = totals(members, history, ridge, least_first, most)
         if not sums[k]:
             return [], 0.0
         gap = sums[:k] / sums[k] - np.array(target)
         size = float(np.abs(gap).max())
-        if size < 0.9 * best:
+        if size < best:
             best, at = size, len(history)
-        if size < TOLERANCE or len(history) - at >= PATIENCE:
+        if size < 0.9 * mark:
+            mark, since = size, len(history)
+        if size < TOLERANCE or len(history) - since >= PATIENCE:
             return history[:at], best
         history.append(np.linalg.solve(sums[k + 1:].reshape(k, k) / sums[k] + LEAST_MOMENT * np.eye(k), gap))
 
