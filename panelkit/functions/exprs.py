@@ -26,6 +26,11 @@ def sql_rnd(expr: str, digits: int) -> str:
     return f"CAST(ROUND(CAST(({expr}) AS DECIMAL(38,{ROUND_SCALE})), {digits}) AS DOUBLE)"
 
 
+def known(c, data_type) -> Column:
+    """The value, with NaN as NULL: a missing number is missing however it is written (no-op for other types)."""
+    return F.when(~F.isnan(col_(c)), col_(c)) if data_type.typeName() in ("double", "float") else col_(c)
+
+
 def dbl(c) -> Column:
     return col_(c).cast("double")
 

@@ -26,9 +26,12 @@ def _method(df: DataFrame, method: str | None) -> str:
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str | Column) -> DataFrame:
+    """(keys, _v, _n): distinct values and their counts; NULL and NaN are no values."""
     v = F.col(value) if isinstance(value, str) else value
-    return (df.select(*keys, v.alias("_v"))
-              .where(F.col("_v").isNotNull())
+    rows = df.select(*keys, v.alias("_v"))
+    if rows.schema["_v"].dataType.typeName() in ("double", "float"):
+        rows = rows.where(~F.isnan("_v"))
+    return (rows.where(F.col("_v").isNotNull())
               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
 
 

@@ -245,7 +245,7 @@ def correlation_matrix(df: DataFrame, spec: PanelSpec, channel: str, digits: int
     All n(n+1)/2 pair aggregates are evaluated in a single aggregation over the
     wide table, then mirrored.
     """
-    cols = spec.columns(channel)
+    cols, df = spec.columns(channel), spec.with_known(df, [channel])
     n = spec.n_periods
     aggs = [F.expr(pairwise_corr_sql(cols[i], cols[j])).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)]
     one = df.agg(*aggs)

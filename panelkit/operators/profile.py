@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.exprs import broadcast_small, count_if, hist_bin, hist_edge, pct, ratio, rnd, widen_flat_range
+from panelkit.functions.exprs import broadcast_small, count_if, hist_bin, hist_edge, known, pct, ratio, rnd, widen_flat_range
 from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
 from panelkit.session import track
 from panelkit.spec import DOCUMENTED, POSITIVE_CLASS, NEGATIVE_CLASS, SMALL_N, STATIC_FENCE_K, UNDOCUMENTED, CodeBook
@@ -76,7 +76,7 @@ def audit_columns(df: DataFrame) -> DataFrame:
         by_type.setdefault(f.dataType.simpleString(), []).append(f.name)
     distinct = None
     for cols in by_type.values():
-        part = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])))
+        part = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), known(c, df.schema[c].dataType).alias("value")) for c in cols])))
                 .where(F.col("value").isNotNull()).groupBy("column", "value").count()
                 .groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count")))
         distinct = part if distinct is None else distinct.unionByName(part)
@@ -181,7 +181,7 @@ def target_summary(df: DataFrame, target: str, positive: int = POSITIVE_CLASS) -
 def _long_numeric(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     keep = keep or []
     return df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])))
+        F.struct(F.lit(c).alias("column"), known(F.col(c).cast("double"), T.DoubleType()).alias("v")) for c in cols])))
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, method: str | None = None) -> DataFrame:
@@ -315,7 +315,7 @@ def class_histogram(df: DataFrame, col: str, target: str, n_bins: int = 40,
     require_columns(df, [col, target])
     if n_bins <= 0:
         raise ValueError("n_bins must be positive")
-    v = F.col(col).cast("double")
+    v = known(F.col(col).cast("double"), T.DoubleType())
     rng = df.agg(F.min(v).alias("lo0"), F.max(v).alias("hi0"))
     lo, hi = widen_flat_range(F.col("lo0"), F.col("hi0"))
     rng = rng.select(lo.alias("lo"), hi.alias("hi"))

@@ -167,11 +167,21 @@ def sequence_coverage(df: DataFrame, spec: PanelSpec, channel: str = "status", k
                         rnd(pct(tk, n.select("n").scalar()), 6).alias("topk_percentage"))
 
 
+#: the two columns of Q2 that the matrices show
+MATRIX_MEASURES = ("population_percentage", "default_rate")
+
+
 def status_matrix(status_table: DataFrame, spec: PanelSpec, value: str = "population_percentage") -> DataFrame:
     """Q10: code x period matrix of a Q2 column (unobserved stay NULL), one column per period."""
     return status_table.groupBy("raw_status_value").pivot("period", list(spec.periods)).agg(F.first(value))
 
 
+def transition_matrices(transitions: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Q10: source x destination % matrices of every adjacent pair, one below the other."""
+    return transitions.groupBy("chronological_pair_index", "source_raw_status").pivot("destination_raw_status", list(KNOWN_STATUS_CODES)) \
+        .agg(F.first("percentage_within_source_status"))
+
+
 def transition_matrix(transitions: DataFrame, spec: PanelSpec, pair_index: int) -> DataFrame:
     """Q10: source x destination % matrix for one adjacent pair."""
     t = transitions.where(F.col("chronological_pair_index") == pair_index)

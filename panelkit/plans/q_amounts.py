@@ -14,7 +14,7 @@ from panelkit.sources.testdata import PANEL_SPEC, YEARS, customer_panel
 from panelkit.spec import BILL_POLICY, PAYMENT_POLICY
 
 PERIODS_SQL = "(VALUES " + ", ".join(f"({i}, '{y}')" for i, y in enumerate(YEARS, 1)) + ") AS pd(t, period)"
-PAIRS_SQL = "(VALUES " + ", ".join(f"({i}, '{YEARS[i - 1]}', '{YEARS[i]}')" for i in range(1, 6)) + \
+PAIRS_SQL = "(VALUES " + ", ".join(f"({i}, '{YEARS[i - 1]}', '{YEARS[i]}')" for i in range(1, len(YEARS))) + \
     ") AS pd(pair_index, source_period, destination_period)"
 CLASSES_SQL = "(VALUES (0), (1)) AS cl(target)"
 R = lambda e: sql_rnd(e, 6)
@@ -83,9 +83,9 @@ def q_panel_summary(spark, sf_dir):
     return M.panel_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "net", BILL_POLICY)
 
 
-@register("payment_summary", _summary_sql("pay", PAYMENT_POLICY))
+@register("payment_summary", _summary_sql("paid", PAYMENT_POLICY))
 def q_payment_summary(spark, sf_dir):
-    return M.panel_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "pay", PAYMENT_POLICY)
+    return M.panel_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "paid", PAYMENT_POLICY)
 
 
 @register("panel_summary_by_target", _by_target_sql("net", BILL_POLICY))
@@ -93,9 +93,9 @@ def q_panel_summary_by_target(spark, sf_dir):
     return M.panel_summary_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "net", BILL_POLICY)
 
 
-@register("payment_summary_by_target", _by_target_sql("pay", PAYMENT_POLICY))
+@register("payment_summary_by_target", _by_target_sql("paid", PAYMENT_POLICY))
 def q_payment_summary_by_target(spark, sf_dir):
-    return M.panel_summary_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "pay", PAYMENT_POLICY)
+    return M.panel_summary_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "paid", PAYMENT_POLICY)
 
 
 def _sign_expr(policy) -> str:
@@ -144,9 +144,9 @@ def q_sign_summary(spark, sf_dir):
     return M.sign_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "net", BILL_POLICY)
 
 
-@register("payment_sign_summary", _sign_sql("pay", PAYMENT_POLICY))
+@register("payment_sign_summary", _sign_sql("paid", PAYMENT_POLICY))
 def q_payment_sign_summary(spark, sf_dir):
-    return M.sign_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "pay", PAYMENT_POLICY)
+    return M.sign_summary(customer_panel(spark, sf_dir), PANEL_SPEC, "paid", PAYMENT_POLICY)
 
 
 @register("sign_by_target", _sign_target_sql("net", BILL_POLICY))
@@ -191,9 +191,9 @@ def q_adjacent_change_by_target(spark, sf_dir):
     return M.adjacent_change_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "net", BILL_POLICY)
 
 
-@register("payment_change_by_target", _change_sql("pay", PAYMENT_POLICY, True))
+@register("payment_change_by_target", _change_sql("paid", PAYMENT_POLICY, True))
 def q_payment_change_by_target(spark, sf_dir):
-    return M.adjacent_change_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "pay", PAYMENT_POLICY)
+    return M.adjacent_change_by_target(customer_panel(spark, sf_dir), PANEL_SPEC, "paid", PAYMENT_POLICY)
 
 
 def corr_sql(a: str, b: str) -> str:
@@ -204,13 +204,13 @@ def corr_sql(a: str, b: str) -> str:
 
 def _corr_sql(ch: str) -> str:
     parts = []
-    for i in range(6):
-        for j in range(6):
+    for i in range(len(YEARS)):
+        for j in range(len(YEARS)):
             a, b = min(i, j), max(i, j)
             parts.append(f"SELECT CAST({i + 1} AS BIGINT) AS row_index, '{YEARS[i]}' AS row_period, "
                          f"CAST({j + 1} AS BIGINT) AS column_index, '{YEARS[j]}' AS column_period, "
                          f"{R(f'c_{a}_{b}')} AS correlation FROM agg")
-    aggs = ", ".join(f"{corr_sql(f'{ch}_{i + 1}', f'{ch}_{j + 1}')} AS c_{i}_{j}" for i in range(6) for j in range(i, 6))
+    aggs = ", ".join(f"{corr_sql(f'{ch}_{i + 1}', f'{ch}_{j + 1}')} AS c_{i}_{j}" for i in range(len(YEARS)) for j in range(i, len(YEARS)))
     return f"WITH {PANEL_CTE}, agg AS (SELECT {aggs} FROM panel)\n" + "\nUNION ALL ".join(parts)
 
 
@@ -292,7 +292,7 @@ bn AS (SELECT pair_index, {sql_hist_bin('CAST(v AS DOUBLE)', 'rg.lo', 'rg.hi', 4
 c AS (SELECT pair_index, bin, COUNT(*) AS cnt FROM bn WHERE bin IS NOT NULL GROUP BY ALL),
 sd AS (SELECT pair_index, COUNT(*) AS n, {s_cnt('CAST(v AS DOUBLE) < lo')} AS below, {s_cnt('CAST(v AS DOUBLE) > hi')} AS above
        FROM pairs, rg GROUP BY pair_index),
-d AS (SELECT p.pair_index, b.bin FROM range(1, 6) AS p(pair_index), range(0, 40) AS b(bin))
+d AS (SELECT p.pair_index, b.bin FROM range(1, {len(YEARS)}) AS p(pair_index), range(0, 40) AS b(bin))
 SELECT CAST(d.pair_index AS BIGINT) AS pair_index, CAST(d.bin AS BIGINT) AS bin_index,
   {R(sql_hist_edge('d.bin', 'rg.lo', 'rg.hi', 40))} AS bin_left, {R(sql_hist_edge('d.bin + 1', 'rg.lo', 'rg.hi', 40))} AS bin_right,
   CAST(COALESCE(cnt, 0) AS BIGINT) AS count, {R(s_pct0('COALESCE(below, 0)', 'n'))} AS below_percentage,

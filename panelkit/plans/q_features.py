@@ -18,7 +18,7 @@ STATIC_CAT = ["c_nationkey", "c_mktsegment"]
 TAB_CONT = STATIC_CONT + list(PANEL_SPEC.columns("bill")) + list(PANEL_SPEC.columns("pay"))
 TAB_CAT = STATIC_CAT + list(PANEL_SPEC.columns("status"))
 PANEL_COLS = (["c_nationkey", "c_mktsegment", "n_orders_total", "n_lines_total"]
-              + [f"{ch}_{i}" for ch in ("status", "bill", "pay", "net") for i in range(1, 7)])
+              + [f"{ch}_{i}" for ch in ("status", "bill", "pay", "net") for i in range(1, PANEL_SPEC.n_periods + 1)])
 PREDICTORS = sorted(PANEL_COLS)
 
 
@@ -31,7 +31,7 @@ def split_panel(spark, sf_dir):
 GID = "md5(concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'nan')" for c in PREDICTORS) + "))"
 SPLIT_CASE = (f"CASE WHEN {sql_hex_bucket(chr(39) + '42|' + chr(39) + ' || gid', 25)} < 5 THEN 'test' "
               f"WHEN {sql_hex_bucket(chr(39) + '42|' + chr(39) + ' || gid', 25)} < 9 THEN 'validation' ELSE 'train' END")
-SP = f"""{PANEL_CTE}, pg AS (SELECT *, {GID} AS gid FROM panel), sp AS (SELECT *, {SPLIT_CASE} AS split FROM pg),
+SP = f"""{PANEL_CTE}, pg AS MATERIALIZED (SELECT *, {GID} AS gid FROM panel), sp AS MATERIALIZED (SELECT *, {SPLIT_CASE} AS split FROM pg),
 train AS (SELECT * FROM sp WHERE split = 'train')"""
 
 
@@ -56,7 +56,7 @@ def _robust_sql(named: dict[str, list[str]]) -> str:
             f"THEN 1.0 ELSE quantile_cont(x, 0.75) - quantile_cont(x, 0.25) END AS scale FROM ({_stack_sql(named)}) GROUP BY c")
 
 
-CHANNEL_PARAMS = f"""chp AS (
+CHANNEL_PARAMS = f"""chp AS MATERIALIZED (
   SELECT c AS name, 'standard' AS method, AVG(x) AS center,
     CASE WHEN STDDEV_POP(x) = 0 THEN 1.0 ELSE STDDEV_POP(x) END AS scale
   FROM ({_stack_sql({'status': list(PANEL_SPEC.columns('status'))})}) GROUP BY c
@@ -84,10 +84,10 @@ def _onehot(cols: list[str]) -> str:
 
 
 def _cats_sql(cols: list[str]) -> str:
-    return "cats AS (SELECT " + ", ".join(f"list_sort(list_distinct(list({c}))) AS {c}_cats" for c in cols) + " FROM train)"
+    return "cats AS MATERIALIZED (SELECT " + ", ".join(f"list_sort(list_distinct(list({c}))) AS {c}_cats" for c in cols) + " FROM train)"
 
 
-@register("scale_static", f"""WITH {SP}, stp AS ({_robust_sql({c: [c] for c in STATIC_CONT})})
+@register("scale_static", f"""WITH {SP}, stp AS MATERIALIZED ({_robust_sql({c: [c] for c in STATIC_CONT})})
 SELECT c_custkey, split, {', '.join(f"CAST({_scaled(c, 'stp', c)} AS DOUBLE) AS {c}_scaled" for c in STATIC_CONT)} FROM sp""")
 def q_scale_static(spark, sf_dir):
     sp = split_panel(spark, sf_dir)
@@ -96,7 +96,7 @@ def q_scale_static(spark, sf_dir):
                                             for c in STATIC_CONT])
 
 
-@register("static_features", f"""WITH {SP}, stp AS ({_robust_sql({c: [c] for c in STATIC_CONT})}), {_cats_sql(STATIC_CAT)}
+@register("static_features", f"""WITH {SP}, stp AS MATERIALIZED ({_robust_sql({c: [c] for c in STATIC_CONT})}), {_cats_sql(STATIC_CAT)}
 SELECT c_custkey, split, [{', '.join(_scaled(c, 'stp', c) for c in STATIC_CONT)}] || {_onehot(STATIC_CAT)} AS static FROM sp""")
 def q_static_features(spark, sf_dir):
     sp = split_panel(spark, sf_dir)
@@ -114,7 +114,7 @@ def q_one_hot_static(spark, sf_dir):
     return sp.select("c_custkey", "split", F.array(*FT.one_hot_columns(cats)).alias("one_hot"))
 
 
-@register("tabular_features", f"""WITH {SP}, tp AS ({_robust_sql({c: [c] for c in TAB_CONT})}), {_cats_sql(TAB_CAT)}
+@register("tabular_features", f"""WITH {SP}, tp AS MATERIALIZED ({_robust_sql({c: [c] for c in TAB_CONT})}), {_cats_sql(TAB_CAT)}
 SELECT c_custkey, split, [{', '.join(_scaled(c, 'tp', c) for c in TAB_CONT)}] || {_onehot(TAB_CAT)} AS tabular FROM sp""")
 def q_tabular_features(spark, sf_dir):
     sp = split_panel(spark, sf_dir)
@@ -126,7 +126,7 @@ def q_tabular_features(spark, sf_dir):
 
 def _temporal_sql() -> str:
     rows = []
-    for i in range(1, 7):
+    for i in range(1, PANEL_SPEC.n_periods + 1):
         rows.append("[" + ", ".join(_scaled(f"{ch}_{i}", "chp", ch) for ch in ("status", "bill", "pay")) + "]")
     return f"WITH {SP}, {CHANNEL_PARAMS} SELECT c_custkey, split, [{', '.join(rows)}] AS temporal FROM sp"
 
@@ -139,19 +139,19 @@ def q_temporal_features(spark, sf_dir):
 
 
 def _window_sql() -> str:
-    cols = ["c_custkey"]
+    cols, n = ["c_custkey"], PANEL_SPEC.n_periods
     for ch in ("bill", "pay"):
-        a = [f"CAST({ch}_{i} AS DOUBLE)" for i in range(1, 7)]
-        diffs = [f"{a[i + 1]} - {a[i]}" for i in range(5)]
-        mean2 = [f"({a[i]} + {a[i + 1]}) / 2.0" for i in range(5)]
-        max3 = [f"greatest({a[i]}, {a[i + 1]}, {a[i + 2]})" for i in range(4)]
-        mean3 = [f"({a[i]} + {a[i + 1]} + {a[i + 2]}) / 3.0" for i in range(4)]
+        a = [f"CAST({ch}_{i} AS DOUBLE)" for i in range(1, n + 1)]
+        diffs = [f"{a[i + 1]} - {a[i]}" for i in range(n - 1)]
+        mean2 = [f"({a[i]} + {a[i + 1]}) / 2.0" for i in range(n - 1)]
+        max3 = [f"greatest({a[i]}, {a[i + 1]}, {a[i + 2]})" for i in range(n - 2)]
+        mean3 = [f"({a[i]} + {a[i + 1]} + {a[i + 2]}) / 3.0" for i in range(n - 2)]
         cols += [f"{sql_rnd('greatest(' + ', '.join(diffs) + ')', 6)} AS {ch}_max_step_up",
                  f"{sql_rnd('least(' + ', '.join(diffs) + ')', 6)} AS {ch}_max_step_down",
                  f"{sql_rnd('greatest(' + ', '.join(mean2) + ')', 6)} AS {ch}_max_mean2",
                  f"{sql_rnd('greatest(' + ', '.join(max3) + ')', 6)} AS {ch}_max_max3",
                  f"{sql_rnd('least(' + ', '.join(mean3) + ')', 6)} AS {ch}_min_mean3",
-                 f"{sql_rnd(mean3[3], 6)} AS {ch}_last_mean3"]
+                 f"{sql_rnd(mean3[-1], 6)} AS {ch}_last_mean3"]
     return f"WITH {PANEL_CTE} SELECT {', '.join(cols)} FROM panel"
 
 

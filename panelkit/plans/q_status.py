@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelkit.operators import status as Q
 from panelkit.plans.catalog import register
 from panelkit.plans.sql import PANEL_CTE, panel_long, panel_pairs, s_cnt, s_pct, s_ratio, sql_rnd
+from panelkit.session import track
 from panelkit.sources.testdata import PANEL_SPEC, YEARS, customer_panel
 from panelkit.spec import DOCUMENTED, DOCUMENTED_STATUS_CODES, KNOWN_STATUS_CODES, UNDOCUMENTED
 
@@ -14,7 +17,7 @@ PER_SQL = "(VALUES " + ", ".join(f"({i}, '{y}', 'status_{i + 1}')" for i, y in e
     ") AS per(mi, period, raw_column_name)"
 DOC = f"CASE WHEN code IN ({', '.join(str(c) for c in DOCUMENTED_STATUS_CODES)}) THEN '{DOCUMENTED}' ELSE '{UNDOCUMENTED}' END"
 LONG = f"{PANEL_CTE}, long AS (SELECT t - 1 AS mi, target AS y, status AS code FROM ({panel_long(('status',))}))"
-SEQ = "concat_ws('|', " + ", ".join(f"COALESCE(CAST(status_{i} AS VARCHAR), 'nan')" for i in range(1, 7)) + ")"
+SEQ = "concat_ws('|', " + ", ".join(f"COALESCE(CAST(status_{i} AS VARCHAR), 'nan')" for i in range(1, len(YEARS) + 1)) + ")"
 
 
 STATUS_BY_PERIOD_SQL = f"""
@@ -55,7 +58,7 @@ def q_status_by_period_target(spark, sf_dir):
     return Q.status_by_period_target(customer_panel(spark, sf_dir), PANEL_SPEC)
 
 
-PAIRS_DOM = "(VALUES " + ", ".join(f"({i}, '{YEARS[i]}', '{YEARS[i + 1]}')" for i in range(5)) + \
+PAIRS_DOM = "(VALUES " + ", ".join(f"({i}, '{YEARS[i]}', '{YEARS[i + 1]}')" for i in range(len(YEARS) - 1)) + \
     ") AS pr(pi, source_period, destination_period)"
 
 
@@ -137,13 +140,19 @@ def q_sequence_coverage(spark, sf_dir):
 
 
 def _matrix_sql() -> str:
-    cols = ", ".join(f"MAX(CASE WHEN period = '{y}' THEN population_percentage END) AS \"{y}\"" for y in YEARS)
-    return f"WITH q2 AS ({STATUS_BY_PERIOD_SQL.strip()}) SELECT raw_status_value, {cols} FROM q2 GROUP BY raw_status_value"
+    parts = []
+    for measure in Q.MATRIX_MEASURES:
+        cols = ", ".join(f"MAX(CASE WHEN period = '{y}' THEN {measure} END) AS \"{y}\"" for y in YEARS)
+        parts.append(f"SELECT '{measure}' AS measure, raw_status_value, {cols} FROM q2 GROUP BY raw_status_value")
+    return f"WITH q2 AS ({STATUS_BY_PERIOD_SQL.strip()}) {' UNION ALL '.join(parts)}"
 
 
 @register("status_matrix", _matrix_sql())
 def q_status_matrix(spark, sf_dir):
-    return Q.status_matrix(Q.status_by_period(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC)
+    """Q10: status x period, for the population share and for the default rate."""
+    q2 = track(Q.status_by_period(customer_panel(spark, sf_dir), PANEL_SPEC))
+    parts = [Q.status_matrix(q2, PANEL_SPEC, m).select(F.lit(m).alias("measure"), "*") for m in Q.MATRIX_MEASURES]
+    return parts[0].unionByName(parts[1])
 
 
 @register("status_default_rates", f"""
@@ -157,17 +166,17 @@ def q_status_default_rates(spark, sf_dir):
         "observed_combination", "small_sample_warning")
 
 
-def _transition_matrix_sql(pair: int) -> str:
+def _transition_matrix_sql() -> str:
     cols = ", ".join(f"MAX(CASE WHEN destination_raw_status = {c} THEN percentage_within_source_status END) AS \"{c}\""
                      for c in KNOWN_STATUS_CODES)
-    return (f"WITH q5 AS ({TRANSITIONS_SQL.strip()}) SELECT source_raw_status, {cols} FROM q5 "
-            f"WHERE chronological_pair_index = {pair} GROUP BY 1")
+    return (f"WITH q5 AS ({TRANSITIONS_SQL.strip()}) SELECT chronological_pair_index, source_raw_status, {cols} FROM q5 "
+            f"GROUP BY 1, 2")
 
 
-@register("transition_matrix", _transition_matrix_sql(4))
+@register("transition_matrix", _transition_matrix_sql())
 def q_transition_matrix(spark, sf_dir):
-    """Q10: source x destination % matrix of the last adjacent pair."""
-    return Q.transition_matrix(Q.status_transitions(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC, 4)
+    """Q10: source x destination % matrices of all adjacent pairs."""
+    return Q.transition_matrices(Q.status_transitions(customer_panel(spark, sf_dir), PANEL_SPEC), PANEL_SPEC)
 
 
 @register("event_sequence_patterns", f"""

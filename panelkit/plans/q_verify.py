@@ -197,7 +197,7 @@ def q_manifest_reuse(spark, sf_dir):
 # --- A7 ----------------------------------------------------------------------
 
 @register("prepared_panel", f"""WITH tem AS ({_temporal_sql()}),
-sta AS (WITH {SP}, stp AS ({_robust_sql({c: [c] for c in STATIC_CONT})}), {_cats_sql(STATIC_CAT)}
+sta AS (WITH {SP}, stp AS MATERIALIZED ({_robust_sql({c: [c] for c in STATIC_CONT})}), {_cats_sql(STATIC_CAT)}
   SELECT c_custkey, [{', '.join(_scaled(c, 'stp', c) for c in STATIC_CONT)}] || {_onehot(STATIC_CAT)} AS static FROM sp)
 SELECT c_custkey, temporal, static FROM tem JOIN sta USING (c_custkey)""")
 def q_prepared_panel(spark, sf_dir):

@@ -42,15 +42,16 @@ def _panel_cte() -> str:
         f"SUM(CASE WHEN year(o_orderdate) = {y} THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS b_{i}"
         for i, y in enumerate(YEARS, 1))
     n = ",\n    ".join(f"COUNT(CASE WHEN year(o_orderdate) = {y} THEN 1 END) AS n_{i}" for i, y in enumerate(YEARS, 1))
-    p = ",\n    ".join(f"SUM(lp_{i}) AS p_{i}" for i in range(1, 7))
+    p = ",\n    ".join(f"SUM(lp_{i}) AS p_{i}" for i in range(1, len(YEARS) + 1))
     cols = [
         "c_custkey", "CAST(c_acctbal < 0 AS INTEGER) AS target", "CAST(c_nationkey AS BIGINT) AS c_nationkey",
         "c_mktsegment", "CAST(COALESCE(n_orders, 0) AS BIGINT) AS n_orders_total",
         "CAST(COALESCE(n_lines, 0) AS BIGINT) AS n_lines_total"]
-    cols += [f"{status_sql(f'COALESCE(n_{i}, 0)')} AS status_{i}" for i in range(1, 7)]
-    cols += [f"CAST(COALESCE(b_{i}, 0) AS DECIMAL(18,2)) AS bill_{i}" for i in range(1, 7)]
-    cols += [f"CAST(COALESCE(p_{i}, 0) AS DECIMAL(18,2)) AS pay_{i}" for i in range(1, 7)]
-    cols += [f"CAST(COALESCE(p_{i}, 0) - COALESCE(b_{i}, 0) AS DECIMAL(18,2)) AS net_{i}" for i in range(1, 7)]
+    cols += [f"{status_sql(f'COALESCE(n_{i}, 0)')} AS status_{i}" for i in range(1, len(YEARS) + 1)]
+    cols += [f"CAST(COALESCE(b_{i}, 0) AS DECIMAL(18,2)) AS bill_{i}" for i in range(1, len(YEARS) + 1)]
+    cols += [f"CAST(COALESCE(p_{i}, 0) AS DECIMAL(18,2)) AS pay_{i}" for i in range(1, len(YEARS) + 1)]
+    cols += [f"CAST(COALESCE(p_{i}, 0) - COALESCE(b_{i}, 0) AS DECIMAL(18,2)) AS net_{i}" for i in range(1, len(YEARS) + 1)]
+    cols += [f"CAST(p_{i} AS DOUBLE) AS paid_{i}" for i in range(1, len(YEARS) + 1)]  # NaN counts as missing
     sel = ",\n    ".join(cols)
     return f"""per_order AS (
   SELECT l_orderkey,
@@ -65,7 +66,7 @@ def _panel_cte() -> str:
     COUNT(*) AS n_orders, SUM(n_lines) AS n_lines
   FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey
   GROUP BY o_custkey
-), panel AS (
+), panel AS MATERIALIZED (
   SELECT
     {sel}
   FROM customer LEFT JOIN per_cust ON c_custkey = o_custkey
@@ -88,7 +89,7 @@ def panel_long(channels=("status", "bill", "pay", "net"), extra: tuple[str, ...]
 def panel_pairs(channel: str) -> str:
     """Adjacent pairs: (c_custkey, target, pair_index, source_period, destination_period, src, dst)."""
     parts = []
-    for i in range(1, 6):
+    for i in range(1, len(YEARS)):
         parts.append(f"SELECT c_custkey, target, {i} AS pair_index, '{YEARS[i - 1]}' AS source_period, "
                      f"'{YEARS[i]}' AS destination_period, {channel}_{i} AS src, {channel}_{i + 1} AS dst FROM panel")
     return "\n  UNION ALL ".join(parts)

@@ -1,7 +1,7 @@
 """Derived inputs over the driver's test tables (the SURVEY §7.3 mapping).
 
-* ``customer_panel``: one row per customer, periods = order years 1995..2000,
-  channels status / bill / pay / net, target = negative account balance.
+* ``customer_panel``: one row per customer, periods = order years 1995..2001 (all of the tables),
+  channels status / bill / pay / net / paid, target = negative account balance.
 * ``lineitem_rows``: row-level table with target ``l_returnflag = 'R'``.
 * ``prediction_table``: three deterministic score columns over lineitem in long
   form, restricted to the validation / test splits of a hash group split.
@@ -23,7 +23,7 @@ from panelkit.sources.tables import read_table
 from panelkit.spec import CodeBook, PanelSpec
 
 # Fixed parameters of the test-table mapping.
-YEARS = (1995, 1996, 1997, 1998, 1999, 2000)
+YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 MONEY = "decimal(18,2)"
 SPLIT_BUCKETS = 25
 SPLIT_SEED = "42"
@@ -34,10 +34,7 @@ PANEL_SPEC = PanelSpec(
     target="target",
     periods=tuple(str(y) for y in YEARS),
     channels={
-        "status": tuple(f"status_{i}" for i in range(1, 7)),
-        "bill": tuple(f"bill_{i}" for i in range(1, 7)),
-        "pay": tuple(f"pay_{i}" for i in range(1, 7)),
-        "net": tuple(f"net_{i}" for i in range(1, 7)),
+        ch: tuple(f"{ch}_{i}" for i in range(1, len(YEARS) + 1)) for ch in ("status", "bill", "pay", "net", "paid")
     },
 )
 
@@ -76,7 +73,7 @@ def build_customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_cust = joined.groupBy("o_custkey").agg(
         *[F.sum(F.when(F.col("oy") == y, F.col("tp"))).alias(f"b_{i}") for i, y in enumerate(YEARS, 1)],
         *[F.count(F.when(F.col("oy") == y, F.lit(1))).alias(f"n_{i}") for i, y in enumerate(YEARS, 1)],
-        *[F.sum(f"lp_{i}").alias(f"p_{i}") for i in range(1, 7)],
+        *[F.sum(f"lp_{i}").alias(f"p_{i}") for i in range(1, len(YEARS) + 1)],
         F.count(F.lit(1)).alias("n_orders"), F.sum("n_lines").alias("n_lines"))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     p = cust.join(per_cust, cust.c_custkey == per_cust.o_custkey, "left")
@@ -85,15 +82,19 @@ def build_customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_nationkey").cast("long").alias("c_nationkey"), F.col("c_mktsegment"),
             F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("n_orders_total"),
             F.coalesce(F.col("n_lines"), F.lit(0)).cast("long").alias("n_lines_total")]
-    for i in range(1, 7):
+    for i in range(1, len(YEARS) + 1):
         cols.append(_status(F.coalesce(F.col(f"n_{i}"), F.lit(0))).alias(f"status_{i}"))
-    for i in range(1, 7):
+    for i in range(1, len(YEARS) + 1):
         cols.append(F.coalesce(F.col(f"b_{i}"), zero).cast(MONEY).alias(f"bill_{i}"))
-    for i in range(1, 7):
+    for i in range(1, len(YEARS) + 1):
         cols.append(F.coalesce(F.col(f"p_{i}"), zero).cast(MONEY).alias(f"pay_{i}"))
-    for i in range(1, 7):
+    for i in range(1, len(YEARS) + 1):
         net = F.coalesce(F.col(f"p_{i}"), zero) - F.coalesce(F.col(f"b_{i}"), zero)
         cols.append(net.cast(MONEY).alias(f"net_{i}"))
+    # payments that may be missing: null or NaN, by the customer's key, in years without a shipped line
+    missing = F.when(F.col("c_custkey") % 2 == 0, F.lit(float("nan")))
+    for i in range(1, len(YEARS) + 1):
+        cols.append(F.coalesce(F.col(f"p_{i}").cast("double"), missing).alias(f"paid_{i}"))
     return p.select(*cols)
 
 

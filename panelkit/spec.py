@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.functions.exprs import known
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference for identical results.
 # ---------------------------------------------------------------------------
@@ -75,17 +77,26 @@ class PanelSpec:
         except KeyError as exc:
             raise ValueError(f"unknown channel {channel!r}; have {sorted(self.channels)}") from exc
 
+    @staticmethod
+    def _known(df: DataFrame, column: str) -> Column:
+        return known(column, df.schema[column].dataType)
+
+    def with_known(self, df: DataFrame, channels: list[str] | tuple[str, ...]) -> DataFrame:
+        """``df`` with NaN as NULL in the channels' columns, for operators over the wide form."""
+        cols = [c for ch in channels for c in self.columns(ch) if df.schema[c].dataType.typeName() in ("double", "float")]
+        return df.withColumns({c: self._known(df, c) for c in cols}) if cols else df
+
     def to_long(self, df: DataFrame, channels: list[str] | tuple[str, ...], keep: list[str] | None = None) -> DataFrame:
         """Unpivot the given channels to ``(id, target, t, period, <channels>)``.
 
-        ``t`` is 1-based and chronological.  Implemented with ``inline`` over an
+        ``t`` is 1-based and chronological; NaN becomes NULL.  Implemented with ``inline`` over an
         array of structs: a narrow Generate, one output row per (row, period).
         """
         keep = list(keep or [])
         structs = []
         for i, label in enumerate(self.periods):
             fields = [F.lit(i + 1).alias("t"), F.lit(label).alias("period")]
-            fields += [F.col(self.columns(ch)[i]).alias(ch) for ch in channels]
+            fields += [self._known(df, self.columns(ch)[i]).alias(ch) for ch in channels]
             structs.append(F.struct(*fields))
         return df.select(F.col(self.id_col), F.col(self.target), *[F.col(c) for c in keep],
                          F.inline(F.array(*structs)))
@@ -99,8 +110,8 @@ class PanelSpec:
                 F.lit(i + 1).alias("pair_index"),
                 F.lit(self.periods[i]).alias("source_period"),
                 F.lit(self.periods[i + 1]).alias("destination_period"),
-                F.col(cols[i]).alias("src"),
-                F.col(cols[i + 1]).alias("dst"),
+                self._known(df, cols[i]).alias("src"),
+                self._known(df, cols[i + 1]).alias("dst"),
             ))
         return df.select(F.col(self.id_col), F.col(self.target), F.inline(F.array(*structs)))
 
