@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from panelkit.llm.common import list_array, sliced, texts_of
 
 #: bytes that a generation of the cache takes, entries and their overhead; each Python worker keeps two generations
-CACHE_BYTES, ENTRY_BYTES = 40 << 20, 150
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 110
 #: bytes of text worked on at a time
 CHUNK_BYTES = 2 << 20
 #: longer pieces merge through a heap
