@@ -345,12 +345,16 @@ def _numbers(column: pa.Array) -> np.ndarray:
     return raw_bytes(column)[0].view(np.uint64).reshape(-1, 2)
 
 
-def _first(key: np.ndarray, digest: np.ndarray, ids: np.ndarray, positions: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal keys and digests, the row that starts first (ordered by key), and how many there are in all."""
-    order = np.lexsort((positions, ids, digest[:, 1], digest[:, 0], key))
+def _first(digest: np.ndarray, ids: np.ndarray, positions: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal digests, the row that starts first, and how many there are in all."""
+    order = np.lexsort((positions, ids, digest[:, 0]))
     if not len(order):
         return order, counts
-    same = (key[order[1:]] == key[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
+    half = digest[order, 0]
+    same = half[1:] == half[:-1]
+    if (same & (digest[order[1:], 1] != digest[order[:-1], 1])).any():  # halves of different strings agree: sort by the whole
+        order = np.lexsort((positions, ids, digest[:, 1], digest[:, 0]))
+        same = (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
     head = np.flatnonzero(np.concatenate(([True], ~same)))
     return order[head], np.add.reduceat(counts[order], head)
 
@@ -381,7 +385,7 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
         def sent():
             key, digest, last, ids, pos, n = (np.concatenate(x) for x in list(zip(*held))[:6])
             strings = pa.concat_arrays([x[6] for x in held])
-            best, n = _first(key, digest, ids, pos, n)
+            best, n = _first(digest, ids, pos, n)
             for k in range(0, len(best), 50_000):
                 part = best[k:k + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(key[part]), _binary(digest[part]), pa.array(last[part].astype(np.int32)), strings.take(pa.array(part)),
@@ -391,7 +395,7 @@ def distinct_strings(docs: DataFrame, units_of, window: int, gram: int, known) -
         for batch in sliced(batches, CHUNK_BYTES):
             keys, strings, doc, pos, last, varied, digest = _packed(batch, units_of, window, gram, Known(*(k.value for k in known)))
             ids = batch.column("id").to_numpy(zero_copy_only=False)[doc]
-            best, n = _first(keys, digest, ids, pos, np.ones(len(keys), np.int64))
+            best, n = _first(digest, ids, pos, np.ones(len(keys), np.int64))
             told = varied[best]
             seen = np.full(len(best), -1)
             seen[told] = np.arange(int(told.sum()))
@@ -428,7 +432,7 @@ def resolved(strings: DataFrame, resolve, size_limit: int) -> DataFrame:
             table = table.combine_chunks()
             key, last, ids, pos, n = (table.column(c).to_numpy() for c in ("key", "last", "id", "pos", "n"))
             digest, text = _numbers(table.column("digest").chunk(0)), table.column("string").chunk(0)
-            best, n = _first(key, digest, ids, pos, n)
+            best, n = _first(digest, ids, pos, n)
             key, last, ids, pos, digest, text = key[best], last[best], ids[best], pos[best], digest[best], text.take(pa.array(best))
             alone = text.is_null().to_numpy(zero_copy_only=False)
             again = np.flatnonzero(alone & (n > 1))

@@ -489,3 +489,10 @@ def test_pipeline_equals_brute_force(spark, docs, labels, tmp_path):
     marks = {r.text: r.h for r in frames[3].selectExpr("text", "xxhash64(text) as h").collect()}
     assert sorted(map(repr, rows[4])) == sorted(repr(r) for r in rows[3] for _ in range(times[r[0], marks[r[1]]]))
     assert sorted((str(r[0]), list(r[1])) for r in rows[5]) == sorted((str(r[0]), tokens(r[1])) for r in rows[4])
+
+
+def test_first_of_equal_digests():
+    """Also where the halves of different digests agree."""
+    digest = np.array([[7, 1], [7, 2], [7, 1], [5, 5], [7, 2]], np.uint64)
+    best, n = substrings._first(digest, np.array([3, 9, 2, 1, 4]), np.array([0, 0, 5, 8, 1]), np.array([1, 1, 2, 1, 1]))
+    assert sorted(zip(best.tolist(), n.tolist())) == [(2, 3), (3, 1), (4, 2)]
