@@ -14,7 +14,7 @@ from panelkit.operators import amounts as M
 from panelkit.operators import relationship as REL
 from panelkit.operators import status as Q
 from panelkit.operators.checks import Rule, close, run_checks, union_checks
-from panelkit.spec import BILL_POLICY, PanelSpec
+from panelkit.spec import BILL_POLICY, KNOWN_STATUS_CODES, PanelSpec
 
 
 def _fmt(fmt: str, *cols) -> F.Column:
@@ -31,6 +31,9 @@ def status_checks(df: DataFrame, spec: PanelSpec, channel: str = "status") -> Da
         F.sum("percentage_within_target_class").alias("p"), F.sum("status_count").alias("c"))
     q5 = Q.status_transitions(df, spec, channel)
     pair = q5.groupBy("chronological_pair_index").agg(F.sum("transition_count").alias("s"))
+    both_known = F.col("src").isin(*KNOWN_STATUS_CODES) & F.col("dst").isin(*KNOWN_STATUS_CODES)
+    known = spec.pairs_long(df, channel).groupBy((F.col("pair_index") - 1).alias("_pi")).agg(count_if(both_known).alias("known"))
+    pair = pair.join(known, pair["chronological_pair_index"] == known["_pi"], "left")  # one row a pair
     q6 = Q.sequence_patterns(df, spec, channel)
     width = spec.n_periods
     return union_checks(
@@ -49,8 +52,8 @@ def status_checks(df: DataFrame, spec: PanelSpec, channel: str = "status") -> Da
                  (count_if((F.col("raw_status_value") == 0) & F.col("observed_combination")) > 0)
                  & (count_if((F.col("raw_status_value") == -2) & F.col("observed_combination")) > 0), F.lit("")),
         ]),
-        run_checks(pair, [Rule("pair_totals_within_known_codes", F.max(F.col("s")) <= n,
-                               _fmt("max pair total %d of %d", F.max("s"), F.lit(n)))]),
+        run_checks(pair, [Rule("pair_totals_within_known_codes", F.min(F.col("s") == F.coalesce("known", F.lit(0))),
+                               _fmt("max pair total %d of %d", F.max("s"), F.max("known")))]),
         run_checks(q6, [Rule("pattern_totals_equal_population", F.sum("total_count") == n, _fmt("%d", F.sum("total_count"))),
                         Rule("patterns_have_all_periods",
                              count_if(F.size(F.split(F.col("sequence_pattern"), r"\|")) != width) == 0, F.lit(""))]),
@@ -66,6 +69,9 @@ def amount_checks(df: DataFrame, spec: PanelSpec, channel: str, policy=BILL_POLI
     corr = M.correlation_matrix(df, spec, channel)
     dr = M.display_range(df, spec, channel)
     n = df.select(F.count(F.lit(1))).scalar()
+    # one row a pair: all rows, and those with both values
+    pairs = spec.pairs_long(df, channel).groupBy("pair_index").agg(
+        F.count(F.lit(1)).alias("all_pairs"), count_if(F.col("src").isNotNull() & F.col("dst").isNotNull()).alias("observed_pairs"))
     sign_sum = F.col("negative_count") + F.col("zero_count") + F.col("positive_count")
     pct_sum = F.col("negative_percentage") + F.col("zero_percentage") + F.col("positive_percentage")
     fence_lo = F.col("p25") - 1.5 * F.col("iqr")
@@ -81,14 +87,25 @@ def amount_checks(df: DataFrame, spec: PanelSpec, channel: str, policy=BILL_POLI
             Rule("iqr_non_negative", F.min("iqr") >= 0, F.lit("")),
             Rule("fence_formula", F.max(F.abs(F.col("lower_fence") - fence_lo)) <= 1e-5, F.lit("")),
             Rule("period_count", F.count(F.lit(1)) == spec.n_periods, F.lit("")),
+            Rule("percentiles_ordered", F.min((F.col("min") <= F.col("p01")) & (F.col("p01") <= F.col("p25")) & (F.col("p25") <= F.col("median"))
+                                              & (F.col("median") <= F.col("p75")) & (F.col("p75") <= F.col("p99")) & (F.col("p99") <= F.col("max"))), F.lit("")),
+            Rule("iqr_is_quartile_distance", F.max(F.abs(F.col("iqr") - (F.col("p75") - F.col("p25")))) <= 1e-5, F.lit("")),
+            Rule("upper_fence_formula", F.max(F.abs(F.col("upper_fence") - (F.col("p75") + 1.5 * F.col("iqr")))) <= 1e-5, F.lit("")),
+            Rule("extremes_are_both_tails", count_if(F.col("below_lower_fence_count") + F.col("above_upper_fence_count") != F.col("total_potential_extreme_count")) == 0, F.lit("")),
+            Rule("rows_equal_population", F.min((F.col("count") if policy.count_all_rows else F.col("count") + F.col("missing_count")) == n), F.lit("")),
+        ]),
+        run_checks(ch.join(pairs, "pair_index", "left"), [
+            Rule("change_counts_equal_population", F.min(F.col("count") == F.col("all_pairs" if policy.change_over_all_rows else "observed_pairs")), F.lit("")),
+            Rule("change_signs_sum_to_observed", F.min(F.col("negative_change_count") + F.col("zero_change_count") + F.col("positive_change_count") == F.col("observed_pairs")), F.lit("")),
+            Rule("pair_count", F.count(F.lit(1)) == spec.n_periods - 1, F.lit("")),
         ]),
-        run_checks(ch, [Rule("change_counts_equal_population", F.max(F.col("count")) <= n, F.lit(""))]),
         run_checks(t, [
             Rule("correlation_matrix_square", F.count(F.lit(1)) == spec.n_periods ** 2, _fmt("%d cells", F.count(F.lit(1)))),
             Rule("correlation_symmetric", count_if(~close(F.col("a.correlation"), F.col("b.correlation"), 1e-9)) == 0, F.lit("")),
             Rule("correlation_unit_diagonal",
-                 count_if((F.col("a.row_index") == F.col("a.column_index")) & F.col("a.correlation").isNotNull()
-                          & (F.abs(F.col("a.correlation") - 1.0) > 1e-6)) == 0, F.lit("")),
+                 count_if((F.col("a.row_index") == F.col("a.column_index"))
+                          & F.coalesce(F.abs(F.col("a.correlation") - 1.0) > 1e-6, F.lit(True))) == 0, F.lit("")),
+            Rule("correlations_within_unit", count_if(F.abs(F.col("a.correlation")) > 1.0 + 1e-9) == 0, F.lit("")),
         ]),
         run_checks(glob, [
             Rule("low_percentile_below_high", F.min(F.col("global_low_percentile") < F.col("global_high_percentile")), F.lit("")),
@@ -105,7 +122,8 @@ def relationship_checks(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay:
     r4 = REL.relationship_categories(df, spec, bill, pay)
     j = r1.join(r3, ["chronological_index", "period"])
     cats = r4.groupBy("chronological_index").agg(F.sum("total_count").alias("s"))
-    n = df.select(F.count(F.lit(1))).scalar()
+    complete = spec.to_long(df, [bill, pay]).groupBy(F.col("t").alias("_t")).agg(count_if(F.col(bill).isNotNull() & F.col(pay).isNotNull()).alias("complete"))
+    cats = cats.join(complete, cats["chronological_index"] == complete["_t"], "full_outer")  # one row a period
     return union_checks(
         run_checks(j, [
             Rule("eligible_plus_ineligible_equals_pairs",
@@ -115,7 +133,7 @@ def relationship_checks(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay:
             Rule("ratio_finite", count_if(F.abs(F.col("ratio_max")) == F.lit(float("inf"))) == 0, F.lit("")),
             Rule("correlation_finite_or_null", count_if(F.isnan("pearson_correlation")) == 0, F.lit("")),
         ]),
-        run_checks(cats, [Rule("categories_cover_complete_pairs", F.max(F.col("s")) <= n, F.lit(""))]),
+        run_checks(cats, [Rule("categories_cover_complete_pairs", F.min(F.coalesce(F.col("s") == F.col("complete"), F.lit(False))), F.lit(""))]),
     )
 
 

@@ -41,7 +41,7 @@ UNION ALL SELECT 'defaults_plus_non_defaults_equal_total', {s_cnt('default_count
 UNION ALL SELECT 'default_rates_in_unit_interval', {s_cnt('default_rate < 0 OR default_rate > 1')} = 0, '' FROM q2
 UNION ALL SELECT 'codes_0_and_minus2_observed', ({s_cnt('raw_status_value = 0 AND observed_combination')} > 0)
   AND ({s_cnt('raw_status_value = -2 AND observed_combination')} > 0), '' FROM q2
-UNION ALL SELECT 'pair_totals_within_known_codes', COALESCE(MAX(s) <= {n}, FALSE),
+UNION ALL SELECT 'pair_totals_within_known_codes', COALESCE(bool_and(s = {n}), FALSE),
   printf('max pair total %d of %d', MAX(s), {n}) FROM pr
 UNION ALL SELECT 'pattern_totals_equal_population', COALESCE(SUM(total_count) = {n}, FALSE), printf('%d', SUM(total_count)) FROM q6
 UNION ALL SELECT 'patterns_have_all_periods', {s_cnt(f"len(string_split(sequence_pattern, '|')) <> {PANEL_SPEC.n_periods}")} = 0, '' FROM q6"""
@@ -61,7 +61,7 @@ SELECT 'eligible_plus_ineligible_equals_pairs' AS check_name,
 UNION ALL SELECT 'eligible_equals_positive_bill', {s_cnt('eligible_count <> positive_bill_count')} = 0, '' FROM j
 UNION ALL SELECT 'ratio_finite', {s_cnt("abs(ratio_max) = CAST('inf' AS DOUBLE)")} = 0, '' FROM j
 UNION ALL SELECT 'correlation_finite_or_null', {s_cnt('isnan(pearson_correlation)')} = 0, '' FROM j
-UNION ALL SELECT 'categories_cover_complete_pairs', COALESCE(MAX(s) <= (SELECT n FROM nn), FALSE), '' FROM cats"""
+UNION ALL SELECT 'categories_cover_complete_pairs', COALESCE(bool_and(s = (SELECT n FROM nn)), FALSE), '' FROM cats"""
 
 
 @register("checks_status", _checks_status_sql())
@@ -74,6 +74,7 @@ def _amount_checks_sql(ch: str, policy, tag: str) -> str:
     from panelkit.plans.q_amounts import _change_sql, _corr_sql, _summary_sql, display_range_sql
     from panelkit.plans.sql import s_cnt
     miss = " - missing_count" if policy.count_all_rows else ""
+    rows = "count" if policy.count_all_rows else "(count + missing_count)"
     pct_dev = "abs(negative_percentage + zero_percentage + positive_percentage - 100.0)"
     s, c, r, d = f"s{tag}", f"c{tag}", f"r{tag}", f"d{tag}"
     ctes = (f"{s} AS ({_summary_sql(ch, policy).strip()}), {c} AS ({_change_sql(ch, policy, False).strip()}), "
@@ -88,10 +89,18 @@ UNION ALL SELECT 'sign_percentages_sum_to_100', COALESCE(MAX({pct_dev}) <= 1e-5,
 UNION ALL SELECT 'iqr_non_negative', COALESCE(MIN(iqr) >= 0, FALSE), '' FROM {s}
 UNION ALL SELECT 'fence_formula', COALESCE(MAX(abs(lower_fence - (p25 - 1.5 * iqr))) <= 1e-5, FALSE), '' FROM {s}
 UNION ALL SELECT 'period_count', COUNT(*) = {PANEL_SPEC.n_periods}, '' FROM {s}
-UNION ALL SELECT 'change_counts_equal_population', COALESCE(MAX(count) <= (SELECT n FROM nn), FALSE), '' FROM {c}
+UNION ALL SELECT 'percentiles_ordered', COALESCE(bool_and(min <= p01 AND p01 <= p25 AND p25 <= median AND median <= p75 AND p75 <= p99 AND p99 <= max), FALSE), '' FROM {s}
+UNION ALL SELECT 'iqr_is_quartile_distance', COALESCE(MAX(abs(iqr - (p75 - p25))) <= 1e-5, FALSE), '' FROM {s}
+UNION ALL SELECT 'upper_fence_formula', COALESCE(MAX(abs(upper_fence - (p75 + 1.5 * iqr))) <= 1e-5, FALSE), '' FROM {s}
+UNION ALL SELECT 'extremes_are_both_tails', {s_cnt('below_lower_fence_count + above_upper_fence_count <> total_potential_extreme_count')} = 0, '' FROM {s}
+UNION ALL SELECT 'rows_equal_population', COALESCE(bool_and({rows} = (SELECT n FROM nn)), FALSE), '' FROM {s}
+UNION ALL SELECT 'change_counts_equal_population', COALESCE(bool_and(count = (SELECT n FROM nn)), FALSE), '' FROM {c}
+UNION ALL SELECT 'change_signs_sum_to_observed', COALESCE(bool_and(negative_change_count + zero_change_count + positive_change_count = (SELECT n FROM nn)), FALSE), '' FROM {c}
+UNION ALL SELECT 'pair_count', COUNT(*) = {PANEL_SPEC.n_periods - 1}, '' FROM {c}
 UNION ALL SELECT 'correlation_matrix_square', COUNT(*) = {PANEL_SPEC.n_periods ** 2}, printf('%d cells', COUNT(*)) FROM {t}
 UNION ALL SELECT 'correlation_symmetric', {s_cnt(f'NOT {close}')} = 0, '' FROM {t}
-UNION ALL SELECT 'correlation_unit_diagonal', {s_cnt('ri = ci AND ac IS NOT NULL AND abs(ac - 1.0) > 1e-6')} = 0, '' FROM {t}
+UNION ALL SELECT 'correlation_unit_diagonal', {s_cnt('ri = ci AND (ac IS NULL OR abs(ac - 1.0) > 1e-6)')} = 0, '' FROM {t}
+UNION ALL SELECT 'correlations_within_unit', {s_cnt('abs(ac) > 1.0 + 1e-9')} = 0, '' FROM {t}
 UNION ALL SELECT 'low_percentile_below_high', COALESCE(bool_and(global_low_percentile < global_high_percentile), FALSE), ''
   FROM {d} WHERE chronological_index = 0
 UNION ALL SELECT 'global_equals_sum_of_periods', COALESCE(bool_and(total_count = p.pt AND outside_range_count = p.po), FALSE), ''
