@@ -236,7 +236,7 @@ class PieceEncoder:
             new = [p for p, x in late.items() if x is None]
             late |= {p: np.array(x, "<u4").tobytes() for p, x in zip(new, self.encode(new))}
             found = [x if x is not None else late[p] for p, x in zip(pieces, found)]
-            more = sum(ENTRY_BYTES + len(p) + len(x) for p, x in late.items())
+            more = ENTRY_BYTES * len(late) + sum(map(len, late)) + sum(map(len, late.values()))
             if self.size + more > self.limit:
                 self.old, self.young, self.size = self.young, {}, 0
             if more <= self.limit:  # a slice with more new pieces than a generation holds is not kept

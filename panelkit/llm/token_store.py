@@ -71,8 +71,9 @@ def library_encoder(path: str):
     by_pieces = PieceEncoder(encode)
 
     def ids_of(texts: list[str]) -> list[np.ndarray]:
-        out = by_pieces(["" if any(a in t for a in added) else t for t in texts])
-        return [np.array(encode([t])[0], "<u4") if any(a in t for a in added) else x for t, x in zip(texts, out)]
+        whole = {k for a in added for k, t in enumerate(texts) if a in t}
+        out = by_pieces([t if k not in whole else "" for k, t in enumerate(texts)] if whole else texts)
+        return [np.array(encode([texts[k]])[0], "<u4") if k in whole else x for k, x in enumerate(out)] if whole else out
 
     return ids_of, tokenizer.get_vocab_size()
 
