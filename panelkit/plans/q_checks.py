@@ -25,7 +25,7 @@ def _checks_status_sql() -> str:
     from panelkit.plans.q_status import BY_TARGET_SQL, PATTERNS_CTE, STATUS_BY_PERIOD_SQL, TRANSITIONS_SQL
     from panelkit.plans.sql import PANEL_CTE, s_cnt
     n = "(SELECT n FROM nn)"
-    return f"""WITH q2 AS ({STATUS_BY_PERIOD_SQL.strip()}), q4 AS ({BY_TARGET_SQL.strip()}), q5 AS ({TRANSITIONS_SQL.strip()}),
+    return f"""WITH q2 AS MATERIALIZED ({STATUS_BY_PERIOD_SQL.strip()}), q4 AS MATERIALIZED ({BY_TARGET_SQL.strip()}), q5 AS MATERIALIZED ({TRANSITIONS_SQL.strip()}),
 q6 AS (WITH {PATTERNS_CTE} SELECT * FROM pats), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
 pm AS (SELECT chronological_month_index, SUM(total_count) AS s FROM q2 GROUP BY 1),
 cl AS (SELECT chronological_month_index, target_class, SUM(percentage_within_target_class) AS p, SUM(status_count) AS c
@@ -51,8 +51,8 @@ def _checks_relationship_sql() -> str:
     from panelkit.plans import q_relationship  # noqa: F401 - registers the statements used below
     from panelkit.plans.catalog import ORACLE
     from panelkit.plans.sql import PANEL_CTE, s_cnt
-    return f"""WITH r1 AS ({ORACLE['relationship_summary']}), r3 AS ({ORACLE['ratio_summary']}),
-r4 AS ({ORACLE['relationship_categories']}), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
+    return f"""WITH r1 AS MATERIALIZED ({ORACLE['relationship_summary']}), r3 AS MATERIALIZED ({ORACLE['ratio_summary']}),
+r4 AS MATERIALIZED ({ORACLE['relationship_categories']}), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
 j AS (SELECT r1.*, r3.eligible_count, r3.ineligible_count, r3.ratio_max FROM r1 JOIN r3
       ON r1.chronological_index = r3.chronological_index AND r1.period = r3.period),
 cats AS (SELECT chronological_index, SUM(total_count) AS s FROM r4 GROUP BY 1)
@@ -77,8 +77,8 @@ def _amount_checks_sql(ch: str, policy, tag: str) -> str:
     rows = "count" if policy.count_all_rows else "(count + missing_count)"
     pct_dev = "abs(negative_percentage + zero_percentage + positive_percentage - 100.0)"
     s, c, r, d = f"s{tag}", f"c{tag}", f"r{tag}", f"d{tag}"
-    ctes = (f"{s} AS ({_summary_sql(ch, policy).strip()}), {c} AS ({_change_sql(ch, policy, False).strip()}), "
-            f"{r} AS ({_corr_sql(ch).strip()}), {d} AS ({display_range_sql(ch).strip()})")
+    ctes = (f"{s} AS MATERIALIZED ({_summary_sql(ch, policy).strip()}), {c} AS MATERIALIZED ({_change_sql(ch, policy, False).strip()}), "
+            f"{r} AS MATERIALIZED ({_corr_sql(ch).strip()}), {d} AS MATERIALIZED ({display_range_sql(ch).strip()})")
     t = f"(SELECT a.correlation AS ac, b.correlation AS bc, a.row_index AS ri, a.column_index AS ci FROM {r} a JOIN {r} b " \
         f"ON a.row_index = b.column_index AND a.column_index = b.row_index)"
     close = "((ac IS NULL AND bc IS NULL) OR abs(ac - bc) <= 1e-9)"
