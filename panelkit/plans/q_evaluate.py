@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import evaluate as E
 from panelkit.plans.catalog import register
 from panelkit.plans.sql import predictions_cte, s_cnt, sql_rnd
+from panelkit.session import track
 from panelkit.sources.testdata import prediction_table
 
 # Fixed model metadata of the test mapping (family, parameter count / complexity).
@@ -232,9 +233,13 @@ def q_prediction_checks(spark, sf_dir):
 
 
 
-def _final_report(spark, sf_dir):
-    v = _val(spark, sf_dir)
-    sel = E.best_threshold(E.threshold_search(v))
+def _selected(spark, sf_dir):
+    """The selected threshold of every model: one row a model, read by several parts of a report."""
+    return track(E.best_threshold(E.threshold_search(_val(spark, sf_dir))))
+
+
+def _final_report(spark, sf_dir, sel=None):
+    sel = _selected(spark, sf_dir) if sel is None else sel
     primary = E.primary_candidate(sel, MODEL_PARAMS).select(F.col("model_name").alias("_primary"))
     final = E.final_metrics(_test(spark, sf_dir), sel)
     return E.final_report(final, MODEL_FAMILY, MODEL_PARAMS, primary)
@@ -269,6 +274,5 @@ SELECT (SELECT primary_model FROM prim) AS primary_model,
     AS test_ranking""")
 def q_decision_record(spark, sf_dir):
     """One-row decision record (primary model, threshold, validation evidence, test metrics, ranking)."""
-    v = _val(spark, sf_dir)
-    sel = E.best_threshold(E.threshold_search(v))
-    return E.decision_record(_final_report(spark, sf_dir), sel)
+    sel = _selected(spark, sf_dir)
+    return E.decision_record(_final_report(spark, sf_dir, sel), sel)
