@@ -4,7 +4,8 @@ Pre-tokenisation uses no regex.  Every code point gets a class (letter, number,
 one look ahead turns classes into the symbols of an eight-state automaton.  The transition function
 of each symbol belongs to a small finite monoid, so composing functions is a table look-up that is
 associative: a blocked prefix scan over numpy arrays gives the state before every character, and a
-second look-up says where a piece starts.  The slices feed pair merging with a bounded cache.
+second look-up says where a piece starts.  Equal pieces of a batch are found by 128-bit hashes of their code
+points, so each different slice is cut once and feeds pair merging with a bounded cache.
 
 Texts that are null count as empty (no ids); rows that repeat are encoded each time.  Any columns but
 the id and the text are ignored.
@@ -17,18 +18,21 @@ import functools
 import heapq
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panelkit.llm.common import list_array, sliced, texts_of
+from panelkit.llm.common import list_array, mix64, sliced, texts_of
 
 #: bytes that a generation of the cache takes, entries and their overhead; each Python worker keeps two generations
 CACHE_BYTES, ENTRY_BYTES = 64 << 20, 110
 #: bytes of text worked on at a time
 CHUNK_BYTES = 2 << 20
+#: pieces hashed at a time
+HASHED = 1 << 16
 #: longer pieces merge through a heap
 HEAP_FROM = 40
 
@@ -147,17 +151,46 @@ def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start.ravel().take(kind.astype(np.int32) * 8 + state))
 
 
-def split_texts(texts: list[str]) -> tuple[list[str], list[int]]:
-    """Pieces of all texts, each text followed by one sentinel piece; places of the sentinels."""
+def cut_texts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts joined, each followed by one sentinel, their code points, where pieces start, and which pieces are sentinels."""
     joined = "\0".join(texts) + "\0"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(np.array([len(t) + 1 for t in texts])) - 1
     at = piece_starts(points, ends)
-    marks = np.searchsorted(at, ends)
+    return joined, points, at, np.searchsorted(at, ends)
+
+
+def split_texts(texts: list[str]) -> tuple[list[str], list[int]]:
+    """Pieces of all texts, each text followed by one sentinel piece; places of the sentinels."""
+    joined, _, at, marks = cut_texts(texts)
     cut = [*at.tolist(), len(joined)]
     return [joined[a:b] for a, b in zip(cut, cut[1:])], marks.tolist()
 
 
+def piece_hashes(points: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each piece: two sums over its code points, each mixed with its place in the piece."""
+    one, two = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    for k in range(0, len(at), HASHED):
+        a, b = at[k:k + HASHED], ends[k:k + HASHED]
+        place = np.arange(a[0], b[-1]) - np.repeat(a - 1, b - a)
+        mixed = mix64((place.astype(np.uint64) << np.uint64(32)) | points[a[0]:b[-1]])
+        one[k:k + HASHED] = np.add.reduceat(mixed, a - a[0])
+        two[k:k + HASHED] = np.add.reduceat(mixed * mixed, a - a[0])
+    return one, two
+
+
+def different(points: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One piece of each content, and for every piece the place of its content among these."""
+    one, two = piece_hashes(points, at, ends)
+    order = np.argsort(one)
+    one, two = one[order], two[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    which = np.empty(len(at), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: the adjacent pair of least rank joins first, the leftmost of equals."""
     if (whole := ranks.get(piece)) is not None:
@@ -229,12 +262,27 @@ class PieceEncoder:
         self.encode, self.limit, self.young, self.old, self.size = encode, limit, {}, {}, 0
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        pieces, marks = split_texts(texts)
+        if not texts:
+            return []
+        joined, points, at, marks = cut_texts(texts)
+        ends = np.append(at[1:], len(points))
+        some, which = different(points, at, ends)
+        found = self.of([joined[a:b] for a, b in zip(at[some].tolist(), ends[some].tolist())])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[which]
+        n[marks] = 0
+        stop = np.cumsum(n)
+        ids = flat[np.repeat(first[which] - (stop - n), n) + np.arange(stop[-1])]
+        return np.split(ids, stop[marks][:-1])
+
+    def of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
         found = list(map(self.young.get, pieces))
         if None in found:
             late = {p: self.old.get(p) for p, x in zip(pieces, found) if x is None}
             new = [p for p, x in late.items() if x is None]
-            late |= {p: np.array(x, "<u4").tobytes() for p, x in zip(new, self.encode(new))}
+            late |= {p: array("I", x).tobytes() for p, x in zip(new, self.encode(new))}
             found = [x if x is not None else late[p] for p, x in zip(pieces, found)]
             more = ENTRY_BYTES * len(late) + sum(map(len, late)) + sum(map(len, late.values()))
             if self.size + more > self.limit:
@@ -242,11 +290,7 @@ class PieceEncoder:
             if more <= self.limit:  # a slice with more new pieces than a generation holds is not kept
                 self.young.update(late)
                 self.size += more
-        out, at = [], 0
-        for mark in marks:
-            out.append(np.frombuffer(b"".join(found[at:mark]), "<u4"))
-            at = mark + 1
-        return out
+        return found
 
 
 @functools.cache

@@ -496,3 +496,33 @@ def test_first_of_equal_digests():
     digest = np.array([[7, 1], [7, 2], [7, 1], [5, 5], [7, 2]], np.uint64)
     best, n = substrings._first(digest, np.array([3, 9, 2, 1, 4]), np.array([0, 0, 5, 8, 1]), np.array([1, 1, 2, 1, 1]))
     assert sorted(zip(best.tolist(), n.tolist())) == [(2, 3), (3, 1), (4, 2)]
+
+
+def test_equal_pieces_are_looked_up_once_and_give_the_ids_of_each():
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["", "a\0b\0\0 a", "don't don't  don't\n\n x", "\0", "żółć żółć 12345 12345", "a" * 90 + " " + "a" * 90, "", " "]
+    asked = []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return [byte_bpe.merge(p.encode(), ranks) for p in pieces]
+
+    encoder = byte_bpe.PieceEncoder(encode)
+    for batch in (texts, texts[::-1], [""], []):
+        out = encoder(batch)
+        assert len(out) == len(batch)
+        for text, ids in zip(batch, out):
+            pieces, marks = byte_bpe.split_texts([text])
+            assert ids.tolist() == [i for p in pieces[:marks[0]] for i in byte_bpe.merge(p.encode(), ranks)]
+    assert len(asked) == len(set(asked))
+
+
+def test_pieces_whose_hashes_agree_in_one_half_stay_apart(monkeypatch):
+    points = np.frombuffer("ab cd ab cd".encode("utf-32-le"), np.uint32)
+    at = np.array([0, 2, 5, 8])
+    ends = np.array([2, 5, 8, 11])
+    both = byte_bpe.piece_hashes(points, at, ends)
+    monkeypatch.setattr(byte_bpe, "piece_hashes", lambda *a: (np.zeros(4, np.uint64), both[1]))
+    some, which = byte_bpe.different(points, at, ends)
+    text = "ab cd ab cd"
+    assert [text[at[some[w]]:ends[some[w]]] for w in which] == [text[a:b] for a, b in zip(at, ends)]
