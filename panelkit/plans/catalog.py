@@ -29,5 +29,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (each registers itself)."""
-    from panelkit.plans import (q_amounts, q_checks, q_evaluate, q_features, q_profile, q_relationship,  # noqa: F401
+    from panelkit.plans import (q_amounts, q_checks, q_evaluate, q_facts, q_features, q_profile, q_relationship,  # noqa: F401
                                 q_sources, q_split, q_status, q_verify, q_wide)
