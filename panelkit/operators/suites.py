@@ -22,10 +22,11 @@ def _fmt(fmt: str, *cols) -> F.Column:
 
 
 def status_checks(df: DataFrame, spec: PanelSpec, channel: str = "status") -> DataFrame:
-    """Month sums, class % sums, adds-up, pair sums, rate bounds, pattern sum and width, codes 0 / -2 seen."""
+    """Month sums and %, class sums and %, adds-up, rates, pair sums, dense transitions and their %, pattern
+    sums and width, codes 0 / -2 seen."""
     n = df.select(F.count(F.lit(1))).scalar()
     q2 = Q.status_by_period(df, spec, channel)
-    per_month = q2.groupBy("chronological_month_index").agg(F.sum("total_count").alias("s"))
+    per_month = q2.groupBy("chronological_month_index").agg(F.sum("total_count").alias("s"), F.sum("population_percentage").alias("p"))
     q4 = Q.status_by_period_target(df, spec, channel)
     cls = q4.groupBy("chronological_month_index", "target_class").agg(
         F.sum("percentage_within_target_class").alias("p"), F.sum("status_count").alias("c"))
@@ -36,9 +37,17 @@ def status_checks(df: DataFrame, spec: PanelSpec, channel: str = "status") -> Da
     pair = pair.join(known, pair["chronological_pair_index"] == known["_pi"], "left")  # one row a pair
     q6 = Q.sequence_patterns(df, spec, channel)
     width = spec.n_periods
+    positives = df.select(count_if(F.col(spec.target) == spec.positive)).scalar()
+    by_code = q4.groupBy(F.col("chronological_month_index").alias("_m"), F.col("raw_status_value").alias("_v")).agg(F.sum("status_count").alias("c"))
+    classes = q2.join(by_code, (F.col("chronological_month_index") == F.col("_m")) & (F.col("raw_status_value") == F.col("_v")))  # one row a code of a period
+    by_source = q5.groupBy("chronological_pair_index", "source_raw_status").agg(
+        F.sum("transition_count").alias("s"), F.max("source_status_total").alias("t"), F.sum("percentage_within_source_status").alias("p"))
+    off = F.col("default_rate") - F.try_divide(F.col("default_count").cast("double"), F.col("total_count").cast("double"))
     return union_checks(
         run_checks(per_month, [Rule("month_totals_equal_population", F.min(F.col("s") == n) & F.max(F.col("s") == n),
-                                    _fmt("%d months checked", F.count(F.lit(1))))]),
+                                    _fmt("%d months checked", F.count(F.lit(1)))),
+                               Rule("population_percentages_sum_to_100",
+                                    F.min(F.when(F.col("s") > 0, F.abs(F.col("p") - 100.0) <= 1e-4).otherwise(F.lit(True))), F.lit(""))]),
         run_checks(cls, [Rule("class_percentages_sum_to_100",
                               F.min(F.when(F.col("c") > 0, F.abs(F.col("p") - 100.0) <= 1e-3).otherwise(F.lit(True))),
                               _fmt("max deviation %.6f", F.max(F.abs(F.col("p") - 100.0))))]),
@@ -51,10 +60,20 @@ def status_checks(df: DataFrame, spec: PanelSpec, channel: str = "status") -> Da
             Rule("codes_0_and_minus2_observed",
                  (count_if((F.col("raw_status_value") == 0) & F.col("observed_combination")) > 0)
                  & (count_if((F.col("raw_status_value") == -2) & F.col("observed_combination")) > 0), F.lit("")),
+            Rule("observed_means_counted", count_if(F.col("observed_combination") != (F.col("total_count") > 0)) == 0, F.lit("")),
+            Rule("default_rates_match_counts", count_if(F.col("observed_combination") & F.coalesce(F.abs(off) > 1e-6, F.lit(True))) == 0, F.lit("")),
         ]),
+        run_checks(classes, [Rule("class_counts_equal_totals", F.min(F.col("c") == F.col("default_count") + F.col("non_default_count")), F.lit(""))]),
         run_checks(pair, [Rule("pair_totals_within_known_codes", F.min(F.col("s") == F.coalesce("known", F.lit(0))),
                                _fmt("max pair total %d of %d", F.max("s"), F.max("known")))]),
-        run_checks(q6, [Rule("pattern_totals_equal_population", F.sum("total_count") == n, _fmt("%d", F.sum("total_count"))),
+        run_checks(q5, [
+            Rule("transitions_dense", F.count(F.lit(1)) == (width - 1) * len(KNOWN_STATUS_CODES) ** 2, F.lit("")),
+            Rule("transition_defaults_add_up", count_if(F.col("default_count") + F.col("non_default_count") != F.col("transition_count")) == 0, F.lit("")),
+        ]),
+        run_checks(by_source, [Rule("source_percentages_match_counts", F.min(F.when(
+            F.col("t") > 0, F.abs(F.col("p") - F.try_divide(100.0 * F.col("s"), F.col("t"))) <= 1e-4).otherwise(F.lit(True))), F.lit(""))]),
+        run_checks(q6, [Rule("pattern_defaults_equal_positives", F.sum("default_count") == positives, F.lit("")),
+                        Rule("pattern_totals_equal_population", F.sum("total_count") == n, _fmt("%d", F.sum("total_count"))),
                         Rule("patterns_have_all_periods",
                              count_if(F.size(F.split(F.col("sequence_pattern"), r"\|")) != width) == 0, F.lit(""))]),
     )
@@ -115,13 +134,15 @@ def amount_checks(df: DataFrame, spec: PanelSpec, channel: str, policy=BILL_POLI
 
 
 def relationship_checks(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay: str = "pay") -> DataFrame:
-    """Eligible + ineligible = total, eligible = positive-bill count, no infinite ratio,
-    category totals equal the population, r finite."""
+    """Periods and their totals, class sums, eligible + ineligible = total, eligible = positive-bill count, no
+    infinite ratio, category totals, % and default counts, rate bounds, r finite.  (A negative payment fails the job.)"""
+    n = df.select(F.count(F.lit(1))).scalar()
     r1 = REL.relationship_summary(df, spec, bill, pay)
     r3 = REL.ratio_summary(df, spec, bill, pay)
     r4 = REL.relationship_categories(df, spec, bill, pay)
     j = r1.join(r3, ["chronological_index", "period"])
-    cats = r4.groupBy("chronological_index").agg(F.sum("total_count").alias("s"))
+    cats = r4.groupBy("chronological_index").agg(F.sum("total_count").alias("s"), F.sum("population_percentage").alias("p"))
+    classes = REL.relationship_by_target(df, spec, bill, pay).groupBy("chronological_index").agg(F.sum("count").alias("c"))
     complete = spec.to_long(df, [bill, pay]).groupBy(F.col("t").alias("_t")).agg(count_if(F.col(bill).isNotNull() & F.col(pay).isNotNull()).alias("complete"))
     cats = cats.join(complete, cats["chronological_index"] == complete["_t"], "full_outer")  # one row a period
     return union_checks(
@@ -132,8 +153,16 @@ def relationship_checks(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay:
             Rule("eligible_equals_positive_bill", count_if(F.col("eligible_count") != F.col("positive_bill_count")) == 0, F.lit("")),
             Rule("ratio_finite", count_if(F.abs(F.col("ratio_max")) == F.lit(float("inf"))) == 0, F.lit("")),
             Rule("correlation_finite_or_null", count_if(F.isnan("pearson_correlation")) == 0, F.lit("")),
+            Rule("period_count", F.count(F.lit(1)) == spec.n_periods, F.lit("")),
+            Rule("period_totals_equal_population", F.min(F.col("total_count") == n), F.lit("")),
+        ]),
+        run_checks(classes, [Rule("class_counts_equal_population", F.min(F.col("c") == n), F.lit(""))]),
+        run_checks(r4, [
+            Rule("category_defaults_add_up", count_if(F.col("default_count") + F.col("non_default_count") != F.col("total_count")) == 0, F.lit("")),
+            Rule("category_rates_in_unit_interval", count_if((F.col("default_rate") < 0) | (F.col("default_rate") > 1)) == 0, F.lit("")),
         ]),
-        run_checks(cats, [Rule("categories_cover_complete_pairs", F.min(F.coalesce(F.col("s") == F.col("complete"), F.lit(False))), F.lit(""))]),
+        run_checks(cats, [Rule("category_percentages_match_counts", F.min(F.coalesce(F.abs(F.col("p") - F.try_divide(100.0 * F.col("s"), n)) <= 1e-4, F.lit(False))), F.lit("")),
+                          Rule("categories_cover_complete_pairs", F.min(F.coalesce(F.col("s") == F.col("complete"), F.lit(False))), F.lit(""))]),
     )
 
 

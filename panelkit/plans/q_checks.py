@@ -17,7 +17,7 @@ from panelkit.plans.catalog import register
 from panelkit.plans.q_evaluate import _val
 from panelkit.plans.q_features import PREDICTORS, STATIC_CAT, STATIC_CONT, TAB_CAT, TAB_CONT, split_panel
 from panelkit.sources.testdata import PANEL_SPEC, customer_panel, lineitem_rows
-from panelkit.spec import BILL_POLICY, PAYMENT_POLICY
+from panelkit.spec import BILL_POLICY, KNOWN_STATUS_CODES, PAYMENT_POLICY
 from panelkit.operators import profile as P
 
 
@@ -26,8 +26,11 @@ def _checks_status_sql() -> str:
     from panelkit.plans.sql import PANEL_CTE, s_cnt
     n = "(SELECT n FROM nn)"
     return f"""WITH q2 AS MATERIALIZED ({STATUS_BY_PERIOD_SQL.strip()}), q4 AS MATERIALIZED ({BY_TARGET_SQL.strip()}), q5 AS MATERIALIZED ({TRANSITIONS_SQL.strip()}),
-q6 AS (WITH {PATTERNS_CTE} SELECT * FROM pats), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
-pm AS (SELECT chronological_month_index, SUM(total_count) AS s FROM q2 GROUP BY 1),
+q6 AS (WITH {PATTERNS_CTE} SELECT * FROM pats), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n, SUM(target) AS pos FROM panel),
+pm AS (SELECT chronological_month_index, SUM(total_count) AS s, SUM(population_percentage) AS p FROM q2 GROUP BY 1),
+bc AS (SELECT chronological_month_index AS m, raw_status_value AS v, SUM(status_count) AS c FROM q4 GROUP BY 1, 2),
+bs AS (SELECT chronological_pair_index, source_raw_status, SUM(transition_count) AS s, MAX(source_status_total) AS t,
+         SUM(percentage_within_source_status) AS p FROM q5 GROUP BY 1, 2),
 cl AS (SELECT chronological_month_index, target_class, SUM(percentage_within_target_class) AS p, SUM(status_count) AS c
        FROM q4 GROUP BY 1, 2),
 pr AS (SELECT chronological_pair_index, SUM(transition_count) AS s FROM q5 GROUP BY 1)
@@ -41,6 +44,16 @@ UNION ALL SELECT 'defaults_plus_non_defaults_equal_total', {s_cnt('default_count
 UNION ALL SELECT 'default_rates_in_unit_interval', {s_cnt('default_rate < 0 OR default_rate > 1')} = 0, '' FROM q2
 UNION ALL SELECT 'codes_0_and_minus2_observed', ({s_cnt('raw_status_value = 0 AND observed_combination')} > 0)
   AND ({s_cnt('raw_status_value = -2 AND observed_combination')} > 0), '' FROM q2
+UNION ALL SELECT 'population_percentages_sum_to_100', COALESCE(bool_and(CASE WHEN s > 0 THEN abs(p - 100.0) <= 1e-4 ELSE TRUE END), FALSE), '' FROM pm
+UNION ALL SELECT 'observed_means_counted', {s_cnt('observed_combination <> (total_count > 0)')} = 0, '' FROM q2
+UNION ALL SELECT 'default_rates_match_counts',
+  {s_cnt('observed_combination AND COALESCE(abs(default_rate - CAST(default_count AS DOUBLE) / CAST(NULLIF(total_count, 0) AS DOUBLE)) > 1e-6, TRUE)')} = 0, '' FROM q2
+UNION ALL SELECT 'class_counts_equal_totals', COALESCE(bool_and(c = default_count + non_default_count), FALSE), ''
+  FROM q2 JOIN bc ON chronological_month_index = m AND raw_status_value = v
+UNION ALL SELECT 'transitions_dense', COUNT(*) = {(PANEL_SPEC.n_periods - 1) * len(KNOWN_STATUS_CODES) ** 2}, '' FROM q5
+UNION ALL SELECT 'transition_defaults_add_up', {s_cnt('default_count + non_default_count <> transition_count')} = 0, '' FROM q5
+UNION ALL SELECT 'source_percentages_match_counts', COALESCE(bool_and(CASE WHEN t > 0 THEN abs(p - 100.0 * s / t) <= 1e-4 ELSE TRUE END), FALSE), '' FROM bs
+UNION ALL SELECT 'pattern_defaults_equal_positives', COALESCE(SUM(default_count) = (SELECT pos FROM nn), FALSE), '' FROM q6
 UNION ALL SELECT 'pair_totals_within_known_codes', COALESCE(bool_and(s = {n}), FALSE),
   printf('max pair total %d of %d', MAX(s), {n}) FROM pr
 UNION ALL SELECT 'pattern_totals_equal_population', COALESCE(SUM(total_count) = {n}, FALSE), printf('%d', SUM(total_count)) FROM q6
@@ -55,12 +68,19 @@ def _checks_relationship_sql() -> str:
 r4 AS MATERIALIZED ({ORACLE['relationship_categories']}), nn AS (WITH {PANEL_CTE} SELECT COUNT(*) AS n FROM panel),
 j AS (SELECT r1.*, r3.eligible_count, r3.ineligible_count, r3.ratio_max FROM r1 JOIN r3
       ON r1.chronological_index = r3.chronological_index AND r1.period = r3.period),
-cats AS (SELECT chronological_index, SUM(total_count) AS s FROM r4 GROUP BY 1)
+cats AS (SELECT chronological_index, SUM(total_count) AS s, SUM(population_percentage) AS p FROM r4 GROUP BY 1),
+cl AS (SELECT chronological_index, SUM(count) AS c FROM ({ORACLE['relationship_by_target']}) GROUP BY 1)
 SELECT 'eligible_plus_ineligible_equals_pairs' AS check_name,
   {s_cnt('eligible_count + ineligible_count <> positive_bill_count + nonpositive_bill_count')} = 0 AS passed, '' AS detail FROM j
 UNION ALL SELECT 'eligible_equals_positive_bill', {s_cnt('eligible_count <> positive_bill_count')} = 0, '' FROM j
 UNION ALL SELECT 'ratio_finite', {s_cnt("abs(ratio_max) = CAST('inf' AS DOUBLE)")} = 0, '' FROM j
 UNION ALL SELECT 'correlation_finite_or_null', {s_cnt('isnan(pearson_correlation)')} = 0, '' FROM j
+UNION ALL SELECT 'period_count', COUNT(*) = {PANEL_SPEC.n_periods}, '' FROM j
+UNION ALL SELECT 'period_totals_equal_population', COALESCE(bool_and(total_count = (SELECT n FROM nn)), FALSE), '' FROM j
+UNION ALL SELECT 'class_counts_equal_population', COALESCE(bool_and(c = (SELECT n FROM nn)), FALSE), '' FROM cl
+UNION ALL SELECT 'category_defaults_add_up', {s_cnt('default_count + non_default_count <> total_count')} = 0, '' FROM r4
+UNION ALL SELECT 'category_rates_in_unit_interval', {s_cnt('default_rate < 0 OR default_rate > 1')} = 0, '' FROM r4
+UNION ALL SELECT 'category_percentages_match_counts', COALESCE(bool_and(abs(p - 100.0 * s / (SELECT n FROM nn)) <= 1e-4), FALSE), '' FROM cats
 UNION ALL SELECT 'categories_cover_complete_pairs', COALESCE(bool_and(s = (SELECT n FROM nn)), FALSE), '' FROM cats"""
 
 

@@ -92,12 +92,46 @@ def test_amount_rules_can_fail(spark, monkeypatch, rule):
     assert found == set() if rule is None else rule in found
 
 
-def test_status_and_relationship_rules_can_fail(spark, monkeypatch):
+STATUS_BREAKS = {
+    "population_percentages_sum_to_100": ("status_by_period", {"population_percentage": "population_percentage + 1"}),
+    "observed_means_counted": ("status_by_period", {"observed_combination": "true"}), "default_rates_match_counts": ("status_by_period", {"default_rate": "default_rate / 2 + 0.1D"}),
+    "class_counts_equal_totals": ("status_by_period_target", {"status_count": "status_count + 1"}), "transitions_dense": None,
+    "transition_defaults_add_up": ("status_transitions", {"default_count": "default_count + 1"}),
+    "source_percentages_match_counts": ("status_transitions", {"percentage_within_source_status": "percentage_within_source_status / 2"}),
+    "pattern_defaults_equal_positives": ("sequence_patterns", {"default_count": "default_count + 1"}),
+    "pair_totals_within_known_codes": ("status_transitions", {"transition_count": "transition_count * 2"})}
+RELATIONSHIP_BREAKS = {
+    "period_totals_equal_population": ("relationship_summary", {"total_count": "total_count - 1"}), "period_count": ("ratio_summary", {"period": "'p1'"}),
+    "class_counts_equal_population": ("relationship_by_target", {"count": "count + 1"}), "category_defaults_add_up": ("relationship_categories", {"default_count": "default_count + 1"}),
+    "category_rates_in_unit_interval": ("relationship_categories", {"default_rate": "2.0D"}),
+    "category_percentages_match_counts": ("relationship_categories", {"population_percentage": "population_percentage / 2"}),
+    "categories_cover_complete_pairs": ("relationship_categories", {"total_count": "0L"})}
+
+
+def status_panel(spark):
     spec = PanelSpec("ID", "target", ("p1", "p2"), {"status": ("s1", "s2"), "bill": ("b1", "b2"), "pay": ("c1", "c2")})
-    df = spark.createDataFrame([(i, i % 2, (0, -2, 1)[i % 3], (0, 2, -1)[i % 3], float(i), float(i % 4), 1.0 + i, float(i % 5)) for i in range(30)],
-                               "ID int, target int, s1 int, s2 int, b1 double, c1 double, b2 double, c2 double")
-    assert failed(C.status_checks(df, spec)) == set() and failed(C.relationship_checks(df, spec)) == set()
-    monkeypatch.setattr(Q, "status_transitions", edited(Q.status_transitions, transition_count="transition_count * 2"))
-    assert "pair_totals_within_known_codes" in failed(C.status_checks(df, spec))
-    monkeypatch.setattr(REL, "relationship_categories", edited(REL.relationship_categories, total_count="0L"))
-    assert "categories_cover_complete_pairs" in failed(C.relationship_checks(df, spec))
+    return spec, spark.createDataFrame([(i, i % 2, (0, -2, 1)[i % 3], (0, 2, -1)[i % 3], float(i), float(i % 4), 1.0 + i, float(i % 5)) for i in range(30)],
+                                       "ID int, target int, s1 int, s2 int, b1 double, c1 double, b2 double, c2 double")
+
+
+@pytest.mark.parametrize("rule", [None, *STATUS_BREAKS])
+def test_status_rules_can_fail(spark, monkeypatch, rule):
+    spec, df = status_panel(spark)
+    if rule == "transitions_dense":
+        whole = Q.status_transitions
+        monkeypatch.setattr(Q, "status_transitions", lambda *a: whole(*a).where("transition_count > 0"))
+    elif rule:
+        name, columns = STATUS_BREAKS[rule]
+        monkeypatch.setattr(Q, name, edited(getattr(Q, name), **columns))
+    found = failed(C.status_checks(df, spec))
+    assert found == set() if rule is None else rule in found
+
+
+@pytest.mark.parametrize("rule", [None, *RELATIONSHIP_BREAKS])
+def test_relationship_rules_can_fail(spark, monkeypatch, rule):
+    spec, df = status_panel(spark)
+    if rule:
+        name, columns = RELATIONSHIP_BREAKS[rule]
+        monkeypatch.setattr(REL, name, edited(getattr(REL, name), **columns))
+    found = failed(C.relationship_checks(df, spec))
+    assert found == set() if rule is None else rule in found
