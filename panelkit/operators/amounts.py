@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import broadcast_small, count_if, dbl, hist_bin, hist_edge, pct, pct0, ratio, rnd, sign_label
-from panelkit.functions.quantiles import group_quantiles, quantiles_from_counts, value_counts
+from panelkit.functions.quantiles import group_quantiles
 from panelkit.session import track
 from panelkit.spec import (BILL_POLICY, NEGATIVE_CLASS, PANEL_FENCE_K, POSITIVE_CLASS, SIGN_CATEGORIES, AmountPolicy,
                            PanelSpec)
@@ -49,18 +49,14 @@ def _profile(long: DataFrame, keys: list[str], probs: dict[str, float], lo: str,
         F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max"),
         count_if(v < 0).alias("negative_count"), count_if(v == 0).alias("zero_count"),
         count_if(v > 0).alias("positive_count"))
-    vc = value_counts(long, keys, "v")
-    if method == "approx":
-        q = group_quantiles(long, keys, "v", probs, method)
-    else:
-        q = quantiles_from_counts(vc, keys, probs, method)
+    q = group_quantiles(long, keys, "v", probs, method)
     q = q.withColumn("iqr", F.col(hi) - F.col(lo))
     q = q.withColumn("lower_fence", F.col(lo) - fence_k * F.col("iqr")) \
          .withColumn("upper_fence", F.col(hi) + fence_k * F.col("iqr"))
     q = track(q)  # one row per key; read by the fence join and by the output join
-    ext = vc.join(broadcast_small(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
-        F.sum(F.when(F.col("_v") < F.col("lower_fence"), F.col("_n")).otherwise(0)).cast("long").alias("below_lower_fence_count"),
-        F.sum(F.when(F.col("_v") > F.col("upper_fence"), F.col("_n")).otherwise(0)).cast("long").alias("above_upper_fence_count"))
+    ext = long.join(broadcast_small(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
+        count_if(v < F.col("lower_fence")).alias("below_lower_fence_count"),
+        count_if(v > F.col("upper_fence")).alias("above_upper_fence_count"))
     return mom.join(q, keys, "left").join(ext, keys, "left")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.exprs import count_if, dbl, hist_bin, pct0, ratio, rnd
-from panelkit.functions.quantiles import quantiles_from_counts, value_counts
+from panelkit.functions.quantiles import group_quantiles
 from panelkit.operators.amounts import exact_mean, pairwise_corr
 from panelkit.spec import NEGATIVE_CLASS, POSITIVE_CLASS, RELATIONSHIP_CATEGORIES, PanelSpec
 
@@ -28,11 +28,10 @@ def _pairs(df: DataFrame, spec: PanelSpec, bill: str, pay: str) -> DataFrame:
 
 
 def _medians(long: DataFrame, keys: list[str], measures: dict[str, F.Column], method: str) -> DataFrame:
-    """Median of several measures per key in one value-count pass; returns keys + <measure>_median."""
+    """Median of several measures per key in one pass of ranks; returns keys + <measure>_median."""
     stacked = long.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(name).alias("_m"), dbl(expr).alias("_x")) for name, expr in measures.items()])))
-    vc = value_counts(stacked, [*keys, "_m"], "_x")
-    q = quantiles_from_counts(vc, [*keys, "_m"], {"med": 0.5}, method)
+    q = group_quantiles(stacked, [*keys, "_m"], "_x", {"med": 0.5}, method)
     return q.groupBy(*keys).pivot("_m", list(measures)).agg(F.first("med")) \
         .select(*keys, *[F.col(m).alias(f"{m}_median") for m in measures])
 
@@ -105,7 +104,7 @@ def _ratio(df: DataFrame, spec: PanelSpec, bill: str, pay: str, by_target: bool,
         F.avg(r).alias("ratio_mean"), F.stddev_samp(r).alias("ratio_std"), F.min(r).alias("ratio_min"),
         F.max(r).alias("ratio_max"), count_if(r == 0).alias("ratio_zero_count"),
         count_if(r == 1).alias("ratio_equal_one_count"), count_if(r > 1).alias("ratio_above_one_count"))
-    q = quantiles_from_counts(value_counts(long, keys, "ratio"), keys, RATIO_PROBS, _method(df, method))
+    q = group_quantiles(long, keys, "ratio", RATIO_PROBS, _method(df, method))
     out = agg.join(q, keys, "left")
     if by_target:
         out = _dense_classes(spark, spec).join(out, keys, "left")
@@ -168,7 +167,7 @@ def density_2d(df: DataFrame, spec: PanelSpec, bill: str = "bill", pay: str = "p
     long = _pairs(df, spec, bill, pay).where(F.col("b").isNotNull() & F.col("p").isNotNull())
     stacked = long.select(F.inline(F.array(F.struct(F.lit("b").alias("_a"), dbl("b").alias("_x")),
                                            F.struct(F.lit("p").alias("_a"), dbl("p").alias("_x")))))
-    q = quantiles_from_counts(value_counts(stacked, ["_a"], "_x"), ["_a"], {"lo": lo_p, "hi": hi_p}, _method(df, method))
+    q = group_quantiles(stacked, ["_a"], "_x", {"lo": lo_p, "hi": hi_p}, _method(df, method))
     bx = q.where(F.col("_a") == "b")
     py = q.where(F.col("_a") == "p")
     blo, bhi = bx.select("lo").scalar(), bx.select("hi").scalar()

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from panelkit.functions import quantiles as QU
 from panelkit.sources import testdata as TD
 
 
@@ -47,3 +51,56 @@ def test_panel_tasks_keep_their_share(spark, tmp_path, monkeypatch):
     spark.range(n).selectExpr("id as l_orderkey", "1.0D as l_extendedprice", "timestamp'1995-02-01' as l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
     sizes = TD.build_customer_panel(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 30 and max(r["count"] for r in sizes) < 80
+
+
+@pytest.fixture
+def distributed(spark, monkeypatch):
+    spark.conf.set("panelkit.prefix.inMemoryLimit", "0")
+    monkeypatch.setattr(QU, "FEW_VALUES", 50)
+    yield
+    spark.conf.unset("panelkit.prefix.inMemoryLimit")
+
+
+PROBS = {"p01": 0.01, "q1": 0.25, "median": 0.5, "p99": 0.99}
+
+
+def _values(spark):
+    rng = random.Random(3)
+    rows = [("a", rng.gauss(0, 100)) for _ in range(30_000)] + [("b", float(rng.randrange(3))) for _ in range(9_000)]
+    rows += [("c", float(v)) for v in range(7)] + [("d", float("nan")), ("d", None), ("b", -0.0), (None, 5.0), ("a", float("nan")), ("a", None)]
+    return rows, spark.createDataFrame(rows, "k string, v double").repartition(5)
+
+
+def _expected(rows):
+    found = {}
+    for k, v in rows:
+        if k is not None and v is not None and v == v:
+            found.setdefault(k, []).append(v)
+    return {k: {n: float(np.quantile(v, p)) for n, p in PROBS.items()} for k, v in found.items()}
+
+
+def _seen(monkeypatch):
+    sizes, real = [], QU.ordered_prefix
+    monkeypatch.setattr(QU, "ordered_prefix", lambda df, *a, **b: (sizes.append(df.count()), real(df, *a, **b))[1])
+    return sizes
+
+
+def _same(got, want):
+    assert set(got) == set(want)
+    for k, row in want.items():
+        assert [got[k][n] for n in PROBS] == pytest.approx([row[n] for n in PROBS], rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_sort_values_near_the_ranks_only(spark, distributed, monkeypatch):
+    rows, df = _values(spark)
+    sizes = _seen(monkeypatch)
+    _same({r["k"]: r for r in QU.group_quantiles(df, ["k"], "v", PROBS).collect()}, _expected(rows))
+    assert len(sizes) == 1 and sizes[0] < 1_500
+
+
+def test_quantiles_count_all_values_if_a_rank_is_missed(spark, distributed, monkeypatch):
+    rows, df = _values(spark)
+    monkeypatch.setattr(QU, "MARGIN", -0.002)  # the stretches miss the ranks
+    sizes = _seen(monkeypatch)
+    _same({r["k"]: r for r in QU.group_quantiles(df, ["k"], "v", PROBS).collect()}, _expected(rows))
+    assert len(sizes) == 2 and sizes[1] > 30_000
