@@ -63,8 +63,8 @@ def pipeline_amounts(panel: DataFrame, spec: PanelSpec, channel: str, policy: Am
 def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str, float]], scale: int = 100, cells: int = 4096) -> dict[str, float | None]:
     """Exact linear quantiles by refining histograms: name -> (SQL expression, probability).
 
-    Values are whole multiples of 1 / ``scale``.  Each round counts, for every rank looked for, the values in ``cells``
-    equal cells of the interval that is known to hold it, so a rank's interval shrinks to one value in a few scans; each scan is one
+    Values are whole multiples of 1 / ``scale``.  Each round counts, once for each interval that is known to hold
+    ranks looked for, the values in ``cells`` equal cells of it, so a rank's interval shrinks to one value in a few scans; each scan is one
     partial aggregation and brings back at most ranks x cells counts, whatever the number of rows.
     """
     spark = panel.sparkSession
@@ -79,9 +79,10 @@ def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str, float]], sc
         for rank in {int(pos // 1), -int(-pos // 1)}:
             search[name, rank] = [x, int(row[f"a{i}"] * scale), int(row[f"b{i}"] * scale), rank]  # rank counts from the interval's start
     while any(low < high for _, low, high, _ in search.values()):
-        todo = {k: v for k, v in search.items() if v[1] < v[2]}
+        # ranks that lie in the same interval of the same values share its counts
+        todo = {v: j for j, v in enumerate(dict.fromkeys((x, low, high) for x, low, high, _ in search.values() if low < high))}
         parts = []
-        for j, (x, low, high, _) in enumerate(todo.values()):
+        for (x, low, high), j in todo.items():
             width = -(-(high - low + 1) // cells)
             value = f"CAST(({x}) * {scale} AS BIGINT)"
             parts.append(f"CASE WHEN {value} BETWEEN {low} AND {high} THEN struct({j} AS j, ({value} - {low}) DIV {width} AS cell) END")
@@ -90,10 +91,12 @@ def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str, float]], sc
         found: dict[int, list] = {}
         for r in counts:
             found.setdefault(r["j"], []).append((r["cell"], r["n"]))
-        for j, item in enumerate(todo.values()):
-            _, low, high, rank = item
+        for item in search.values():
+            x, low, high, rank = item
+            if low == high:
+                continue
             width = -(-(high - low + 1) // cells)
-            for cell, n in sorted(found[j]):
+            for cell, n in sorted(found[todo[x, low, high]]):
                 if rank < n:
                     item[1:] = [low + cell * width, min(high, low + (cell + 1) * width - 1), rank]
                     break

@@ -53,6 +53,37 @@ def test_panel_tasks_keep_their_share(spark, tmp_path, monkeypatch):
     assert len(sizes) > 30 and max(r["count"] for r in sizes) < 80
 
 
+def test_small_panel_has_few_partitions(spark, tmp_path):
+    """A boosted tree runs some jobs over all partitions of its rows, so 200 of them for a few rows cost minutes."""
+    at = _tables(spark, tmp_path)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        panel = TD.customer_panel(spark, at)
+        assert panel.count() == 5 and panel.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_anchor_search_counts_an_interval_once(spark):
+    from panelkit.operators.anchors import refined_quantiles
+    values = [((k * 7919) % 100_003) / 100 for k in range(2_000)]
+    panel = spark.createDataFrame([(v,) for v in values], "x double")
+    asked, real = [], spark.sql
+
+    class Session:
+        def sql(self, text, **kw):
+            asked.append(text.count("CASE WHEN"))
+            return real(text, panel=panel)
+
+    class Panel:
+        sparkSession = Session()
+
+    got = refined_quantiles(Panel(), {"q1": ("x", 0.25), "median": ("x", 0.5), "q3": ("x", 0.75)})
+    assert asked[1] == 1  # six ranks in one interval
+    assert [got[n] for n in ("q1", "median", "q3")] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]).tolist())
+
+
 @pytest.fixture
 def distributed(spark, monkeypatch):
     spark.conf.set("panelkit.prefix.inMemoryLimit", "0")
