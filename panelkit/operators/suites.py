@@ -14,6 +14,7 @@ from panelkit.operators import amounts as M
 from panelkit.operators import relationship as REL
 from panelkit.operators import status as Q
 from panelkit.operators.checks import Rule, close, run_checks, union_checks
+from panelkit.session import track
 from panelkit.spec import BILL_POLICY, KNOWN_STATUS_CODES, PanelSpec
 
 
@@ -85,8 +86,9 @@ def amount_checks(df: DataFrame, spec: PanelSpec, channel: str, policy=BILL_POLI
     s = M.panel_summary(df, spec, channel, policy)
     ch = M.adjacent_change(df, spec, channel, policy)
     M.assert_no_percentage_change(ch)
-    corr = M.correlation_matrix(df, spec, channel)
-    dr = M.display_range(df, spec, channel)
+    # a few rows each, read by several rules
+    corr = track(M.correlation_matrix(df, spec, channel))
+    dr = track(M.display_range(df, spec, channel))
     n = df.select(F.count(F.lit(1))).scalar()
     # one row a pair: all rows, and those with both values
     pairs = spec.pairs_long(df, channel).groupBy("pair_index").agg(
