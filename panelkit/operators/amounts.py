@@ -2,8 +2,8 @@
 
 One operator serves both reference variants through ``AmountPolicy`` (bill vs
 payment null rules).  Plan shape per call: one narrow unpivot, one moments
-aggregation, one value-count table for exact quantiles, and the fence counts
-evaluated on the value-count table against a one-row-per-key fence frame.
+aggregation, exact quantiles, and the fence counts in one pass over the rows
+against a one-row-per-key fence frame.
 """
 
 from __future__ import annotations
