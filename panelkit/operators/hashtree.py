@@ -26,9 +26,10 @@ def hash_tree(df: DataFrame, id_cols: list[str], value_cols: list[str] | None =
     """
     cols = [*id_cols, *(value_cols or [])]
     rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    text = F.concat(F.concat_ws("|", *[text_of(c) for c in cols]), F.lit("*"), F.col("_n").cast("string"))
-    ordered = rows.select(F.lit(0).alias("_g"), F.struct(*cols).alias("_order"), text.alias("_text"), F.lit(1).cast("long").alias("_one"))
+    ordered = rows.select(F.lit(0).alias("_g"), F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)]).alias("_order"), "_n", F.lit(1).cast("long").alias("_one"))
     ranked = ordered_prefix(ordered, ["_g"], "_order", ["_one"])
+    # made after the ranking: only the columns are sorted and stored, not their text as well
+    text = F.concat(F.concat_ws("|", *[text_of(F.col(f"_order._{i}")) for i in range(len(cols))]), F.lit("*"), F.col("_n").cast("string"))
 
     def nodes(frame: DataFrame, at, item, size, level: int) -> DataFrame:
         run = F.array_sort(F.collect_list(F.struct(at.alias("at"), item.alias("item"))))  # ``fan`` items at most
@@ -36,7 +37,7 @@ def hash_tree(df: DataFrame, id_cols: list[str], value_cols: list[str] | None =
                 .agg(F.sum(size).cast("long").alias("n"), F.sha2(F.encode(F.array_join(F.transform(run, lambda x: x["item"]), "\n"), "UTF-8"), 256).alias("digest"))
                 .select(F.lit(level).cast("long").alias("level"), "node", "n", "digest"))
 
-    level = track(nodes(ranked, F.col("_one_before"), F.col("_text"), F.lit(1), 0))
+    level = track(nodes(ranked, F.col("_one_before"), text, F.lit(1), 0))
     out, count, depth = level, level.count(), 0
     while count > 1:
         depth, count = depth + 1, -(-count // fan)

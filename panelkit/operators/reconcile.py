@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.exprs import broadcast_small, count_if
+from panelkit.functions.exprs import count_if
 
 BUCKETS = 1024
 
@@ -64,10 +64,10 @@ def difference(left: DataFrame, right: DataFrame, keys: list[str], cols: list[st
     cols = cols or [c for c in left.columns if c in right.columns and c not in keys]
     kinds = {f.name: f.dataType for f in left.schema}
     right = right.select(*keys, *[F.col(c).cast(kinds[c]) for c in cols])
-    bad = broadcast_small(differing_buckets(left, right, keys, cols, buckets))
+    bad = [r["_bucket"] for r in differing_buckets(left, right, keys, cols, buckets).collect()]  # at most ``buckets`` numbers
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        rows = _bucketed(df, keys, cols, buckets).join(bad, "_bucket", "left_semi")
+        rows = _bucketed(df, keys, cols, buckets).where(F.col("_bucket").isin(bad) if bad else F.lit(False))
         one = F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(0).alias("_none"))
         return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), F.first(one).alias(f"_v_{tag}")).select(
             *[F.col(k).alias(f"_{tag}_{k}") for k in keys], f"_n_{tag}", f"_v_{tag}")

@@ -13,6 +13,7 @@ from panelkit.operators import evaluate as E
 from panelkit.operators import hashtree as H
 from panelkit.operators import reconcile as R
 from panelkit.operators.checks import Rule, run_checks, union_checks
+from panelkit.session import track
 
 
 def _bad_probability() -> F.Column:
@@ -73,11 +74,11 @@ def final_checks(preds: DataFrame, recomputed: DataFrame, models: int, rows: int
     of the two tables, and the hash-tree roots of ids and of labels equal to the recorded ones.
     """
     total = F.count(F.lit(1))
-    per_id = preds.groupBy("ID").agg(F.count(F.lit(1)).alias("n"), F.min("y_true").alias("low"), F.max("y_true").alias("high"))
+    per_id = track(preds.groupBy("ID").agg(F.count(F.lit(1)).alias("n"), F.min("y_true").alias("low"), F.max("y_true").alias("high")))  # read by the rules and both trees
     keys, cols = ["model_name", "ID"], ["prediction_at_0_5", "prediction_at_selected_threshold"]
     s = R.summary(preds.select(*keys, *cols), recomputed.select(*keys, *cols), keys, cols)
     bad = F.col("left_only") + F.col("right_only") + F.col("duplicate_key") + F.col("value")
-    one = preds.groupBy("ID").agg(F.min("y_true").alias("y_true"))
+    one = per_id.select("ID", F.col("low").alias("y_true"))
     spark = preds.sparkSession
     roots = [H.root(H.hash_tree(one, ["ID"])), H.root(H.hash_tree(one, ["ID"], ["y_true"]))]
     known = spark.createDataFrame([(roots[0], id_root, roots[1], target_root)], "a string, b string, c string, d string")

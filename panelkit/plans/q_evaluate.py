@@ -21,11 +21,11 @@ MODELS = ["model_a", "model_b", "model_c"]
 
 
 def _val(spark, sf_dir):
-    return prediction_table(spark, sf_dir).where(F.col("split") == "validation")
+    return prediction_table(spark, sf_dir, ("validation",))
 
 
 def _test(spark, sf_dir):
-    return prediction_table(spark, sf_dir).where(F.col("split") == "test")
+    return prediction_table(spark, sf_dir, ("test",))
 
 
 def sql_metrics(digits: int | None = 6) -> str:

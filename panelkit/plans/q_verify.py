@@ -20,7 +20,7 @@ from panelkit.plans.catalog import ORACLE, register
 from panelkit.plans.q_evaluate import MODEL_FAMILY, MODEL_PARAMS, _results, _test, _val, search_cte
 from panelkit.plans.q_features import PREDICTORS, SP, STATIC_CAT, STATIC_CONT, _cats_sql, _onehot, _robust_sql, _scaled, _temporal_sql, split_panel
 from panelkit.plans.sql import PANEL_CTE, predictions_cte, sql_rnd
-from panelkit.session import ensure_checkpoint_dir, stored
+from panelkit.session import ensure_checkpoint_dir, stored, track
 from panelkit.sources.tables import read_table
 from panelkit.sources.testdata import PANEL_SPEC, customer_panel
 from panelkit.spec import PAYMENT_POLICY
@@ -78,9 +78,10 @@ def recomputed_predictions(spark, sf_dir, thresholds):
     li = read_table(spark, sf_dir, "lineitem")
     split = "pmod(CAST(conv(substring(md5(concat('42|', CAST(l_orderkey AS STRING))), 1, 8), 16, 10) AS BIGINT), 25)"
     scores = {"model_a": "l_quantity / 50D", "model_b": "l_extendedprice / 105000D", "model_c": "l_discount * 10D"}
-    parts = [f"""SELECT '{m}' AS model_name, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS ID,
-                 IF({x} < 0.5D, 0, 1) AS prediction_at_0_5, IF({x} < {float(thresholds[m])!r}D, 0, 1) AS prediction_at_selected_threshold FROM {{li}} WHERE {split} < 5""" for m, x in scores.items()]
-    return spark.sql(" UNION ALL ".join(parts), li=li)
+    models = ", ".join(f"""struct('{m}' AS model_name, IF({x} < 0.5D, 0, 1) AS prediction_at_0_5,
+                           IF({x} < {float(thresholds[m])!r}D, 0, 1) AS prediction_at_selected_threshold)""" for m, x in scores.items())
+    return spark.sql(f"""SELECT model.model_name, ID, model.prediction_at_0_5, model.prediction_at_selected_threshold FROM (
+                         SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS ID, explode(array({models})) AS model FROM {{li}} WHERE {split} < 5)""", li=li)
 
 
 @register("prediction_difference", f"""{_STORED}
@@ -127,7 +128,7 @@ def q_checks_evaluation(spark, sf_dir):
 def q_checks_final(spark, sf_dir):
     """C10 over stored test predictions; the recorded roots are those of the rows of ``lineitem`` in the test split."""
     t = _thresholds(spark, sf_dir)
-    known = _test(spark, sf_dir).where(F.col("model_name") == "model_a").select("ID", "y_true")
+    known = track(_test(spark, sf_dir).where(F.col("model_name") == "model_a").select("ID", "y_true"))  # read by both trees
     roots = H.root(H.hash_tree(known.select("ID"), ["ID"])), H.root(H.hash_tree(known, ["ID"], ["y_true"]))
     preds = stored_predictions(spark, sf_dir, t)
     return _verdicts(CM.final_checks(preds, recomputed_predictions(spark, sf_dir, t), N_MODELS, _rows_of(preds), *roots))

@@ -135,3 +135,39 @@ def test_quantiles_count_all_values_if_a_rank_is_missed(spark, distributed, monk
     sizes = _seen(monkeypatch)
     _same({r["k"]: r for r in QU.group_quantiles(df, ["k"], "v", PROBS).collect()}, _expected(rows))
     assert len(sizes) == 2 and sizes[1] > 30_000
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_tables_are_digested_once_and_not_read_again(spark, tmp_path):
+    from panelkit.operators import reconcile as R
+    spark.range(200).select("id", (F.col("id") * 2).alias("v")).write.parquet(str(tmp_path / "t"))
+    left, right = (spark.read.parquet(str(tmp_path / "t")) for _ in range(2))
+    d = R.difference(left, right, ["id"])
+    assert "parquet" not in _plan(d) and d.collect() == []
+    moved = right.withColumn("v", F.when(F.col("id") == 7, F.col("v") + 1).otherwise(F.col("v")))
+    assert [tuple(r) for r in R.difference(left, moved, ["id"]).collect()] == [(7, "value", "v", "14", "15")]
+
+
+def test_split_filter_takes_one_md5_a_row(spark):
+    from panelkit.functions.exprs import hex_bucket
+    from panelkit.sources.testdata import SPLIT_BUCKETS, SPLIT_SEED, lineitem_split
+    df = spark.createDataFrame([(k,) for k in range(300)] + [(None,)], "l_orderkey long")
+    assert _plan(df.where(lineitem_split(df) == "test")).count("md5(") == 1
+    b = hex_bucket(F.concat(F.lit(SPLIT_SEED + "|"), F.col("l_orderkey").cast("string")), SPLIT_BUCKETS)
+    case = F.when(b < 5, "test").when(b < 9, "validation").otherwise("train")
+    assert df.where(~lineitem_split(df).eqNullSafe(case)).count() == 0 and df.select(lineitem_split(df).alias("s")).distinct().count() == 3
+
+
+def test_final_checks_group_the_stored_predictions_by_id_once(spark):
+    from panelkit.operators import hashtree as H
+    from panelkit.operators import suites_models as CM
+    p = spark.createDataFrame([(m, f"id{k}", k % 2, 0.3, 0, 1) for m in "abc" for k in range(40)],
+                              "model_name string, ID string, y_true int, probability_default double, prediction_at_0_5 int, prediction_at_selected_threshold int")
+    one = p.where("model_name = 'a'")
+    roots = H.root(H.hash_tree(one, ["ID"])), H.root(H.hash_tree(one, ["ID"], ["y_true"]))
+    checks = CM.final_checks(p, p, 3, 40, *roots)
+    assert checks._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation [ID") >= 1
+    assert {r["check_name"] for r in checks.where("NOT passed").collect()} == set()
