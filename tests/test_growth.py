@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 
 import numpy as np
 import pytest
@@ -171,3 +172,30 @@ def test_final_checks_group_the_stored_predictions_by_id_once(spark):
     checks = CM.final_checks(p, p, 3, 40, *roots)
     assert checks._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation [ID") >= 1
     assert {r["check_name"] for r in checks.where("NOT passed").collect()} == set()
+
+
+def test_only_strings_that_may_share_a_window_are_merged():
+    from panelkit.llm import bwt_dedup as B
+    r = random.Random(5)
+    text = lambda n: bytes(r.randrange(97, 123) for _ in range(n))
+    common = text(50)
+    strings = [text(20) + common + b"#" * 9, common + b"." * 30, *(text(70) for _ in range(20)), common]
+    assert np.flatnonzero(B.sharing(strings, 50)).tolist() == [0, 1, 22]
+    out = B.resolver(50)(np.ones(len(strings), np.int64), strings, np.arange(len(strings)), np.zeros(len(strings), np.int64), np.array([1] * 5 + [2] + [1] * 17))
+    assert [(k, x["first"], x["last"], x["id"]) for k, v in enumerate(out) for x in v] == [(1, 0, 0, 0), (5, 0, 20, 5), (22, 0, 0, 0)]
+
+
+def test_shuffle_files_go_once_the_answers_are_stored(spark):
+    from pathlib import Path
+
+    from panelkit.llm import substrings as S
+    from panelkit.llm.bwt_dedup import resolver
+    files = lambda: {f for f in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data")}
+    old = files()
+    docs = spark.range(60).selectExpr("id as doc_id", "concat(repeat(cast(id % 7 as string), 60), ' ', sha2(cast(id as string), 256)) as text")
+    found = S.spans(S.source(docs, "doc_id", "text"), S.byte_units, 50, 16, resolver(50), "first_id < id")
+    for _ in range(40):
+        if not files() - old:
+            break
+        time.sleep(0.25)
+    assert not files() - old and found.count() == 53
