@@ -199,3 +199,20 @@ def test_shuffle_files_go_once_the_answers_are_stored(spark):
             break
         time.sleep(0.25)
     assert not files() - old and found.count() == 53
+
+
+def test_scan_in_blocks_gives_the_same_runs_and_digests(monkeypatch):
+    import pyarrow as pa
+
+    from panelkit.llm import substrings as S
+    r = random.Random(9)
+    for n in (0, 49, 50, 51, 3000):
+        units = S.byte_units(pa.array(["".join(r.choice("abc") for _ in range(k)) for k in (n, n // 2, n)]))
+        found = []
+        for size in (7, 64, 1 << 20):
+            monkeypatch.setattr(S, "SCAN_UNITS", size)
+            first, last, hashes, place = S.runs(units, 50, 16)
+            found.append([first, last, hashes, place, S.digests(units, first, last + 50)])
+        assert all(np.array_equal(x, y) for other in found[1:] for x, y in zip(found[0], other))
+        grams = S.gram_hashes(units.hashes, 16)  # the minimiser of each run's first window, found plainly
+        assert [int(np.argmin(grams[a:a + 35] >> np.uint64(32))) + a for a in found[0][0].tolist()] == found[0][3].tolist()
