@@ -59,6 +59,13 @@ def _cleaned(docs: DataFrame, window: int, gram: int, id_col: str, text_col: str
     return docs.withColumns({key: order_key(id_col), mark: F.xxhash64(text_col)}).join(found, [key, mark], "left"), key, mark, spans
 
 
+def _kept(raw: bytes, pieces: list | None, window: int) -> tuple[int, list[bytes]]:
+    """How many words a text has, and those that no window of the pieces covers."""
+    words = raw.split()
+    gone = substrings.covered(len(words), pieces, window) if pieces else None
+    return len(words), words if gone is None else [w for w, g in zip(words, gone.tolist()) if not g]
+
+
 def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words that stay, joined by one space."""
     joined, key, _, spans = _cleaned(docs, window, gram, id_col, text_col)
@@ -68,10 +75,8 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str
             data, at = raw_bytes(batch.column(1))
             raw, rows = data.tobytes(), []
             for a, b, pieces in zip(at.tolist(), at[1:].tolist(), batch.column(2).to_pylist()):
-                words = raw[a:b].split()
-                gone = substrings.covered(len(words), pieces, window) if pieces else None
-                kept = words if gone is None else [w for w, g in zip(words, gone.tolist()) if not g]
-                rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
+                n, kept = _kept(raw[a:b], pieces, window)
+                rows.append((n, n - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
             ids = batch.column(0)
             yield pa.RecordBatch.from_arrays([ids, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                                               pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
@@ -83,9 +88,21 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str
 def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated words cut from the text (kept words joined by one space); texts that lose
     nothing stay as they are.  All rows and columns stay; ``n_chars``, if there, follows the text."""
-    joined, key, mark, spans = _cleaned(docs, window, gram, id_col, text_col)
-    words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    kept = F.array_join(F.filter(words, lambda w, i: ~F.exists(F.col(spans), lambda s: (i >= s["a"]) & (i < s["b"] + window))), " ")
+    joined, _, _, spans = _cleaned(docs, window, gram, id_col, text_col)
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for piece in sliced([pa.RecordBatch.from_arrays([texts, spans], names=["text", "spans"])], substrings.CHUNK_BYTES):
+            data, at = raw_bytes(piece.column(0))
+            raw = data.tobytes()
+            # rows without spans come as null and stay null
+            kept = [None if p is None else b" ".join(_kept(raw[a:b], p, window)[1]) for a, b, p in zip(at.tolist(), at[1:].tolist(), piece.column(1).to_pylist())]
+            out.append(pa.array(kept, pa.binary()).view(pa.string()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+    # only texts that lose something go to Python
+    kept = cut(F.when(F.col(spans).isNotNull(), F.col(text_col)), F.col(spans))
     text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(kept)
     out = joined.withColumn(text_col, text)
     if "n_chars" in docs.columns:

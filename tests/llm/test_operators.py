@@ -178,6 +178,13 @@ def test_superkmers(docs, nothing):
     assert superkmer_dedup.remove(nothing).collect() == []
 
 
+def test_superkmers_cut_without_word_arrays(docs, capsys):
+    """Texts that lose words are cut span by span, not by looking at every span for every word; other texts stay as they are."""
+    superkmer_dedup.deduplicate(docs).explain("simple")
+    plan = capsys.readouterr().out
+    assert "lambdafunction" not in plan and "split(" not in plan and "ArrowEvalPython" in plan
+
+
 def test_bwt_merge(docs, nothing):
     first, want = {}, []
     for i, t in sorted(TEXTS, key=lambda x: key(x[0])):
