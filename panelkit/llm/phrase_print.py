@@ -163,6 +163,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows as tuples; only a slice of a batch is held as Python strings, which take up to four bytes a character."""
+    for piece in sliced(batches, CHUNK_CHARS):
+        yield from zip(*(column.to_pylist() for column in piece.columns))
+
+
 def splice(text: str, following: str) -> str:
     """The last half (rounded down) of the code points replaced by the first as many of the next text."""
     half = len(text) // 2
@@ -208,23 +214,22 @@ def compare_spliced(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, head, done, ids, texts, chars = None, None, False, [], [], 0
-        for batch in batches:
-            for doc, text, at, extra in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if at != part:
-                    if texts:
-                        yield compare(ids, [*texts, head])
-                    part, head, done, ids, texts, chars = at, text, False, [], [], 0
-                if extra:
-                    if not done and texts:
-                        yield compare(ids, [*texts, text])
-                    done, ids, texts = True, [], []
-                    continue
-                ids.append(doc)
-                texts.append(text)
-                chars += len(text)
-                if chars > CHUNK_CHARS and len(texts) > 1:
-                    yield compare(ids[:-1], texts)
-                    ids, texts, chars = ids[-1:], texts[-1:], len(texts[-1])
+        for doc, text, at, extra in rows_of(batches):
+            if at != part:
+                if texts:
+                    yield compare(ids, [*texts, head])
+                part, head, done, ids, texts, chars = at, text, False, [], [], 0
+            if extra:
+                if not done and texts:
+                    yield compare(ids, [*texts, text])
+                done, ids, texts = True, [], []
+                continue
+            ids.append(doc)
+            texts.append(text)
+            chars += len(text)
+            if chars > CHUNK_CHARS and len(texts) > 1:
+                yield compare(ids[:-1], texts)
+                ids, texts, chars = ids[-1:], texts[-1:], len(texts[-1])
         if texts:
             yield compare(ids, [*texts, head])
 

@@ -160,6 +160,17 @@ def key(i):
     return (i is not None, i or 0)
 
 
+def test_phrase_print_holds_a_slice():
+    import tracemalloc
+    texts = [f"{i} " + "語" * 3000 for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    assert all(row == (i, text) for i, (row, text) in enumerate(zip(phrase_print.rows_of([batch]), texts, strict=True)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 << 20  # all 1500 texts take 9 MB
+
+
 def test_superkmers(docs, nothing):
     seen, want = {}, []
     for i, t in sorted(set(TEXTS), key=lambda x: key(x[0])):
