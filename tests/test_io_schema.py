@@ -71,6 +71,61 @@ def test_file_integrity_matches_hashlib(spark, tmp_path):
     assert r["sha256"] == hashlib.sha256(b"panel" * 1000).hexdigest() and r["size_bytes"] == 5000
 
 
+def _odd_files(top):
+    """name -> bytes of files that a reader of lines could get wrong."""
+    import random
+    rnd = random.Random(3)
+    noise = rnd.randbytes(20_000)
+    few = bytes(x for x in rnd.randbytes(20_000) if x != 10)
+    files = {"noise.bin": noise, "ends.bin": noise + b"\n", "blank.bin": b"\n\n\r\n" * 3000 + b"\n", "starts.bin": b"\n" + noise,
+             "mark.bin": b"\xef\xbb\xbf" + noise, "mark_ends.bin": b"\xef\xbb\xbf\xef\xbb\xbf" + noise + b"\n\n", "one_line.bin": few,
+             "wide.bin": few[:10_000] + b"\n" + few[10_000:], "a b[1]{x,y}%20.bin": noise[::-1], "small.bin": noise[:100]}
+    for name, data in files.items():
+        (top / name).write_bytes(data)
+    return files
+
+
+def test_file_integrity_reads_large_files_by_pieces(spark, tmp_path, monkeypatch):
+    import hashlib
+    files = _odd_files(tmp_path)
+    monkeypatch.setattr(A, "WHOLE_BYTES", 1000, raising=False)
+    conf = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.sources.binaryFile.maxLength": "1000"}  # no file above 1000 bytes may be read whole
+    kept = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in A.file_integrity(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {name: (len(data), hashlib.sha256(data).hexdigest()) for name, data in files.items()}
+
+
+def test_file_integrity_of_packed_files_and_folders(spark, tmp_path, monkeypatch):
+    import gzip
+    import hashlib
+    monkeypatch.setattr(A, "WHOLE_BYTES", 1000, raising=False)
+    data = {"x.gz": gzip.compress(os.urandom(5000)), "y.gz": b"not packed" * 500, "z.bin": os.urandom(5000)}
+    for k, (name, content) in enumerate(data.items()):
+        (tmp_path / f"k={k}").mkdir()
+        (tmp_path / f"k={k}" / name).write_bytes(content)
+    got = {r["file_name"]: r["sha256"] for r in A.file_integrity(spark, str(tmp_path)).collect()}
+    assert got == {name: hashlib.sha256(content).hexdigest() for name, content in data.items()}
+
+
+def test_sha256_goes_on_from_its_state():
+    import hashlib
+
+    from panelkit.functions.sha256 import Sha256, sha256_goes_on
+    assert sha256_goes_on()
+    data, state = os.urandom(10_000), None
+    for a, b in ((0, 0), (0, 1), (1, 64), (64, 64), (64, 5000), (5000, 10_000)):  # blocks of 64 bytes and parts of them
+        digest = Sha256(state)
+        digest.update(data[a:b])
+        state = digest.state()
+        assert Sha256(state).hexdigest() == hashlib.sha256(data[:b]).hexdigest()
+
+
 def test_model_save(spark, tmp_path):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
