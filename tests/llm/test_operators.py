@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ import corpus_pipeline
 from panelkit.llm import (bwt_dedup, byte_bpe, chat_format, cotrain_quality, cross_polytope, phrase_print, simhash_dedup, soft_mixing,
                           substrings, superkmer_dedup, token_store)
 from panelkit.llm.common import shared_path
+from panelkit.session import ensure_checkpoint_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, spans string, __id long, pos int"
@@ -238,6 +240,55 @@ def test_cross_polytope(spark):
     assert cross_polytope.near_duplicates(frame.limit(0)).collect() == []
 
 
+def _linked_by_buckets(rows):
+    """(links, least row of the component) of (vector, label) rows without copies: equal label and length, a probe that meets the other's own bucket, cosine."""
+    n_links, least = [0] * len(rows), list(range(len(rows)))
+    for label, width in {(c, len(v)) for v, c in rows}:
+        at = [i for i, (v, c) in enumerate(rows) if (c, len(v)) == (label, width)]
+        x = np.array([rows[i][0] for i in at])
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        near = x @ x.T >= cross_polytope.COSINE
+        keys = cross_polytope.buckets(x.astype(np.float32), cross_polytope.TABLES, cross_polytope.FUNCTIONS, cross_polytope.PROBES)
+        own, probes = [set(k[:, 0].tolist()) for k in keys], [set(k.ravel().tolist()) for k in keys]
+        for i, j in zip(*np.nonzero(np.triu(near, 1))):
+            if own[i] & probes[j] or own[j] & probes[i]:
+                n_links[at[i]] += 1
+                n_links[at[j]] += 1
+                a, b = least[at[i]], least[at[j]]
+                least = [min(a, b) if x in (a, b) else x for x in least]
+    return n_links, least
+
+
+@pytest.mark.parametrize("slice_rows", [None, 7, 40])
+def test_cross_polytope_in_slices(spark, monkeypatch, slice_rows):
+    """Vectors of many slices, of labels that share one, of several lengths, single and double precision."""
+    if slice_rows:
+        monkeypatch.setattr(cross_polytope, "SLICE_ROWS", slice_rows)
+    rng = np.random.default_rng(8)
+    rows = []
+    for label, width, n in ((1, 64, 150), (2, 64, 40), (1, 5, 20), (3, 64, 90), (9, 1, 2), *((100 + k, 16, 3) for k in range(5))):
+        base = rng.normal(size=(-(-n // 3), width))
+        vectors = np.repeat(base, 3, axis=0)[:n] + rng.normal(size=(n, width)) * np.repeat(rng.choice([0.05, 0.27], len(base)), 3)[:n, None]
+        rows += [([float(x if i % 4 else np.float32(x)) for x in v], label) for i, v in enumerate(vectors)]
+    n_links, least = _linked_by_buckets(rows)
+    frame = spark.createDataFrame([(i, v, c) for i, (v, c) in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cross_polytope.near_duplicates(frame).collect()}
+    assert got == {i: (n, c) for i, (n, c) in enumerate(zip(n_links, least))} and sum(n_links) > 300
+
+
+def test_cross_polytope_writes_no_pairs(spark):
+    """400 near copies have 79,800 links; what is stored on the way grows with the vectors."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=64) + 0.02 * rng.normal(size=(400, 64))
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    at = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(at.iterdir()) if at.exists() else set()
+    got = cross_polytope.near_duplicates(frame).collect()
+    assert all((r.n_links, r.component_id) == (399, 0) for r in got) and len(got) == 400
+    assert max(spark.read.parquet(str(p)).count() for p in set(at.iterdir()) - before) <= 400
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes <|im_end|>"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "yes <|im_end|>"),
             (3, 1, "assistant", "yes <|im_end|>"), (4, 0, "user", "other"), (5, 0, None, None), (None, 0, "user", "lost"), (6, None, "user", "hi"), (6, 0, "assistant", "no")]
