@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators import amounts as M
+from panelkit.session import stored
 from panelkit.spec import AmountPolicy, PanelSpec
 
 TOLERANCE, RELATIVE = 1e-5, 1e-5
@@ -60,51 +61,63 @@ def pipeline_amounts(panel: DataFrame, spec: PanelSpec, channel: str, policy: Am
             .unionByName(named(d, F.lit("global"), ("total_count", "low_percentile", "high_percentile", "below_range_count", "above_range_count", "outside_range_count"))))
 
 
-def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str, float]], scale: int = 100, cells: int = 4096) -> dict[str, float | None]:
-    """Exact linear quantiles by refining histograms: name -> (SQL expression, probability).
+def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str | tuple[str, ...], float]], scale: int = 100, cells: int = 4096,
+                      whole: bool = False) -> dict[str, float | None]:
+    """Exact linear quantiles by refining histograms: name -> (SQL expression, probability); several expressions are taken together.
 
-    Values are whole multiples of 1 / ``scale``.  Each round counts, once for each interval that is known to hold
-    ranks looked for, the values in ``cells`` equal cells of it, so a rank's interval shrinks to one value in a few scans; each scan is one
-    partial aggregation and brings back at most ranks x cells counts, whatever the number of rows.
+    Values are whole multiples of 1 / ``scale``; with ``whole`` the expressions are BIGINTs, already multiplied.  Each round counts, once for each
+    interval that is known to hold ranks looked for, the values in ``cells`` equal cells of it, so a rank's interval shrinks to one value in a few
+    scans; each scan is one partial aggregation and brings back at most ranks x cells counts, whatever the number of rows.
+
+    ``panel`` becomes a view for each scan, and with its view goes the cache of a frame: don't hand over one that is to stay cached.
     """
-    spark = panel.sparkSession
-    ends = ", ".join(f"min({x}) AS a{i}, max({x}) AS b{i}, count({x}) AS n{i}" for i, (x, _) in enumerate(wanted.values()))
+    spark, times = panel.sparkSession, 1 if whole else scale
+    wanted = {name: ((x,) if isinstance(x, str) else tuple(x), p) for name, (x, p) in wanted.items()}
+    taken = {xs: k for k, xs in enumerate(dict.fromkeys(xs for xs, _ in wanted.values()))}
+
+    def least(what: str, xs: tuple[str, ...]) -> str:
+        found = [f"{what}({x})" for x in xs]
+        return found[0] if len(found) == 1 else f"{'least' if what == 'min' else 'greatest'}({', '.join(found)})"
+
+    ends = ", ".join(f"{least('min', xs)} AS a{k}, {least('max', xs)} AS b{k}, {' + '.join(f'count({x})' for x in xs)} AS n{k}" for xs, k in taken.items())
     row = spark.sql(f"SELECT {ends} FROM {{panel}}", panel=panel).first()
+    size = {name: row[f"n{taken[xs]}"] for name, (xs, _) in wanted.items()}
     search, out = {}, {}
-    for i, (name, (x, p)) in enumerate(wanted.items()):
-        if not row[f"n{i}"]:
+    for name, (xs, p) in wanted.items():
+        if not size[name]:
             out[name] = None
             continue
-        pos = p * (row[f"n{i}"] - 1)
+        pos = p * (size[name] - 1)
         for rank in {int(pos // 1), -int(-pos // 1)}:
-            search[name, rank] = [x, int(row[f"a{i}"] * scale), int(row[f"b{i}"] * scale), rank]  # rank counts from the interval's start
+            search[name, rank] = [xs, int(row[f"a{taken[xs]}"] * times), int(row[f"b{taken[xs]}"] * times), rank]  # rank counts from the interval's start
     while any(low < high for _, low, high, _ in search.values()):
         # ranks that lie in the same interval of the same values share its counts
-        todo = {v: j for j, v in enumerate(dict.fromkeys((x, low, high) for x, low, high, _ in search.values() if low < high))}
+        todo = {v: j for j, v in enumerate(dict.fromkeys((xs, low, high) for xs, low, high, _ in search.values() if low < high))}
+        values = {x: f"v{k}" for k, x in enumerate(dict.fromkeys(x for xs, _, _ in todo for x in xs))}
         parts = []
-        for (x, low, high), j in todo.items():
+        for (xs, low, high), j in todo.items():
             width = -(-(high - low + 1) // cells)
-            value = f"CAST(({x}) * {scale} AS BIGINT)"
-            parts.append(f"CASE WHEN {value} BETWEEN {low} AND {high} THEN struct({j} AS j, ({value} - {low}) DIV {width} AS cell) END")
-        counts = spark.sql(f"""SELECT c.j AS j, c.cell AS cell, count(*) AS n FROM (SELECT explode(array({', '.join(parts)})) AS c FROM {{panel}})
+            parts += [f"CASE WHEN {values[x]} BETWEEN {low} AND {high} THEN struct({j} AS j, ({values[x]} - {low}) DIV {width} AS cell) END" for x in xs]
+        each = ", ".join(f"CAST(({x}) * {times} AS BIGINT) AS {v}" for x, v in values.items())
+        counts = spark.sql(f"""SELECT c.j AS j, c.cell AS cell, count(*) AS n FROM (SELECT explode(array({', '.join(parts)})) AS c FROM (SELECT {each} FROM {{panel}}))
                                WHERE c IS NOT NULL GROUP BY c.j, c.cell""", panel=panel).collect()
         found: dict[int, list] = {}
         for r in counts:
             found.setdefault(r["j"], []).append((r["cell"], r["n"]))
         for item in search.values():
-            x, low, high, rank = item
+            xs, low, high, rank = item
             if low == high:
                 continue
             width = -(-(high - low + 1) // cells)
-            for cell, n in sorted(found[todo[x, low, high]]):
+            for cell, n in sorted(found[todo[xs, low, high]]):
                 if rank < n:
                     item[1:] = [low + cell * width, min(high, low + (cell + 1) * width - 1), rank]
                     break
                 rank -= n
-    for i, (name, (_, p)) in enumerate(wanted.items()):
+    for name, (_, p) in wanted.items():
         if name in out:
             continue
-        pos = p * (row[f"n{i}"] - 1)
+        pos = p * (size[name] - 1)
         low, high = int(pos // 1), -int(-pos // 1)
         a, b = search[name, low][1] / scale, search[name, high][1] / scale
         out[name] = a + (b - a) * (pos - low)
@@ -112,14 +125,19 @@ def refined_quantiles(panel: DataFrame, wanted: dict[str, tuple[str, float]], sc
 
 
 def direct_amounts(panel: DataFrame, spec: PanelSpec, channel: str, scale: int = 100) -> DataFrame:
-    """The same figures by another way: SQL text over the wide columns, quantiles by refined histograms."""
+    """The same figures by another way: SQL text over the wide columns, quantiles by refined histograms.
+
+    The columns are stored beside the multiplied values, so the scans build no panel and multiply no decimals, and a cached ``panel`` stays cached.
+    """
     cols, spark = spec.columns(channel), panel.sparkSession
     last = f"({cols[-1]} - {cols[-2]})"
+    whole = {x: f"_whole_{k}" for k, x in enumerate((*cols, last))}
+    panel = stored(panel.selectExpr(*cols, *[f"CAST(({x}) * {scale} AS BIGINT) AS {v}" for x, v in whole.items()]), "anchor-values")
     flat = spark.sql(f"SELECT explode(array({', '.join(cols)})) AS x FROM {{panel}}", panel=panel)
     ends = {spec.periods[0]: cols[0], spec.periods[-1]: cols[-1]}
-    wanted = {f"{name}_{q}": (x, p) for name, x in ends.items() for q, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))}
-    q = refined_quantiles(panel, {**wanted, "last_median_change": (last, 0.5)}, scale)
-    w = refined_quantiles(flat, {"low": ("x", 0.01), "high": ("x", 0.99)}, scale)
+    wanted = {f"{name}_{q}": (whole[x], p) for name, x in ends.items() for q, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))}
+    everywhere = tuple(whole[c] for c in cols)
+    q = refined_quantiles(panel, {**wanted, "last_median_change": (whole[last], 0.5), "low": (everywhere, 0.01), "high": (everywhere, 0.99)}, scale, whole=True)
 
     def number(v: float | None) -> str:
         return "CAST(NULL AS DOUBLE)" if v is None else f"{v!r}D"
@@ -135,7 +153,7 @@ def direct_amounts(panel: DataFrame, spec: PanelSpec, channel: str, scale: int =
         fields += [(f"{name}_count", f"count({x})"), (f"{name}_mean", f"avg(CAST({x} AS DOUBLE))"), (f"{name}_p25", number(lo)), (f"{name}_median", number(mid)),
                    (f"{name}_p75", number(hi)), (f"{name}_iqr", number(iqr)), *signs(name, x, ""), (f"{name}_total_potential_extreme_count", f"count_if({out})")]
     fields += [("last_mean_change", f"avg(CAST({last} AS DOUBLE))"), ("last_median_change", number(q["last_median_change"])), *signs("last", last, "_change")]
-    low, high = (number(w[k]) for k in ("low", "high"))
+    low, high = (number(q[k]) for k in ("low", "high"))
     world = [("global_total_count", "count(x)"), ("global_low_percentile", low), ("global_high_percentile", high), ("global_below_range_count", f"count_if(CAST(x AS DOUBLE) < {low})"),
              ("global_above_range_count", f"count_if(CAST(x AS DOUBLE) > {high})"), ("global_outside_range_count", f"count_if(CAST(x AS DOUBLE) < {low} OR CAST(x AS DOUBLE) > {high})")]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import random
 import time
 
@@ -44,6 +45,22 @@ def test_panel_rows_with_missing_and_repeated_keys(spark, tmp_path):
     assert [r.n_orders_total for r in rows if r.c_custkey is None] == [0]
 
 
+def test_panel_amounts_are_exact(spark, tmp_path):
+    """Sums to the cent, beyond what a double holds."""
+    day = dt.datetime(1995, 5, 1)
+    large, small = 45_000_000_000_000.03, 0.005
+    spark.createDataFrame([(1, 1, "A", 1.0)], "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(k, 1, x, day) for k, x in enumerate([large, -small, None, 0.29])], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(k % 4, large if k < 150 else 0.29, day) for k in range(151)], "l_orderkey long, l_extendedprice double, l_shipdate timestamp") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    panel = TD.build_customer_panel(spark, str(tmp_path))
+    row, of = panel.first(), decimal.Decimal
+    assert {panel.schema[c].dataType.simpleString() for c in ("bill_1", "pay_1", "net_1")} == {"decimal(18,2)"}
+    assert (row.bill_1, row.pay_1, row.bill_2) == (of("45000000000000.31"), of("6750000000000004.79"), of("0.00"))
+    assert (row.net_1, row.paid_1) == (row.pay_1 - row.bill_1, float(of("6750000000000004.79")))
+
+
 def test_panel_tasks_keep_their_share(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(TD, "ROWS_PER_TASK", 40)
     n = 1000
@@ -85,6 +102,30 @@ def test_anchor_search_counts_an_interval_once(spark):
     assert [got[n] for n in ("q1", "median", "q3")] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]).tolist())
 
 
+def test_anchors_leave_the_cache(spark):
+    """A view of a cached frame takes its cache away when it goes: every scan after that would build the panel anew."""
+    from panelkit.operators import anchors as AN
+    from panelkit.spec import PanelSpec
+    panel = spark.range(200).selectExpr("id AS ID", "0 AS target", "CAST(id / 4 AS DECIMAL(18,2)) AS a", "CAST(id % 7 AS DECIMAL(18,2)) AS b").cache()
+    built = lambda df: "InMemoryTableScan" not in df._jdf.queryExecution().executedPlan().toString()
+    assert not built(panel.select("a"))
+    values = {r.anchor_name: r.value for r in AN.direct_amounts(panel, PanelSpec("ID", "target", ("p1", "p2"), {"pay": ("a", "b")}), "pay").collect()}
+    assert not built(panel.select("a"))
+    panel.unpersist()
+    a, b = np.arange(200) / 4, np.arange(200) % 7
+    assert values["p1_p25"] == pytest.approx(np.quantile(a, 0.25)) and values["last_median_change"] == pytest.approx(np.quantile(b - a, 0.5))
+    assert [values["global_low_percentile"], values["global_high_percentile"]] == pytest.approx(np.quantile(np.concatenate((a, b)), [0.01, 0.99]).tolist())
+
+
+def test_anchor_search_over_several_columns(spark):
+    from panelkit.operators.anchors import refined_quantiles
+    rows = [(k * 7919 % 1009 - 500, None if k % 3 else k, None) for k in range(300)]
+    panel = spark.createDataFrame(rows, "x long, y long, z long")
+    got = refined_quantiles(panel, {"both": (("x", "y", "z"), 0.3), "x": ("x", 0.5), "none": (("z",), 0.5)}, cells=16, whole=True)
+    both = [v for r in rows for v in r if v is not None]
+    assert got == {"both": pytest.approx(np.quantile(both, 0.3) / 100), "x": pytest.approx(np.quantile([r[0] for r in rows], 0.5) / 100), "none": None}
+
+
 @pytest.fixture
 def distributed(spark, monkeypatch):
     spark.conf.set("panelkit.prefix.inMemoryLimit", "0")
